@@ -20,7 +20,8 @@ from loadtide.functions.timegrid import (
     steps_per_day,
 )
 from loadtide.operators import blocks as B
-from loadtide.operators.gaps import non_gap, segment_ids
+from loadtide.operators.buckets import densify, fill_series
+from loadtide.operators.gaps import label_gaps, non_gap, segment_ids
 
 TIME, GAP, SEG = "bucket_start", "is_gap", "segment_id"
 RATIO = "avg_bytes_per_req"
@@ -143,12 +144,12 @@ def rolling_columns(
 
     A frame of n rows is the tail of one aligned n-row stretch plus the head of the next.
     Heads and tails are running aggregates, so the cost per row does not grow with n, and
-    two sets of (count, mean, squared deviations) merge without cancellation. ``alongside``
+    two sets of (count, sum, squared deviations) merge without cancellation. ``alongside``
     holds further expressions over the segment window, evaluated in the same pass.
     """
     step = step_seconds(tag)
     steps = roll_steps(tag, windows)
-    stats = ("n", "m", "v") if use_std else ("n", "m")
+    stats = ("n", "s", "v") if use_std else ("n", "s")
     upto = (Window.unboundedPreceding, 0)
     w = _seg_window(keys)
     scratch: list[str] = []
@@ -162,7 +163,7 @@ def rolling_columns(
         running = {}
         for i, target in enumerate(targets):
             x = F.col(target).cast("double")
-            made = {"n": F.count(x), "m": F.avg(x), "v": F.var_pop(x)}
+            made = {"n": F.count(x), "s": F.sum(x), "v": F.var_pop(x)}
             for s in stats:
                 running[f"_h{s}{i}_{name}"] = made[s].over(head)
                 running[f"_t{s}{i}_{name}"] = made[s].over(tail)
@@ -177,11 +178,11 @@ def rolling_columns(
     for name, n in steps.items():
         split = F.col(f"_split_{name}")
         for i, target in enumerate(targets):
-            na, nb, ma, mb = (F.col(f"_{c}{i}_{name}") for c in ("an", "bn", "am", "bm"))
+            na, nb, sa, sb = (F.col(f"_{c}{i}_{name}") for c in ("an", "bn", "as", "bs"))
             total = F.when(split, na + nb).otherwise(na).cast("double")
-            shift = mb - ma
-            mean = F.when(split, ma + shift * nb / total).otherwise(ma)
-            full = (F.col(SEG) >= 0) & (total == F.lit(float(n)))
+            mean = F.when(split, sa + sb).otherwise(sa) / total
+            shift = sb / nb - sa / na
+            full = (F.col(SEG) >= 0) & (total == float(n))
             out[f"{target}_roll_mean_{name}"] = F.when(full, mean)
             if use_std:
                 va, vb = (F.col(f"_{c}{i}_{name}") for c in ("av", "bv"))
@@ -290,11 +291,40 @@ def train_features(
     return out if keep_unlabelled else out.dropna(subset=label_cols)
 
 
-def with_history(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Both splits as one series, the origin kept in ``_split``."""
-    return train.withColumn("_split", F.lit("train")).unionByName(
+def with_history(
+    train: DataFrame,
+    test: DataFrame,
+    tag: str,
+    *,
+    outages: Sequence[tuple[str, str]] | DataFrame = (),
+    unknown_gap_min_hours: int = 12,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Both splits as one dense series, the origin kept in ``_split``.
+
+    Buckets between the end of one split and the start of the other are added and labelled
+    like any hole, so that lags by rows stay lags by time.
+    """
+    step = step_seconds(tag)
+    both = train.withColumn("_split", F.lit("train")).unionByName(
         test.withColumn("_split", F.lit("test")), allowMissingColumns=True
     )
+    dense = densify(both, step, keys)
+    flags = [c for c in ("is_missing_bucket", "is_gap_storm", "is_gap_unknown") if c in both.columns]
+    added = F.col("_absent_run").isNotNull()
+    kept = dense.withColumns({f"_kept_{c}": F.col(c) for c in (*flags, GAP)})
+    labelled = label_gaps(
+        kept,
+        step,
+        run_length=F.col("_absent_run"),
+        outages=outages,
+        unknown_gap_min_hours=unknown_gap_min_hours,
+        keys=keys,
+    )
+    restored = labelled.withColumns(
+        {c: F.when(added, F.col(c)).otherwise(F.col(f"_kept_{c}")) for c in (*flags, GAP)}
+    )
+    return fill_series(restored).drop("_absent_run", *[f"_kept_{c}" for c in (*flags, GAP)])
 
 
 def test_features(
@@ -303,10 +333,16 @@ def test_features(
     tag: str,
     spec: FeatureSpec = FeatureSpec(),
     keys: Sequence[str] = (),
+    *,
+    outages: Sequence[tuple[str, str]] | DataFrame = (),
+    unknown_gap_min_hours: int = 12,
 ) -> DataFrame:
     """Features of the test rows, looking back into the train rows."""
-    both = with_dense_ratio(segment_ids(with_history(train, test), keys=keys))
-    featured = history_features(both, tag, spec, keys).filter(F.col("_split") == "test")
+    both = with_history(
+        train, test, tag, outages=outages, unknown_gap_min_hours=unknown_gap_min_hours, keys=keys
+    )
+    ready = with_dense_ratio(segment_ids(both, keys=keys))
+    featured = history_features(ready, tag, spec, keys).filter(F.col("_split") == "test")
     timed = with_time_features(featured, tag, reference_time(train, test), spec)
     return timed.withColumn(TIME, naive_utc(F.col(TIME))).select(
         *keys, TIME, GAP, SEG, "hits", "bytes_sum", RATIO, *spec.all_cols

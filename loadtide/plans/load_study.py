@@ -39,12 +39,14 @@ def split_tag(ts3: DataFrame, split: str, tag: str) -> DataFrame:
     return ts3.filter((F.col("split") == split) & (F.col("tag") == tag)).drop("split", "tag")
 
 
-def feature_stage(ts3: DataFrame, tag: str, spec: features.FeatureSpec) -> dict[str, DataFrame]:
+def feature_stage(
+    ts3: DataFrame, tag: str, spec: features.FeatureSpec, gap_cfg: Mapping[str, Any]
+) -> dict[str, DataFrame]:
     train, test = (split_tag(ts3, s, tag) for s in ("train", "test"))
     features.assert_quality(test)
     return {
         "train": materialize(features.train_features(train, test, tag, spec), f"train-{tag}"),
-        "test": materialize(features.test_features(train, test, tag, spec), f"test-{tag}"),
+        "test": materialize(features.test_features(train, test, tag, spec, **gap_cfg), f"test-{tag}"),
         "truth": features.truth_frame(test),
     }
 
@@ -56,7 +58,7 @@ def forecast_stage(
     preds, scores = [], []
     for tag in cfg["tags"]:
         train, test = (split_tag(ts3, s, tag) for s in ("train", "test"))
-        built = feature_stage(ts3, tag, spec) if with_trees else {}
+        built = feature_stage(ts3, tag, spec, cfg["gaps"]) if with_trees else {}
         for target in cfg["targets"]:
             found = [forecast.seasonal_naive(train, test, tag, target)]
             if with_trees:
