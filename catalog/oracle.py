@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.fixture import SCALING
+from catalog.fixture import NUDGE, SCALING
 from loadtide.functions.logline import LOG_PATTERN, REQUEST_PATTERN
 
 ORACLES: dict[str, str] = {}
@@ -24,7 +24,7 @@ def tidy(cols: str, sql: str, digits: int = 4) -> str:
         if kind == "i":
             out.append(f'CAST("{name}" AS BIGINT) AS "{name}"')
         elif kind == "f":
-            r = f'round(CAST("{name}" AS DOUBLE), {digits})'
+            r = f'round(CAST("{name}" AS DOUBLE) + {NUDGE}, {digits})'
             out.append(f'CASE WHEN {r} = 0 THEN CAST(0 AS DOUBLE) ELSE {r} END AS "{name}"')
         elif kind == "t":
             out.append(f'CAST("{name}" AS TIMESTAMP) AS "{name}"')

@@ -37,7 +37,7 @@ def tidy(df: DataFrame, digits: int = 4) -> DataFrame:
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType):
-            r = F.round(c, digits)
+            r = F.round(c + F.lit(X.NUDGE), digits)
             c = F.when(r == 0, F.lit(0.0)).otherwise(r)
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -36,10 +36,22 @@ def roll_steps(tag: str, windows: Iterable[str]) -> dict[str, int]:
     return {w: ROLL_SECONDS[w] // step for w in windows}
 
 
-def bucket_floor(ts: Column, seconds: int) -> Column:
+def step_of_tag(tag: Column) -> Column:
+    """Grid step in seconds for a column of tags; an unknown tag is an error."""
+    step = F.raise_error(F.concat(F.lit("unsupported tag "), F.coalesce(tag, F.lit("NULL")))).cast("bigint")
+    for name, seconds in TAG_SECONDS.items():
+        step = F.when(tag == name, F.lit(seconds).cast("bigint")).otherwise(step)
+    return step
+
+
+def as_column(value: Column | int) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def bucket_floor(ts: Column, seconds: Column | int) -> Column:
     """Start of the grid cell an instant falls in."""
     epoch = F.unix_seconds(ts)
-    return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds)))
+    return F.timestamp_seconds(epoch - F.pmod(epoch, as_column(seconds)))
 
 
 def naive_utc(ts: Column) -> Column:

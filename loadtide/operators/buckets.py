@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadtide.functions.numeric import client_error, per_hit, server_error
-from loadtide.functions.timegrid import TAG_SECONDS, bucket_floor, step_seconds
+from loadtide.functions.timegrid import TAG_SECONDS, as_column, bucket_floor, step_of_tag, step_seconds
 from loadtide.operators import blocks as B
 from loadtide.operators.gaps import label_gaps
 from loadtide.session import materialize
@@ -123,7 +123,7 @@ def bucket_spine(ts2: DataFrame, step: int, keys: Sequence[str] = ()) -> DataFra
 
 def densify(
     ts2: DataFrame,
-    step: int,
+    step: Column | int,
     keys: Sequence[str] = (),
     block_seconds: int = B.DEFAULT_BLOCK_SECONDS,
 ) -> DataFrame:
@@ -141,13 +141,14 @@ def densify(
         {"_last": F.max(TIME)},
         {"_far": F.max("_last").over(B.earlier_blocks(keys))},
     )
+    step = as_column(step).cast("bigint")
     now = F.unix_seconds(TIME)
     prev = F.unix_seconds(F.coalesce("_prev", "_far"))
-    first = F.coalesce(prev + F.lit(step), now)
-    filled = carried.withColumn("_t", F.explode(F.sequence(first, now, F.lit(step)))).withColumn(
+    first = F.coalesce(prev + step, now)
+    filled = carried.withColumn("_t", F.explode(F.sequence(first, now, step))).withColumn(
         "_seen", F.col("_t") == now
     )
-    run = ((now - prev) / F.lit(step) - 1).cast("bigint")
+    run = ((now - prev) / step - 1).cast("bigint")
     values = [c for c in ts2.columns if c not in (*keys, TIME)]
     return filled.select(
         *keys,
@@ -171,17 +172,20 @@ def fill_series(df: DataFrame, cols: Sequence[str] = FILL_COLS, gap_col: str = "
 
 def dense_series(
     ts2: DataFrame,
-    tag: str,
+    tag: str | Column,
     *,
     outages: Sequence[tuple[str, str]] | DataFrame = (),
     unknown_gap_min_hours: int = 12,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Sparse to dense series with outage flags and filled values."""
-    step = step_seconds(tag)
-    dense = densify(ts2, step, keys)
+    """Sparse to dense series with outage flags and filled values.
+
+    ``tag`` is one grid for all rows, or the column that names each row's grid; the latter
+    must be among the keys.
+    """
+    step = step_of_tag(tag) if isinstance(tag, Column) else step_seconds(tag)
     labelled = label_gaps(
-        dense,
+        densify(ts2, step, keys),
         step,
         run_length=F.col("_absent_run"),
         outages=outages,
@@ -201,24 +205,21 @@ def build_series(
     time_col: str = "datetime",
     host_col: str = "host",
 ) -> DataFrame:
-    """Dense series on all grids; the caller splits or writes by ``tag``."""
+    """Dense series on all grids from one scan; the caller splits or writes by ``tag``.
+
+    The sparse series is read twice below, so it is written once instead of scanning and
+    aggregating the events twice. A train/test split column is passed as a key.
+    """
     sparse = materialize(
         bucket_events_all(events, tags, keys=keys, time_col=time_col, host_col=host_col), "sparse"
     )
-    grids = [
-        dense_series(
-            sparse.filter(F.col("tag") == tag),
-            tag,
-            outages=outages,
-            unknown_gap_min_hours=unknown_gap_min_hours,
-            keys=[*keys, "tag"],
-        )
-        for tag in tags
-    ]
-    out = grids[0]
-    for g in grids[1:]:
-        out = out.unionByName(g)
-    return out
+    return dense_series(
+        sparse,
+        F.col("tag"),
+        outages=outages,
+        unknown_gap_min_hours=unknown_gap_min_hours,
+        keys=[*keys, "tag"],
+    )
 
 
 def series_report(ts3: DataFrame, by: Sequence[str] = ("split", "tag")) -> DataFrame:

@@ -99,9 +99,15 @@ def policy_table(spark: SparkSession, scenarios: Mapping[str, Mapping[str, Any]]
 
 
 def with_policy(case: DataFrame, policies: DataFrame) -> DataFrame:
-    """Attach the policies of a row's metric and window; a row without one is an error."""
+    """Attach the policies of a row's metric and window; a row without one is an error.
+
+    There are few distinct metrics and windows, so a shuffled join would have few, huge
+    partitions. A table within the bound is broadcast; a larger one is left to adaptive
+    skew handling.
+    """
     known = F.col("units").isNotNull()
-    joined = case.join(policies, ["metric", "window"], "left")
+    small = policies.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS
+    joined = case.join(F.broadcast(policies) if small else policies, ["metric", "window"], "left")
     missing = F.concat(
         F.lit("no capacity for "), F.coalesce("metric", F.lit("NULL")), F.lit("/"), F.coalesce("window", F.lit("NULL"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadtide.functions.timegrid import bucket_floor
+from loadtide.functions.timegrid import TAG_SECONDS, as_column, bucket_floor, step_of_tag
 from loadtide.operators import blocks as B
 
 TIME = "bucket_start"
@@ -17,7 +17,7 @@ def min_gap_rows(step: int, hours: int) -> int:
     return hours * 3600 // step
 
 
-def in_known_outage(ts: Column, step: int, outages: Sequence[tuple[str, str]]) -> Column:
+def in_known_outage(ts: Column, step: Column | int, outages: Sequence[tuple[str, str]]) -> Column:
     """Half-open membership in any of a few known outages, ends floored to the grid."""
     hit = F.lit(False)
     for start, end in outages:
@@ -26,12 +26,20 @@ def in_known_outage(ts: Column, step: int, outages: Sequence[tuple[str, str]]) -
     return hit
 
 
-def label_from_table(df: DataFrame, outages: DataFrame, step: int, keys: Sequence[str]) -> DataFrame:
+def label_from_table(
+    df: DataFrame, outages: DataFrame, step: Column | int, keys: Sequence[str]
+) -> DataFrame:
     """Known outages from a table ``start, end`` (and any of the keys).
 
     An outage is spelled out as the buckets it covers, which turns the range condition into
-    an equality join that needs no broadcast.
+    an equality join that needs no broadcast. A column ``step`` is taken to be ``tag``'s,
+    so outages are spelled out once per tag.
     """
+    if isinstance(step, Column):
+        tags = F.array(*[F.lit(t) for t in TAG_SECONDS])
+        outages = outages.drop("tag").withColumn("tag", F.explode(tags))
+        step = step_of_tag(F.col("tag"))
+    step = as_column(step)
     shared = [k for k in keys if k in outages.columns]
     lo, hi = (bucket_floor(F.col(c), step) for c in ("start", "end"))
     covered = (
@@ -39,7 +47,7 @@ def label_from_table(df: DataFrame, outages: DataFrame, step: int, keys: Sequenc
         .select(
             *[F.col(k).alias(f"_o_{k}") for k in shared],
             F.explode(
-                F.sequence(F.unix_seconds(lo), F.unix_seconds(hi) - F.lit(step), F.lit(step))
+                F.sequence(F.unix_seconds(lo), F.unix_seconds(hi) - step, step.cast("bigint"))
             ).alias("_o_t"),
         )
         .distinct()
@@ -88,7 +96,7 @@ def missing_run_lengths(
 
 def label_gaps(
     df: DataFrame,
-    step: int,
+    step: Column | int,
     *,
     run_length: Column | None = None,
     outages: Sequence[tuple[str, str]] | DataFrame = (),
@@ -105,7 +113,8 @@ def label_gaps(
     if run_length is None:
         flagged = missing_run_lengths(flagged, out="_len", keys=keys)
         run_length = F.col("_len")
-    long_hole = F.coalesce(run_length, F.lit(0)) >= min_gap_rows(step, unknown_gap_min_hours)
+    needed = F.floor(F.lit(unknown_gap_min_hours * 3600) / as_column(step))
+    long_hole = F.coalesce(run_length, F.lit(0)) >= needed
     if isinstance(outages, DataFrame):
         flagged = label_from_table(flagged, outages, step, keys)
     else:

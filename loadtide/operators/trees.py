@@ -17,6 +17,7 @@ from loadtide.functions.timegrid import naive_utc
 from loadtide.operators.evaluate import fold_mean, forecast_metrics, metrics_long
 from loadtide.operators.features import TIME, FeatureSpec
 from loadtide.operators.forecast import next_truth, time_folds
+from loadtide.session import ensure_checkpoints
 
 MODEL = "gbt"
 SCALED_LABEL, SCALED_PRED = "_label", "_fit"
@@ -61,6 +62,7 @@ def fit_trees(
     validation: str | None = None,
 ) -> PipelineModel:
     """Model of the next value; byte sums are fitted on a log scale."""
+    ensure_checkpoints(train.sparkSession)
     prepared, inputs = model_inputs(train, spec.feature_cols(target))
     label = to_model_scale(target, F.col(spec.labels[target]).cast("double"))
     cols = [*inputs, label.alias(SCALED_LABEL), *([validation] if validation else [])]

@@ -22,16 +22,15 @@ from loadtide.sources.metrics_store import append_metrics, read_metrics
 def series_stage(spark: SparkSession, logs: Mapping[str, str | Sequence[str]], out: str, cfg: Mapping[str, Any]) -> DataFrame:
     """Dense series of the train and test logs, written by split and tag."""
     gaps = cfg["gaps"]
-    splits = [
-        build_series(
-            scan_access_log(spark, paths),
-            cfg["tags"],
-            outages=gaps["outages"],
-            unknown_gap_min_hours=gaps["unknown_gap_min_hours"],
-        ).withColumn("split", F.lit(split))
-        for split, paths in logs.items()
-    ]
-    tables.write_series(reduce(DataFrame.unionByName, splits), out)
+    events = [scan_access_log(spark, paths).withColumn("split", F.lit(s)) for s, paths in logs.items()]
+    ts3 = build_series(
+        reduce(DataFrame.unionByName, events),
+        cfg["tags"],
+        outages=gaps["outages"],
+        unknown_gap_min_hours=gaps["unknown_gap_min_hours"],
+        keys=["split"],
+    )
+    tables.write_series(ts3, out)
     return tables.read_series(spark, out)
 
 

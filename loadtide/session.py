@@ -53,3 +53,9 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give iterative jobs a place to cut their lineage if the cluster has named none."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))

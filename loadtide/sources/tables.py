@@ -13,14 +13,13 @@ from loadtide.operators.features import GAP, SEG, TIME, FeatureSpec
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("split", "tag"), mode: str = "overwrite") -> None:
-    """Parquet with one folder per partition value; a partition goes to one writer."""
-    df.repartition(*by).write.mode(mode).partitionBy(*by).parquet(path)
+    """Parquet with one folder per partition value. Rebalancing gathers small folders in one
+    writer and spreads a large one over several."""
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_series(ts3: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Dense series by split, tag and month, so long series do not pass one writer."""
-    month = F.date_trunc("month", TIME)
-    ts3.repartition("split", "tag", month).write.mode(mode).partitionBy("split", "tag").parquet(path)
+    write_partitioned(ts3, path, ("split", "tag"), mode)
 
 
 def read_series(spark: SparkSession, path: str, split: str | None = None, tag: str | None = None) -> DataFrame:
