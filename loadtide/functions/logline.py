@@ -41,22 +41,27 @@ def group_numbers(pattern: str, names: tuple[str, ...]) -> list[int]:
 
 
 def captures(text: Column, pattern: str, names: tuple[str, ...]) -> Column:
-    """The named groups as an array, NULL where the pattern does not match from the start.
+    """The named groups behind an empty first element; one element where nothing matches.
 
-    For a pattern anchored at both ends one replace joins all groups with a separator and
-    one split takes them apart, so it runs once per line instead of once per group. Text
-    that already holds the separator, and open-ended patterns, go group by group.
+    The pattern has to match from the start. If it is anchored at both ends, one replace
+    joins all groups with a separator and one split takes them apart, so it runs once per
+    line instead of once per group. Text that already holds the separator, and open-ended
+    patterns, go group by group.
     """
     numbers = group_numbers(pattern, names)
     regex = pattern.replace("(?P<", "(?<")
     if not regex.startswith("^"):
         regex = f"^(?:{regex})"
-    one_by_one = F.when(text.rlike(regex), F.array(*[F.regexp_extract(text, regex, n) for n in numbers]))
+    groups = F.array(F.lit(""), *[F.regexp_extract(text, regex, n) for n in numbers])
+    one_by_one = F.when(text.rlike(regex), groups).otherwise(F.array(F.lit("")))
     if not (pattern.startswith("^") and pattern.endswith("$")):
         return one_by_one
     joined = F.regexp_replace(text, regex, SEPARATOR + SEPARATOR.join(f"${n}" for n in numbers))
-    at_once = F.when(joined.startswith(SEPARATOR), F.split(F.substr(joined, F.lit(2)), SEPARATOR))
-    return F.when(F.contains(text, F.lit(SEPARATOR)), one_by_one).otherwise(at_once)
+    return F.when(F.contains(text, F.lit(SEPARATOR)), one_by_one).otherwise(F.split(joined, SEPARATOR))
+
+
+def matched(parts: Column, names: tuple[str, ...]) -> Column:
+    return F.size(parts) == len(names) + 1
 
 
 def instant(text: Column, ts_format: str = TS_FORMAT) -> Column:

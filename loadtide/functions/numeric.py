@@ -40,3 +40,13 @@ def client_error(status: Column) -> Column:
 
 def server_error(status: Column) -> Column:
     return status.between(500, 599)
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation over rows where both are known, NULL if either does not vary.
+
+    The built-in aggregate raises a division error on a constant column in ANSI mode.
+    """
+    a, b = a.cast("double"), b.cast("double")
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadtide.functions.numeric import client_error, server_error
+from loadtide.functions.numeric import client_error, pearson, server_error
 from loadtide.operators import blocks as B
 from loadtide.operators.gaps import non_gap
 
@@ -108,7 +108,7 @@ def correlation_pairs(
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[: i + 1]]
     wide = df.groupBy(*keys).agg(
         *[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+            pearson(F.col(a), F.col(b)).alias(f"c{i}")
             for i, (a, b) in enumerate(pairs)
         ]
     )
@@ -163,7 +163,7 @@ def lag_correlation(
     tables = []
     for metric in metrics:
         lagged = _lagged(df, F.col(metric).cast("double"), lags, ())
-        wide = lagged.agg(*[F.corr("_x", f"_l{k}").alias(f"c{k}") for k in lags])
+        wide = lagged.agg(*[pearson(F.col("_x"), F.col(f"_l{k}")).alias(f"c{k}") for k in lags])
         rows = F.array(
             *[
                 F.struct(

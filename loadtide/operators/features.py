@@ -180,13 +180,13 @@ def rolling_columns(
         for i, target in enumerate(targets):
             na, nb, sa, sb = (F.col(f"_{c}{i}_{name}") for c in ("an", "bn", "as", "bs"))
             total = F.when(split, na + nb).otherwise(na).cast("double")
-            mean = F.when(split, sa + sb).otherwise(sa) / total
-            shift = sb / nb - sa / na
+            mean = F.try_divide(F.when(split, sa + sb).otherwise(sa), total)
+            shift = F.try_divide(sb, nb) - F.try_divide(sa, na)
             full = (F.col(SEG) >= 0) & (total == float(n))
             out[f"{target}_roll_mean_{name}"] = F.when(full, mean)
             if use_std:
                 va, vb = (F.col(f"_{c}{i}_{name}") for c in ("av", "bv"))
-                both = va * na + vb * nb + shift * shift * na * nb / total
+                both = va * na + vb * nb + F.try_divide(shift * shift * na * nb, total)
                 squares = F.when(split, both).otherwise(va * na)
                 deviation = F.sqrt(squares / F.lit(n - 1.0)) if n > 1 else F.lit(None).cast("double")
                 out[f"{target}_roll_std_{name}"] = F.when(full, deviation)

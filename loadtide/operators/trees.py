@@ -17,7 +17,7 @@ from loadtide.functions.timegrid import naive_utc
 from loadtide.operators.evaluate import fold_mean, forecast_metrics, metrics_long
 from loadtide.operators.features import TIME, FeatureSpec
 from loadtide.operators.forecast import next_truth, time_folds
-from loadtide.session import ensure_checkpoints
+from loadtide.session import ensure_checkpoints, materialize
 
 MODEL = "gbt"
 SCALED_LABEL, SCALED_PRED = "_label", "_fit"
@@ -103,7 +103,9 @@ def cross_validate(
 ) -> DataFrame | None:
     """Mean metrics over expanding folds, or None if the series is too short for two."""
     cv = {**DEFAULTS["modeling"]["cv"], **(cv or {})}
-    folds = time_folds(train, tag, splits=cv["splits"], test_days=cv["test_days"], gap_steps=cv["gap_steps"])
+    folds = materialize(
+        time_folds(train, tag, splits=cv["splits"], test_days=cv["test_days"], gap_steps=cv["gap_steps"]), "folds"
+    )
     last = folds.agg(F.max("fold")).first()[0]
     if last is None:
         return None

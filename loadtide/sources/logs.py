@@ -26,21 +26,27 @@ LOG_EVENT_SCHEMA = T.StructType(
 
 
 def line_fields(lines: DataFrame, fmt: L.LineFormat = L.LineFormat()) -> DataFrame:
-    """The five text fields of each readable line; other lines are dropped."""
-    parts = lines.select(L.captures(F.col("value"), fmt.log_pattern, L.LINE_FIELDS).alias("f"))
-    return parts.filter("f is not null").select(
-        *[F.col("f")[i].alias(name) for i, name in enumerate(L.LINE_FIELDS)]
+    """The five text fields of each readable line; other lines are dropped.
+
+    The generator drops them, not a filter: a filter would be merged with later ones and
+    pushed to the scan, and every copy would run the pattern again.
+    """
+    parts = lines.select(L.captures(F.col("value"), fmt.log_pattern, L.LINE_FIELDS).alias("p"))
+    hit = F.when(L.matched(F.col("p"), L.LINE_FIELDS), F.array("p"))
+    return parts.select(F.explode(hit).alias("f")).select(
+        *[F.col("f")[i + 1].alias(name) for i, name in enumerate(L.LINE_FIELDS)]
     )
 
 
 def split_request(fields: DataFrame, fmt: L.LineFormat = L.LineFormat()) -> DataFrame:
     """Replace ``request`` by method, url and version."""
-    parts = L.captures(F.trim(F.col("request"), F.lit(" \t\n\r\x0b\x0c")), fmt.request_pattern, L.REQUEST_FIELDS)
-    split = fields.withColumn("_r", parts)
+    trimmed = F.trim(F.col("request"), F.lit(" \t\n\r\x0b\x0c"))
+    split = fields.withColumn("_r", L.captures(trimmed, fmt.request_pattern, L.REQUEST_FIELDS))
+    hit = L.matched(F.col("_r"), L.REQUEST_FIELDS)
     return split.select(
         *[c for c in fields.columns if c != "request"],
         *[
-            F.coalesce(F.col("_r")[i], F.lit(L.UNREADABLE)).alias(name)
+            F.when(hit, F.col("_r")[i + 1]).otherwise(F.lit(L.UNREADABLE)).alias(name)
             for i, name in enumerate(L.REQUEST_FIELDS)
         ],
     )
