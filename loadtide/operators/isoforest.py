@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadtide.operators.quantiles import exact_quantile
 from loadtide.session import materialize
 
 # Trees, rows per tree, seed and the share of rows reported.
@@ -162,5 +163,5 @@ def isolation_anomalies(
 ) -> DataFrame:
     """Scores, and a flag on rows whose score reaches the top share of all scores."""
     scored = materialize(isolation_scores(df, cols, **options), "scores")
-    level = scored.agg(F.percentile("if_score", 1.0 - contamination)).scalar()
+    level = exact_quantile(scored, "if_score", 1.0 - contamination).scalar()
     return scored.withColumn("if_is_anomaly", (F.col("if_score") >= level).cast("tinyint"))

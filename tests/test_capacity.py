@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loadtide.config import settings
 from loadtide.operators import anomaly, blocks, capacity, isoforest, replay
+from loadtide.operators.quantiles import exact_quantile
 from loadtide.plans.load_study import policy_stage
 
 T0 = dt.datetime(2024, 1, 1)
@@ -221,3 +222,15 @@ def test_top_anomalies(spark):
     df = case(spark, range(60)).withColumn("anomaly_score", F.col("y_true"))
     rows = anomaly.top_anomalies(df).collect()
     assert len(rows) == 50 and rows[0]["y_true"] == 59
+
+
+@pytest.mark.parametrize("n,share", [(1, 0.5), (2, 0.99), (1000, 0.99), (50000, 0.99), (50000, 0.5), (50000, 0.0), (777, 1.0)])
+def test_exact_quantile(spark, n, share):
+    x = np.random.default_rng(n).exponential(size=n)
+    x[: n // 3] = np.round(x[: n // 3], 1)
+    df = spark.createDataFrame(pd.DataFrame({"v": x}))
+    assert exact_quantile(df, "v", share).first()["q"] == pytest.approx(np.quantile(x, share), rel=1e-12)
+
+
+def test_exact_quantile_of_nothing(spark):
+    assert exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5).first()["q"] is None
