@@ -93,7 +93,7 @@ def _metric_rows(spark, sf):
 @query("a5_csv_repair")
 def a5(spark, sf):
     path = shared_dir(spark, "csv")
-    rows = _metric_rows(spark, sf).withColumn("value", F.round("value", 6)).drop("split")
+    rows = _metric_rows(spark, sf).drop("split")
     tables.write_csv(rows, path)
     return metrics_store.load_metrics_csv(spark, path)
 

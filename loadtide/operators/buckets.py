@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadtide.functions.numeric import client_error, per_hit, server_error
@@ -74,14 +74,15 @@ def bucket_events_all(
 ) -> DataFrame:
     """Sparse series on several grids from one scan, told apart by ``tag``.
 
-    Events shrink to one row per key, finest bucket and host before they are repeated per
-    grid; hosts are part of that key, so a hot series is spread over many tasks and the
-    distinct counts stay exact.
+    Events shrink to one row per key, finest bucket and host; hosts are part of that key,
+    so a hot series is spread over many tasks. A row then notes on which grids its host is
+    new in the bucket, which makes exact distinct counts plain sums: rows are shuffled once
+    more by host, not once per grid.
     """
     sizes = sorted((step_seconds(t), t) for t in tags)
-    finest = sizes[0][0]
-    if any(s % finest for s, _ in sizes):
-        raise ValueError("every grid must be a multiple of the finest one")
+    finest, coarsest = sizes[0][0], sizes[-1][0]
+    if any(s % finest or coarsest % s for s, _ in sizes):
+        raise ValueError("grids must nest")
     status = F.col("status")
     per_host = (
         events.filter(F.col(time_col).isNotNull())
@@ -92,22 +93,30 @@ def bucket_events_all(
             F.count_if(client_error(status)).alias("_4xx"),
             F.count_if(server_error(status)).alias("_5xx"),
         )
+        .withColumn("_coarse", bucket_floor(F.col("_fine"), coarsest))
     )
-    grids = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(t).alias("tag"), bucket_floor(F.col("_fine"), s).alias(TIME))
-                for s, t in sizes
-            ]
-        )
+    visits = Window.partitionBy(*keys, "_coarse", "_host").orderBy("_fine")
+    seen = per_host.withColumn("_before", F.lag("_fine").over(visits))
+    grids = F.array(
+        *[
+            F.struct(
+                F.lit(t).alias("tag"),
+                bucket_floor(F.col("_fine"), s).alias(TIME),
+                (
+                    F.col("_host").isNotNull()
+                    & (F.col("_before").isNull() | (F.col("_before") < bucket_floor(F.col("_fine"), s)))
+                ).alias("fresh"),
+            )
+            for s, t in sizes
+        ]
     )
     return with_rates(
-        per_host.withColumn("_g", grids)
+        seen.withColumn("_g", F.explode(grids))
         .groupBy(*keys, F.col("_g.tag").alias("tag"), F.col(f"_g.{TIME}").alias(TIME))
         .agg(
             F.sum("_n").alias("hits"),
             F.sum("_bytes").cast("double").alias("bytes_sum"),
-            F.countDistinct("_host").alias("unique_hosts"),
+            F.count_if("_g.fresh").alias("unique_hosts"),
             F.sum("_4xx").alias("err_4xx"),
             F.sum("_5xx").alias("err_5xx"),
         )

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# percentile_approx is off by at most one rank in ACCURACY, so a bracket this wide always holds
+# percentile_approx is off by at most one rank in ACCURACY. A bracket this wide always holds for
+# more than FEW values; fewer are ordered as they are.
 ACCURACY = 10_000
 MARGIN = 2.0 / ACCURACY
+FEW = 4 * ACCURACY
 
 
 def exact_quantile(df: DataFrame, value: str, share: float) -> DataFrame:
@@ -19,9 +21,11 @@ def exact_quantile(df: DataFrame, value: str, share: float) -> DataFrame:
     """
     x = df.select(F.col(value).cast("double").alias("x")).filter("x is not null")
     shares = [max(0.0, share - MARGIN), min(1.0, share + MARGIN)]
+    whole = F.array(F.min("x"), F.max("x"))
+    edges = F.when(F.count(F.lit(1)) <= FEW, whole).otherwise(F.percentile_approx("x", shares, ACCURACY))
     sketch = x.agg(
         F.struct(
-            F.percentile_approx("x", shares, ACCURACY).alias("edges"),
+            edges.alias("edges"),
             ((F.count(F.lit(1)) - 1) * F.lit(share)).alias("rank"),
         )
     )

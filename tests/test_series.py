@@ -117,7 +117,8 @@ def test_empty_input(spark):
 
 
 def test_grids_agree_with_single_builds(spark):
-    df = events(spark, *[(i * 7 % 200, f"h{i % 5}", 200 + 100 * (i % 4), i) for i in range(150)])
+    hosts = ["a", "b", "c", None]
+    df = events(spark, *[(i * 7 % 200, hosts[i * 3 % 4], 200 + 100 * (i % 4), i) for i in range(150)])
     both = buckets.bucket_events_all(df)
     for tag in ("1m", "5m", "15m"):
         alone = bucket_events(df, tag)
