@@ -53,10 +53,14 @@ def owned(df: DataFrame, *extra: str) -> DataFrame:
     return df.filter(OWN).drop(BLOCK, OWN, *extra)
 
 
+def named_blocks(df: DataFrame, order: Column, size: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+    return df.withColumn(BLOCK, block_of(order, size))
+
+
 def in_blocks(
     df: DataFrame, order: Column, keys: Sequence[str], size: int = DEFAULT_BLOCK_SECONDS
 ) -> DataFrame:
-    return df.withColumn(BLOCK, block_of(order, size)).repartition(*keys, BLOCK)
+    return named_blocks(df, order, size).repartition(*keys, BLOCK)
 
 
 def block_window(keys: Sequence[str], order: str | Column, *extra: str) -> WindowSpec:
@@ -77,12 +81,16 @@ def with_carry(
     keys: Sequence[str],
     totals: Mapping[str, Column],
     carry: Mapping[str, Column],
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Join values folded over the earlier blocks of the same key to every row.
 
     ``totals`` are aggregates per block, ``carry`` are expressions over those columns.
+    ``source`` holds the same rows before they were spread by block; totals taken from it
+    are combined on the map side, so only one row per block is shuffled for them.
     """
-    per_block = df.groupBy(*keys, BLOCK).agg(*[c.alias(n) for n, c in totals.items()])
+    rows = df if source is None else source
+    per_block = rows.groupBy(*keys, BLOCK).agg(*[c.alias(n) for n, c in totals.items()])
     folded = per_block.select(
         *[F.col(k).alias(f"_c_{k}") for k in keys],
         F.col(BLOCK).alias("_c_block"),
@@ -104,14 +112,15 @@ def running_sum(
     size: int = DEFAULT_BLOCK_SECONDS,
 ) -> DataFrame:
     """Inclusive prefix sum along a time column."""
-    blocked = in_blocks(df.withColumn("_v", value), epoch(order), keys, size)
+    rows = named_blocks(df.withColumn("_v", value), epoch(order), size)
     upto = block_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.withColumn("_local", F.sum("_v").over(upto))
+    local = rows.repartition(*keys, BLOCK).withColumn("_local", F.sum("_v").over(upto))
     carried = with_carry(
         local,
         keys,
         {"_total": F.sum("_v")},
         {"_before": F.sum("_total").over(earlier_blocks(keys))},
+        source=rows,
     )
     total = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
     return carried.withColumn(out, total).drop("_v", "_local", "_before", BLOCK)

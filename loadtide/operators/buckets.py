@@ -142,13 +142,14 @@ def densify(
     so no spine and no join are needed. ``_absent_run`` is the length of the hole an added
     row lies in and NULL on observed rows.
     """
-    blocked = B.in_blocks(ts2, B.epoch(TIME), keys, block_seconds)
-    near = blocked.withColumn("_prev", F.lag(TIME).over(B.block_window(keys, TIME)))
+    rows = B.named_blocks(ts2, B.epoch(TIME), block_seconds)
+    near = rows.repartition(*keys, B.BLOCK).withColumn("_prev", F.lag(TIME).over(B.block_window(keys, TIME)))
     carried = B.with_carry(
         near,
         keys,
         {"_last": F.max(TIME)},
         {"_far": F.max("_last").over(B.earlier_blocks(keys))},
+        source=rows,
     )
     step = as_column(step).cast("bigint")
     now = F.unix_seconds(TIME)
