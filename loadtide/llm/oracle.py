@@ -11,7 +11,7 @@ sets AS MATERIALIZED (
   SELECT DISTINCT doc_id, sh FROM (
     SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
       WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS sh
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS sh
     FROM words)),
 sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 common AS (
