@@ -43,20 +43,22 @@ SIGMAS = 6.0
 _BOUNDS = np.arange(REGISTERS, dtype=np.uint64) << np.uint64(64 - BITS)
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """128 registers of 16 bits from sorted distinct hashes; 0 marks an empty bucket."""
-    out = np.zeros(REGISTERS, np.uint16)
-    if not len(hashes):
-        return out
-    at = np.searchsorted(hashes, _BOUNDS)
-    low = hashes[np.minimum(at, len(hashes) - 1)]
-    full = (at < len(hashes)) & ((low >> np.uint64(64 - BITS)) == np.arange(REGISTERS, dtype=np.uint64))
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """(texts, 128) registers of 16 bits from sorted distinct hashes; 0 marks an empty bucket."""
+    low = np.zeros((len(sets), REGISTERS), np.uint64)
+    full = np.zeros((len(sets), REGISTERS), bool)
+    for k, h in enumerate(sets):
+        at = np.searchsorted(h, _BOUNDS)
+        inside = at < len(h)
+        low[k, inside] = h[at[inside]]
+        full[k] = inside
+    full &= (low >> np.uint64(64 - BITS)) == np.arange(REGISTERS, dtype=np.uint64)
     rest = low << np.uint64(BITS)
     zeros = 53 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1]  # 53 bits are exact in a double
     zeros = np.minimum(zeros, 53).astype(np.uint64)
     after = (rest << zeros << np.uint64(1)) >> np.uint64(64 - MANTISSA)
-    out[full] = ((zeros << np.uint64(MANTISSA)) + after + np.uint64(1))[full]
-    return out
+    value = (zeros << np.uint64(MANTISSA)) + after + np.uint64(1)
+    return np.where(full, value, np.uint64(0)).astype(np.uint16)
 
 
 def band_count(n: int, threshold: float) -> int:
@@ -73,18 +75,40 @@ def band_count(n: int, threshold: float) -> int:
     return bands
 
 
-def band_keys(regs: np.ndarray, n: int, threshold: float) -> np.ndarray:
-    """Keys of the bands that aren't empty, for the document's size class and the next if in reach."""
-    keys = []
-    for size in {1 << max(4, int(m).bit_length()) if m < REGISTERS else 0 for m in (n, n / threshold + 1e-9)}:
-        bands = band_count(size - 1 if size else REGISTERS, threshold)
-        rows = regs.reshape(bands, -1)
-        own = np.flatnonzero(rows.any(axis=1))
-        acc = np.full(len(own), size * 64 + bands, np.uint64)
-        for k in range(rows.shape[1]):
-            acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + rows[own, k])
-        keys.append(mix(acc + own.astype(np.uint64)))
-    return np.concatenate(keys)
+def _size_class(n: np.ndarray) -> np.ndarray:
+    """The power of two above n, 16 at least; 0 from 128 on."""
+    size = np.maximum(16, 1 << np.frexp(n)[1].astype(np.int64))
+    return np.where(n >= REGISTERS, 0, size)
+
+
+def band_keys(regs: np.ndarray, n: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """Keys of each text's bands that aren't empty, for its size class and the next if in reach."""
+    own, reach = _size_class(n), _size_class(np.floor(n / threshold + 1e-9))
+    found: list[list[np.ndarray]] = [[] for _ in n]
+    for size in np.unique(np.concatenate((own, reach))):
+        at = np.flatnonzero(((own == size) | (reach == size)) & (n > 0))
+        bands = band_count(int(size) - 1 if size else REGISTERS, threshold)
+        cut = regs[at].reshape(len(at), bands, -1)
+        acc = np.full((len(at), bands), int(size) * 64 + bands, np.uint64)
+        for k in range(cut.shape[2]):
+            acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + cut[:, :, k])
+        acc = mix(acc + np.arange(bands, dtype=np.uint64))
+        full = cut.any(axis=2)
+        for k, i in enumerate(at):
+            found[i].append(acc[k, full[k]])
+    return [np.concatenate(f) if f else np.empty(0, np.uint64) for f in found]
+
+
+def digests(sets: list[np.ndarray]) -> np.ndarray:
+    """(texts, 2) sums of two independent spreads of the hashes: 128 bits that name a set."""
+    out = np.zeros((len(sets), 2), np.int64)
+    some = [k for k, h in enumerate(sets) if len(h)]
+    if some:
+        flat = np.concatenate([sets[k] for k in some])
+        starts = np.cumsum([0] + [len(sets[k]) for k in some[:-1]])
+        for c, salt in enumerate((0, 0xD6E8FEB86659FD93)):
+            out[some, c] = np.add.reduceat(mix(flat ^ np.uint64(salt)), starts).astype(np.int64)
+    return out
 
 
 def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
@@ -118,21 +142,17 @@ def sign(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, high, low, regs, keys = [], [], [], [], []
-            for h in shingle_sets(as_bytes(batch.column(1))):
-                r = registers(h)
-                size.append(len(h))
-                high.append(int(mix(h).sum(dtype=np.uint64).astype(np.int64)))
-                low.append(int(mix(h ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).astype(np.int64)))
-                regs.append(r.tobytes())
-                keys.append(band_keys(r, len(h), threshold).astype(np.int64) if len(h) else np.empty(0, np.int64))
+            sets = list(shingle_sets(as_bytes(batch.column(1))))
+            size = np.array([len(h) for h in sets], np.int64)
+            regs, digest = registers(sets), digests(sets)
+            keys = [k.astype(np.int64) for k in band_keys(regs, size, threshold)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(size, pa.int64()),
-                    pa.array(high, pa.int64()),
-                    pa.array(low, pa.int64()),
-                    pa.array(regs, pa.binary()),
+                    pa.array(size),
+                    pa.array(digest[:, 0].copy()),
+                    pa.array(digest[:, 1].copy()),
+                    pa.array([r.tobytes() for r in regs], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "high", "low", "regs", "bands"],
@@ -149,17 +169,11 @@ def _sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            nodes, sets = [], []
-            meta = [batch.column(i).to_pylist() for i in range(3)]
-            for node, high, low, h in zip(*meta, shingle_sets(as_bytes(batch.column(3)))):
-                own = (
-                    int(mix(h).sum(dtype=np.uint64).astype(np.int64)),
-                    int(mix(h ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).astype(np.int64)),
-                )
-                if own == (high, low):  # a doc_id may come with several texts
-                    nodes.append(node)
-                    sets.append(h.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "hashes"])
+            sets = list(shingle_sets(as_bytes(batch.column(3))))
+            want = np.column_stack([batch.column(i).to_numpy() for i in (1, 2)])
+            own = (digests(sets) == want).all(axis=1)  # a doc_id may come with several texts
+            hashes = pa.array([h.tobytes() for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), hashes], names=["node", "hashes"]).filter(pa.array(own))
 
     found = needed.join(docs, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "high", "low", "text")
     return found.mapInArrow(run, "node long, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))

@@ -28,3 +28,43 @@ least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+ORACLES["op4_mixture"] = r"""
+WITH
+sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+named AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, [1, 2, 3][src % 3 + 1]::BIGINT AS w, 3 * source_size AS cap, sum(source_size) OVER ()::BIGINT AS total FROM named),
+levels AS (
+  SELECT *, row_number() OVER (ORDER BY cap / w, src) AS rank,
+    (total - sum(cap) OVER (ORDER BY cap / w, src) + cap)::DOUBLE
+      / sum(w) OVER (ORDER BY cap / w, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+  FROM weighed),
+stopping AS (SELECT *, bool_and(cap <= level * w) OVER (ORDER BY rank) AS stops FROM levels),
+shared AS (
+  SELECT src, source, source_size,
+    CASE WHEN stops THEN cap::DOUBLE ELSE (SELECT arg_min(level, rank) FROM stopping WHERE NOT stops) * w END AS target
+  FROM stopping),
+sources AS (
+  SELECT *, sum(round(target)::BIGINT) OVER (ORDER BY src)::BIGINT AS hi,
+    sum(round(target)::BIGINT) OVER (ORDER BY src)::BIGINT - round(target)::BIGINT AS lo,
+    sum(round(target)::BIGINT) OVER ()::BIGINT AS total,
+    greatest(ceil(sum(round(target)::BIGINT) OVER () / 65536), 1)::BIGINT AS block_words
+  FROM shared),
+slots AS (
+  SELECT slot, floor((slot * 2654435769) % 4294967296 / 4294967296.0::DOUBLE * total)::BIGINT AS pos
+  FROM (SELECT total, unnest(range(ceil(total / block_words)::BIGINT)) AS slot FROM sources WHERE lo = 0 AND hi > 0)),
+counts AS (SELECT src, count(*) AS n FROM slots JOIN sources ON pos >= lo AND pos < hi GROUP BY src),
+lines AS (
+  SELECT d.doc_id, d.size, s.source_size, s.target, coalesce(n, 0) * block_words AS taken_line,
+    sum(size) OVER (PARTITION BY s.src ORDER BY md5('mix' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+      ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN counts USING (src))
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, taken_line - start)) + greatest(0, least(size, taken_line - source_size - start))
+    + greatest(0, least(size, taken_line - 2 * source_size - start)))::BIGINT AS taken
+FROM lines
+"""

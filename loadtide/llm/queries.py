@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadtide.llm import hyperminhash
+from loadtide.llm import hyperminhash, mixture, ordinal
+
+
+ROWS_PER_BATCH = "1000"  # whole documents and pages: a few megabytes, where the default makes tens
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -17,6 +21,19 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), threshold=0.85)
 
 
+def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.taken(read(spark, sf_dir, "documents"))
+
+
+def op9_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ordinal.fit(docs, ordinal.grades_of(read(spark, sf_dir, "labels")), levels=3)
+    out = ordinal.grade_documents(model, docs, at_least=2)
+    return out.select("doc_id", "expected_grade", "tail_probability", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixture": op4_mixture,
     "op6_hyperminhash": op6_hyperminhash,
+    "op9_ordinal": op9_ordinal,
 }
