@@ -68,3 +68,13 @@ SELECT doc_id, size, source_size, target,
     + greatest(0, least(size, taken_line - 2 * source_size - start)))::BIGINT AS taken
 FROM lines
 """
+
+ORACLES["op1_warc"] = """
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to, TRUE AS intact
+FROM (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n, sha1(coalesce(html, '')) AS d,
+    max(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS last
+  FROM pages)
+"""

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadtide.llm import hyperminhash, mixture, ordinal
+from loadtide.llm import bpe, hyperminhash, mixture, ordinal, warc
+from loadtide.session import shared_dir
 
 
 ROWS_PER_BATCH = "1000"  # whole documents and pages: a few megabytes, where the default makes tens
@@ -21,6 +24,13 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), threshold=0.85)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken(read(spark, sf_dir, "documents"))
 
@@ -32,8 +42,20 @@ def op9_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "expected_grade", "tail_probability", "accepted")
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
+    out = bpe.encode(read(spark, sf_dir, "documents"), path)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(out, out["ids"], path), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op4_mixture": op4_mixture,
     "op6_hyperminhash": op6_hyperminhash,
     "op9_ordinal": op9_ordinal,
+    "op10_bpe": op10_bpe,
 }
