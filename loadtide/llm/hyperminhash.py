@@ -88,7 +88,7 @@ def band_keys(regs: np.ndarray, n: np.ndarray, threshold: float) -> list[np.ndar
     for size in np.unique(np.concatenate((own, reach))):
         at = np.flatnonzero(((own == size) | (reach == size)) & (n > 0))
         bands = band_count(int(size) - 1 if size else REGISTERS, threshold)
-        cut = regs[at].reshape(len(at), bands, -1)
+        cut = regs[at].reshape(len(at), bands, REGISTERS // bands)
         acc = np.full((len(at), bands), int(size) * 64 + bands, np.uint64)
         for k in range(cut.shape[2]):
             acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + cut[:, :, k])
@@ -208,41 +208,80 @@ def _confirm(percent: int):
     return run
 
 
-def _across(table: pa.Table, threshold: float):
-    """Likely pairs of two sides of a block pair that lie in different components, each pair once."""
-    side = np.array(table.column("side").to_pylist())
-    regs = _stack(table.column("regs"), np.uint16)
-    n = table.column("n").to_numpy().astype(float)
-    root = table.column("root").to_numpy()
-    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(two):
-        two = one
-    for k in range(0, len(one), 64):
-        p = one[k : k + 64]
-        est, used = estimate(regs[p][:, None], regs[two][None], n[p][:, None], n[two][None])
-        ok = likely(est, used, threshold) & (root[p][:, None] != root[two][None])
-        ok &= np.minimum(n[p][:, None], n[two][None]) >= threshold * np.maximum(n[p][:, None], n[two][None]) - 1e-9
-        i, j = np.nonzero(ok)
-        yield p[i], two[j], est[i, j]
+class _Pair:
+    """The rows of one pair of blocks, as arrays."""
+
+    def __init__(self, side, n, root, regs):
+        self.n, self.root, self.regs = n.astype(float), root, regs
+        self.one, self.two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(self.two):
+            self.two = self.one
+
+    def likely(self, threshold: float):
+        """Likely pairs of different components: rows, rows, estimates."""
+        n, root, regs, two = self.n, self.root, self.regs, self.two
+        for k in range(0, len(self.one), 64):
+            p = self.one[k : k + 64]
+            ok = root[p][:, None] != root[two][None]
+            ok &= np.minimum(n[p][:, None], n[two][None]) >= threshold * np.maximum(n[p][:, None], n[two][None]) - 1e-9
+            i, j = np.nonzero(ok)
+            for lo in range(0, len(i), 1 << 14):
+                x, y = p[i[lo : lo + (1 << 14)]], two[j[lo : lo + (1 << 14)]]
+                est, used = estimate(regs[x], regs[y], n[x], n[y])
+                good = likely(est, used, threshold)
+                yield x[good], y[good], est[good]
+
+
+def _by_pair(each, names: list[str]):
+    """Run ``each`` on every block pair of a partition sorted by (key, i, j), a batch and one pair in memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+
+        def done(table: pa.Table, starts: np.ndarray):
+            cols = [table.column(c).to_numpy() for c in ("side", "n", "root")]
+            regs = _stack(table.column("regs"), np.uint16)
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield from each(table.slice(a, b - a), _Pair(*(c[a:b] for c in cols), regs[a:b]))
+
+        def out(found: list) -> Iterator[pa.RecordBatch]:
+            if found:
+                yield from pa.concat_tables(found).select(names).combine_chunks().to_batches()
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            if not table.num_rows:
+                continue
+            ids = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+            starts = np.concatenate(([0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1))
+            rest = table.slice(int(starts[-1])).combine_chunks()
+            if len(starts) > 1:
+                yield from out(list(done(table, starts)))
+        if rest is not None:
+            yield from out(list(done(rest, np.array([0, rest.num_rows]))))
+
+    return run
 
 
 def _mark(threshold: float):
     """Rows of a block pair that take part in a likely pair."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def each(table: pa.Table, pair: _Pair):
         hit = np.zeros(table.num_rows, bool)
-        for x, y, _ in _across(table, threshold):
+        for x, y, _ in pair.likely(threshold):
             hit[x] = hit[y] = True
-        return table.filter(pa.array(hit))
+        if hit.any():
+            yield table.filter(pa.array(hit))
 
-    return run
+    return each
 
 
 def _compare(threshold: float, percent: int):
     """Links between different components of a block pair, as a spanning forest."""
 
-    def run(table: pa.Table) -> pa.Table:
-        node, root = table.column("node").to_numpy(), table.column("root").to_pylist()
+    def each(table: pa.Table, pair: _Pair):
+        node = table.column("node").to_numpy()
         sets = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
         up: dict[int, int] = {}
 
@@ -252,16 +291,17 @@ def _compare(threshold: float, percent: int):
             return r
 
         links = []
-        for xs, ys, est in _across(table, threshold):
+        for xs, ys, est in pair.likely(threshold):
             for k in np.argsort(-est, kind="stable"):
                 x, y = int(xs[k]), int(ys[k])
-                p, q = find(root[x]), find(root[y])
+                p, q = find(int(pair.root[x])), find(int(pair.root[y]))
                 if p != q and _linked(sets[x], sets[y], percent):
                     up[p] = q
                     links.append((int(node[x]), int(node[y])))
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        if links:
+            yield pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return run
+    return each
 
 
 def _block_pairs(groups: DataFrame) -> DataFrame:
@@ -304,6 +344,10 @@ def _block_pairs(groups: DataFrame) -> DataFrame:
     return dealt.select("key", "pair.i", "pair.j", "pair.side", "node", "root", "n", "regs")
 
 
+def _sorted_pairs(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
 ) -> DataFrame:
@@ -349,10 +393,12 @@ def near_duplicates(
     groups = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = materialize(groups, "groups")
     mixed = _block_pairs(groups.join(brief, "node"))
+    names = ["key", "i", "j", "side", "node", "root", "n", "regs"]
     shape = "key long, i int, j int, side int, node long, root long, n long, regs binary"
-    marked = materialize(mixed.groupBy("key", "i", "j").applyInArrow(_mark(threshold), shape), "marked")
-    late = marked.join(sets, "node").groupBy("key", "i", "j")
-    more = materialize(late.applyInArrow(_compare(threshold, percent), "a long, b long"), "late-links")
+    marked = materialize(_sorted_pairs(mixed).mapInArrow(_by_pair(_mark(threshold), names), shape), "marked")
+    late = _sorted_pairs(marked.join(sets, "node"))
+    more = late.mapInArrow(_by_pair(_compare(threshold, percent), ["a", "b"]), "a long, b long")
+    more = materialize(more, "late-links")
 
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     ids = nodes.select("node", "high", "low", "n_shingles", "doc_id").join(final, "node", "left")
