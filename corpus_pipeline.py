@@ -1,14 +1,83 @@
-"""From raw documents to token ids, stage by stage."""
+"""From raw documents to token ids, stage by stage.
+
+quality          documents whose chance of the top grade is below one half go
+near_duplicates  of documents linked by a shingle similarity of 0.8 or more, the one of the smallest doc_id stays
+mixture          sources come near their target weights: documents appear as often as the mix reads them
+encode           each document becomes its token ids
+
+Every stage works on all rows of its predecessor. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from loadtide.llm import bpe, hyperminhash, mixture, ordinal
+from loadtide.llm.queries import read
 from loadtide.session import materialize
 
-STAGES: list[tuple[str, Callable]] = []
+SIMILARITY = 0.8
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents accepted by the ordinal classifier, trained on the labels of the documents present.
+
+    Null, empty and blank texts are rejected. Equal texts share their fate. Without labels everything else stays.
+    """
+    labels = ordinal.grades_of(read(spark, sf_dir, "labels"))
+    model = ordinal.fit(docs, labels, levels=3)
+    chance = ordinal.tail(model, ordinal.score(model, F.col("text")), 2)
+    return docs.where(chance >= 0.5)
+
+
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document per group: the smallest doc_id, and one of repeated rows.
+
+    Documents without words have no near duplicates and stay. Different texts of one doc_id are documents of their own.
+    """
+    found = hyperminhash.near_duplicates(docs, threshold=SIMILARITY)
+    ids = materialize(found.where("kept").select(F.col("doc_id").alias("_id")).distinct(), "kept-ids")
+    kept = docs.join(ids, _same(docs["doc_id"], ids["_id"])).drop("_id")
+    first = Window.partitionBy("doc_id", F.xxhash64("text"), F.sha1(F.col("text").cast("binary"))).orderBy("source", "lang")
+    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or drop documents so that the sources come near their targets.
+
+    A document appears once for each epoch in which the mix reads any of its words. Rows that agree in doc_id, source and size appear as often as the one read most.
+    """
+    line, placed = mixture.mix(mixture.sizes(docs))
+    epochs = placed.select("row", "epoch").distinct().groupBy("row").agg(F.count("*").cast("int").alias("_copies"))
+    often = line.join(epochs, "row").groupBy("doc_id", "source", "size").agg(F.max("_copies").alias("_copies"))
+    often = materialize(often.toDF("_id", "_source", "_size", "_copies"), "mix-copies")
+    sized = docs.withColumn("_words", mixture.words(F.col("text")))
+    met = sized.join(often, _same(F.col("doc_id"), F.col("_id")) & _same(F.col("source"), F.col("_source")) & (F.col("_words") == F.col("_size")))
+    again = met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return again.select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens and ids of every document."""
+    out = bpe.encode(docs, TOKENIZER, keep=("doc_id", "source"))
+    return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mix_sources),
+    ("encode", encode),
+]
 
 # the stages train a classifier and encode with a tokenizer's tables, which SQL cannot express
 ORACLE_SQL = None

@@ -78,3 +78,23 @@ FROM (
     max(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS last
   FROM pages)
 """
+
+ORACLES["op2_metricjoin"] = """
+WITH RECURSIVE
+vectors AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION SELECT reach.vec_id, y FROM reach JOIN links ON reach.r = x),
+least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts ON vec_id = x
+"""

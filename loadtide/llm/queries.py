@@ -8,10 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import bpe, hyperminhash, mixture, ordinal, warc
+from loadtide.llm import bpe, extract, hashforest, hyperminhash, metricjoin, mixture, ordinal, ring, viterbi, warc
 from loadtide.session import shared_dir
 
-
 ROWS_PER_BATCH = "1000"  # whole documents and pages: a few megabytes, where the default makes tens
 
 
@@ -20,10 +19,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), threshold=0.85)
-
-
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path)
@@ -31,10 +26,38 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op2_metricjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metricjoin.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken(read(spark, sf_dir, "documents"))
 
 
+def op5_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    out = ring.assign(docs.select("doc_id", "text", crc), shards=24)
+    nothing = F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", nothing)
+
+
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), threshold=0.85)
+
+
+def op7_viterbi(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.path("piece_bpe_32k.model")) -> DataFrame:
+    return viterbi.count_tokens(read(spark, sf_dir, "documents"), path)
+
+
+def op8_hashforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashforest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = ordinal.fit(docs, ordinal.grades_of(read(spark, sf_dir, "labels")), levels=3)
@@ -54,8 +77,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.pat
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_metricjoin": op2_metricjoin,
+    "op3_extract": op3_extract,
     "op4_mixture": op4_mixture,
+    "op5_ring": op5_ring,
     "op6_hyperminhash": op6_hyperminhash,
+    "op7_viterbi": op7_viterbi,
+    "op8_hashforest": op8_hashforest,
     "op9_ordinal": op9_ordinal,
     "op10_bpe": op10_bpe,
 }
