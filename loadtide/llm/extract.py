@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
@@ -37,6 +36,8 @@ GROUP_OF: dict[str, int] = {}
 for _k, _g in enumerate(GROUPS):
     for _w in WORDS[_g].split():
         GROUP_OF[_w] = GROUP_OF.get(_w, 0) | 1 << _k
+#: text-level tags; without class words they go with the block around them
+INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 PUNCTUATION = re.compile(r"[.,;:!?]")
 
 
@@ -155,7 +156,8 @@ def _labelled(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 def train(spark: SparkSession, count: int = TRAIN_PAGES, trees: int = TREES, seed: int = 5) -> Trees:
     """Fit Spark's boosted trees on ``count`` generated pages; the model doesn't depend on the input pages."""
     x, y = _labelled(count, seed)
-    rows = spark.createDataFrame(pd.DataFrame({"label": y, "x": list(x)}))
+    lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
+    rows = spark.createDataFrame(pa.table({"label": y, "x": lists}))
     data = rows.select("label", array_to_vector("x").alias("features")).repartition(4).cache()
     model = GBTClassifier(maxIter=trees, maxDepth=5, stepSize=0.3, minInstancesPerNode=5, subsamplingRate=1.0, seed=seed).fit(data)
     data.unpersist()
@@ -187,9 +189,13 @@ def _model(app: str, count: int, trees: int, seed: int) -> Trees:
 
 
 def decode(page: Page, chance: np.ndarray) -> np.ndarray:
-    """Keep or drop for every node: the most likely choice in which kept nodes have kept parents."""
+    """Keep or drop for every node: the most likely choice in which kept nodes have kept parents.
+
+    Text-level nodes without class words have no say and follow their block.
+    """
     n = len(page.tag)
-    chance = np.clip(chance, 1e-6, 1 - 1e-6)
+    plain = np.array([t in INLINE and not m for t, m in zip(page.tag, page.marks)])
+    chance = np.where(plain, 0.5, np.clip(chance, 1e-6, 1 - 1e-6))
     yes, no = np.log(chance), np.log(1 - chance)
     drop = no.copy()
     keep = yes.copy()
