@@ -143,10 +143,6 @@ def settings_scaling(overrides: dict) -> dict:
     return {**base, **SCALING}
 
 
-def knobs(spark: SparkSession) -> list[dict]:
-    return [r.asDict() for r in policies(spark).collect()]
-
-
 def service_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capacity case of every service and target under all scenarios."""
 

@@ -789,13 +789,13 @@ oracle(
 TOTALS = f"""totals AS (SELECT model, target, "window", {errors('true_next', 'pred', _FLOOR)} FROM preds GROUP BY ALL)"""
 oracle(
     "a7_metrics_append",
-    "x:run_id x:model x:target x:window x:split x:metric f:value",
+    "i:batch x:run_id x:model x:target x:window x:split x:metric f:value i:position",
     chain(
         *PREDS,
         TOTALS,
-        """long AS (SELECT model, target, "window", 'test' AS split,
+        """long AS (SELECT model, target, "window", 'test' AS split, unnest([1, 2, 3, 4]) AS position,
       unnest(['RMSE', 'MSE', 'MAE', 'MAPE']) AS metric, unnest([RMSE, MSE, MAE, MAPE]) AS value FROM totals)""",
-        "SELECT 'run-1' AS run_id, * FROM long UNION ALL SELECT 'run-2', * REPLACE (value * 2 AS value) FROM long",
+        "SELECT 1 AS batch, 'run-1' AS run_id, * FROM long UNION ALL SELECT 2, 'run-2', * REPLACE (value * 2 AS value) FROM long",
     ),
 )
 TWO_MODELS = (
@@ -826,8 +826,8 @@ CASES = (
 )
 oracle(
     "e14_residuals",
-    "x:service x:metric t:timestamp f:residual",
-    chain(*CASES, "SELECT *, y_true - y_pred AS residual FROM cases"),
+    "x:service x:scenario x:metric t:timestamp f:residual",
+    chain(*CASES, "SELECT *, y_true - y_pred AS residual FROM cases, (SELECT unnest(['default', 'calm', 'guarded']) AS scenario)"),
 )
 
 
@@ -1116,8 +1116,8 @@ oracle(
 )
 oracle(
     "i3_required_instances",
-    "x:service x:metric t:timestamp i:required_instances",
-    chain(*CASES, f"SELECT *, {need('y_pred')} AS required_instances FROM cases"),
+    "x:service x:scenario x:metric t:timestamp i:required_instances",
+    chain(*CASES, f"SELECT *, {need('y_pred')} AS required_instances FROM cases, {_SCENARIOS}"),
 )
 oracle(
     "i4_bounded_step",
@@ -1159,7 +1159,7 @@ STATIC = (
 )
 oracle(
     "i6_static_policy",
-    "x:service t:timestamp x:metric x:window x:policy_mode f:y_true f:y_pred i:required_instances i:instances "
+    "x:service t:timestamp x:scenario x:metric x:window x:policy_mode f:y_true f:y_pred i:required_instances i:instances "
     "i:effective_instances f:capacity_total f:headroom f:under_provision f:over_provision x:sla_violation f:cost_step "
     "f:server_hours_step f:cost_rate_per_hour",
     chain(
@@ -1167,146 +1167,74 @@ oracle(
         """SELECT *, 'static' AS policy_mode, instances AS effective_instances, cap AS capacity_total,
       greatest(0, -headroom) AS under_provision, greatest(0, headroom) AS over_provision,
       headroom < 0 AS sla_violation, instances * 0.25 * 0.05 AS cost_step, instances * 0.25 AS server_hours_step,
-      instances * 0.05 AS cost_rate_per_hour FROM static""",
+      instances * 0.05 AS cost_rate_per_hour FROM static, (SELECT unnest(['default', 'calm', 'guarded']) AS scenario)""",
     ),
 )
-QUEUE = """queue AS (
-  SELECT service, metric, timestamp, rn, y_true, cap, greatest(0, y_true - cap) * (1 - 0.02) AS q FROM numbered WHERE rn = 1
-  UNION ALL
-  SELECT n.service, n.metric, n.timestamp, n.rn, n.y_true, n.cap, greatest(0, n.y_true + q.q - n.cap) * (1 - 0.02)
-  FROM queue q JOIN numbered n ON n.service = q.service AND n.metric = q.metric AND n.rn = q.rn + 1)"""
-oracle(
-    "i8_queue_latency",
-    "x:service x:metric t:timestamp f:queue_len f:utilization f:p95_latency_ms x:slo_violation",
-    chain(
-        *STATIC,
-        """numbered AS MATERIALIZED (SELECT service, metric, timestamp, y_true, CAST(cap AS DOUBLE) AS cap,
-      row_number() OVER (PARTITION BY service, metric ORDER BY timestamp) AS rn FROM static)""",
-        QUEUE,
-        """SELECT *, q AS queue_len, CASE WHEN cap <= 1e-9 THEN 0 ELSE least(2, y_true / cap) END AS utilization,
-      80 + 0.15::DOUBLE * q AS p95_latency_ms, 80 + 0.15::DOUBLE * q > 300 AS slo_violation FROM queue""",
-    ).replace("WITH ", "WITH RECURSIVE ", 1),
-)
-# policy knobs on the 15-minute grid: scenario, rows above and below before a move, margin, cooldown,
-# warm-up and uptime rows, spike threshold, sustained rows, attack mode on, attack maximum
-KNOBS = """knobs(scenario, high, low, margin, cooldown, warmup, uptime, mad_k, run, attack_on, attack_max) AS (VALUES
-  ('default', 1, 2, 0.12::DOUBLE, 1, 0, 2, 6.0, 3, true, 50), ('calm', 2, 4, 0.3::DOUBLE, 3, 0, 2, 6.0, 3, false, 50),
-  ('guarded', 1, 2, 0.12::DOUBLE, 1, 2, 3, 2.0, 2, true, 60))"""
-REPLAY = (
+MOVING = (
     *CASES,
-    KNOBS,
-    *mad("cases", "y_true", 8, 2, ("service", "metric"), "timestamp"),
-    f"""spiked AS (SELECT * EXCLUDE (is_spike), CASE WHEN anomaly_score > mad_k THEN 1 ELSE 0 END AS is_spike,
-    {need('y_pred')} AS req, row_number() OVER (PARTITION BY service, metric, scenario ORDER BY timestamp) AS rn
-  FROM mads, knobs)""",
-    """todo AS MATERIALIZED (SELECT *, CASE WHEN attack_on AND CASE run
-      WHEN 2 THEN sum(is_spike) OVER (PARTITION BY service, metric, scenario ORDER BY timestamp ROWS 1 PRECEDING)
-      ELSE sum(is_spike) OVER (PARTITION BY service, metric, scenario ORDER BY timestamp ROWS 2 PRECEDING) END >= run
-    THEN 1 ELSE 0 END AS is_ddos FROM spiked)""",
-    """walk(service, metric, scenario, rn, before, inst, above, below, cool, warm, up, move) AS (
-  SELECT service, metric, scenario, 0::BIGINT, 2::BIGINT, 2::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, ''
-  FROM todo WHERE rn = 1
-  UNION ALL
-  SELECT service, metric, scenario, rn, inst, after, above, below,
-    CASE WHEN after <> inst THEN cooldown ELSE cool END,
-    CASE WHEN after <> inst THEN greatest(warm, warmup) ELSE warm END,
-    CASE WHEN after <> inst THEN greatest(up, uptime) ELSE up END, move
-  FROM (SELECT *, CASE move WHEN 'hold' THEN inst WHEN 'attack' THEN least(attack_max, inst + 12)
-      ELSE least(50, greatest(2, inst + greatest(-15, least(15, req - inst)))) END AS after
-    FROM (SELECT *, CASE WHEN is_ddos = 1 THEN 'attack' WHEN cool = 0 AND above >= high THEN 'out'
-        WHEN cool = 0 AND below >= low AND up = 0 THEN 'in' ELSE 'hold' END AS move
-      FROM (SELECT t.*, w.inst AS inst, CASE WHEN t.req > w.inst THEN w.above + 1 ELSE 0 END AS above,
-          CASE WHEN w.inst > t.req * (1 + t.margin) THEN w.below + 1 ELSE 0 END AS below,
-          greatest(0, w.cool - 1) AS cool, greatest(0, w.warm - 1) AS warm, greatest(0, w.up - 1) AS up
-        FROM walk w JOIN todo t ON t.service = w.service AND t.metric = w.metric AND t.scenario = w.scenario
-          AND t.rn = w.rn + 1))))""",
-    f"""steps AS MATERIALIZED (SELECT *, eff * {_UNIT} - y_true AS headroom, eff * CAST({_UNIT} AS DOUBLE) AS cap FROM (
-  SELECT t.*, w.before, w.inst AS instances, w.warm, w.cool > 0 AS blocked, w.move, w.inst * 0.0125::DOUBLE AS cost_step,
-    greatest(0, w.inst - w.warm) AS eff
-  FROM walk w JOIN todo t USING (service, metric, scenario, rn)))""",
-    """moves AS (SELECT *, CASE move WHEN 'in' THEN 'scale_in' WHEN 'hold' THEN 'hold' ELSE 'scale_out' END AS action
+    f"""steps AS MATERIALIZED (SELECT *, instances * {_UNIT} - y_true AS headroom, instances * 0.0125::DOUBLE AS cost_step,
+    coalesce(lag(instances) OVER (PARTITION BY service, metric, scenario ORDER BY timestamp), 2) AS before
+  FROM (SELECT *, {need('y_pred')} AS instances FROM cases, {_SCENARIOS}))""",
+    """moves AS (SELECT *, CASE WHEN instances > before THEN 'scale_out' ELSE 'scale_in' END AS action
   FROM steps WHERE instances <> before)""",
 )
 
 
-def replayed(name: str, cols: str, *parts: str) -> None:
-    oracle(name, cols, chain(*REPLAY, *parts).replace("WITH ", "WITH RECURSIVE ", 1))
+def moving(name: str, cols: str, *parts: str) -> None:
+    oracle(name, cols, chain(*MOVING, *parts))
 
 
-replayed(
-    "i7_predictive_replay",
-    "x:service x:scenario x:metric t:timestamp i:required_instances i:instances i:effective_instances "
-    "i:warmup_left_windows x:blocked_by_cooldown f:headroom f:cost_step i:is_spike i:is_ddos",
-    """SELECT *, req AS required_instances, eff AS effective_instances, warm AS warmup_left_windows,
-  blocked AS blocked_by_cooldown FROM steps""",
-)
-replayed(
+moving(
     "i9_scale_events",
     "x:service t:timestamp x:scenario x:metric x:window x:policy_mode x:action i:from_instances i:to_instances i:delta x:reason",
     """SELECT *, 'predictive' AS policy_mode, before AS from_instances, instances AS to_instances,
-  instances - before AS delta, CASE move WHEN 'attack' THEN 'ddos_mode(force_step)'
-    WHEN 'out' THEN 'req>inst for ' || high || ' window(s)' ELSE 'inst>req*(1+margin) for ' || low || ' window(s)' END AS reason
+  instances - before AS delta, CASE action WHEN 'scale_out' THEN 'forecast needs more' ELSE 'forecast needs less' END AS reason
 FROM moves""",
 )
-STEP_QUEUE = """queue AS (
-  SELECT service, metric, scenario, rn, greatest(0, y_true - cap) * 0.98::DOUBLE AS q FROM steps WHERE rn = 1
-  UNION ALL
-  SELECT n.service, n.metric, n.scenario, n.rn, greatest(0, n.y_true + q.q - n.cap) * 0.98::DOUBLE FROM queue q
-  JOIN steps n ON n.service = q.service AND n.metric = q.metric AND n.scenario = q.scenario AND n.rn = q.rn + 1)"""
 SUMMARY = """summary AS (SELECT service, scenario, metric, "window", 'predictive' AS policy_mode, sum(cost_step) AS estimated_total_cost,
     sum(instances * 0.25::DOUBLE) AS total_server_hours, avg(instances) AS avg_instances, max(instances) AS peak_instances,
     avg(CASE WHEN headroom < 0 THEN 1 ELSE 0 END) AS sla_violation_rate,
-    avg(CASE WHEN 80 + 0.15::DOUBLE * q > 300 THEN 1 ELSE 0 END) AS slo_violation_rate,
     sum(greatest(0, -headroom)) AS total_under_provision, max(greatest(0, -headroom)) AS max_under_provision,
     count(*) AS num_points, count(*) FILTER (instances <> before) AS num_scale_events,
     count(*) FILTER (instances <> before) / (count(*) * 0.25::DOUBLE) AS events_per_hour
-  FROM steps JOIN queue USING (service, metric, scenario, rn) GROUP BY ALL)"""
-replayed(
+  FROM steps GROUP BY ALL)"""
+moving(
     "i10_run_summary",
     "x:service x:scenario x:metric x:window x:policy_mode f:estimated_total_cost f:total_server_hours f:avg_instances "
-    "i:peak_instances f:sla_violation_rate f:slo_violation_rate f:total_under_provision f:max_under_provision i:num_points "
+    "i:peak_instances f:sla_violation_rate f:total_under_provision f:max_under_provision i:num_points "
     "i:num_scale_events f:events_per_hour",
-    STEP_QUEUE,
     SUMMARY,
     "SELECT * FROM summary",
 )
-replayed(
+moving(
     "i11_policy_comparison",
     "x:service x:scenario x:metric x:window f:static_cost f:predictive_cost f:saving f:saving_pct",
     *sizes(FIRST_PART),
     """fixed AS (SELECT service, metric, sum(least(50, greatest(2, static_n)) * 0.0125::DOUBLE) AS static_cost
   FROM cases JOIN sizes USING (service, metric) GROUP BY ALL)""",
-    """moving AS (SELECT service, scenario, metric, "window", sum(cost_step) AS predictive_cost FROM steps GROUP BY ALL)""",
+    """held AS (SELECT service, scenario, metric, "window", sum(cost_step) AS predictive_cost FROM steps GROUP BY ALL)""",
     """SELECT *, static_cost - predictive_cost AS saving, (static_cost - predictive_cost) / static_cost AS saving_pct
-FROM moving JOIN fixed USING (service, metric)""",
+FROM held JOIN fixed USING (service, metric)""",
 )
-replayed(
+moving(
     "i12_daily_events",
     "x:scenario x:date i:scale_out i:scale_in i:total",
     """SELECT scenario, CAST(timestamp AS DATE) AS date, count(*) FILTER (action = 'scale_out') AS scale_out,
   count(*) FILTER (action = 'scale_in') AS scale_in, count(*) AS total FROM moves GROUP BY ALL""",
 )
-replayed(
+moving(
     "i13_instance_distribution",
     "x:scenario x:metric i:instances i:count f:pct_time",
     "levels AS (SELECT scenario, metric, instances, count(*) AS n FROM steps GROUP BY ALL)",
     "SELECT *, n AS count, n / sum(n) OVER (PARTITION BY scenario, metric) AS pct_time FROM levels",
 )
-replayed(
-    "i15_what_if",
-    "x:scenario x:metric f:cost f:sla_rate f:slo_rate i:peak",
-    STEP_QUEUE,
-    """SELECT scenario, metric, sum(cost_step) AS cost, avg(CASE WHEN headroom < 0 THEN 1 ELSE 0 END) AS sla_rate,
-  avg(CASE WHEN 80 + 0.15::DOUBLE * q > 300 THEN 1 ELSE 0 END) AS slo_rate, max(instances) AS peak
-FROM steps JOIN queue USING (service, metric, scenario, rn) GROUP BY ALL""",
-)
 oracle(
     "i14_cumulative_cost",
-    "x:service x:metric t:timestamp f:cumulative_cost",
+    "x:service x:scenario x:metric t:timestamp f:cumulative_cost",
     chain(
         *STATIC,
-        """SELECT *, sum(instances * 0.0125::DOUBLE) OVER (PARTITION BY service, metric ORDER BY timestamp) AS cumulative_cost
-    FROM static""",
+        f"""SELECT *, sum(instances * 0.0125::DOUBLE) OVER (PARTITION BY service, metric, scenario ORDER BY timestamp) AS cumulative_cost
+    FROM static, {_SCENARIOS}""",
     ),
 )
 

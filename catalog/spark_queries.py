@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from loadtide.functions import logline as L
 from loadtide.functions import numeric as N
 from loadtide.functions import timegrid as G
 from loadtide.operators import anomaly, buckets, capacity, evaluate, explore, features, forecast, gaps
-from loadtide.operators import isoforest, replay, trees
+from loadtide.operators import isoforest, trees
 from loadtide.operators.features import FeatureSpec
 from loadtide.plans.eda import eda_tables
 from loadtide.session import materialize, shared_dir
@@ -118,7 +118,9 @@ def a7(spark, sf):
     )
     metrics_store.append_metrics(rows, path, "run-1")
     metrics_store.append_metrics(rows.withColumn("value", F.col("value") * 2), path, "run-2")
-    return metrics_store.read_metrics(spark, path).drop("seq")
+    order = Window.partitionBy("batch", "model", "target", "window", "split").orderBy("seq")
+    kept = metrics_store.read_metrics(spark, path).withColumn("position", F.row_number().over(order))
+    return kept.drop("seq")
 
 
 @query("a8_csv_overwrite")
@@ -638,13 +640,13 @@ def e11(spark, sf):
 
 
 def _metric_history(spark, sf):
-    """Two runs of two models' metrics, as the append table would hold them."""
+    """Two runs of two models' metrics, as the append table would hold them; the first has the later name."""
     p = X.service_predictions(spark, sf)
     doubled = p.withColumns({"pred": F.col("pred") * 2, "model": F.lit("doubled")})
     rows = evaluate.metrics_long(evaluate.forecast_metrics(p.unionByName(doubled)), ("model", "target", "window"), "Test")
-    runs = F.explode(F.array(F.struct(F.lit("run-1").alias("id"), F.lit(1.0).alias("f")), F.struct(F.lit("run-2").alias("id"), F.lit(3.0).alias("f"))))
+    runs = F.explode(F.array(F.struct(F.lit(1).alias("batch"), F.lit("run-2").alias("id"), F.lit(1.0).alias("f")), F.struct(F.lit(2).alias("batch"), F.lit("run-10").alias("id"), F.lit(3.0).alias("f"))))
     return rows.withColumn("r", runs).select(
-        F.col("r.id").alias("run_id"), F.lit(0).cast("bigint").alias("seq"), "model", "target", "window", "split",
+        F.col("r.batch").cast("bigint").alias("batch"), F.col("r.id").alias("run_id"), F.lit(0).cast("bigint").alias("seq"), "model", "target", "window", "split",
         "metric", (F.col("value") * F.col("r.f")).alias("value"),
     )
 
@@ -661,8 +663,7 @@ def e13(spark, sf):
 
 @query("e14_residuals")
 def e14(spark, sf):
-    case = X.service_case(spark, sf).filter("scenario = 'default'")
-    return evaluate.residuals(case).select("service", "metric", "timestamp", "residual")
+    return evaluate.residuals(X.service_case(spark, sf)).select("service", "scenario", "metric", "timestamp", "residual")
 
 
 @query("e14_residual_histogram")
@@ -817,8 +818,8 @@ def i1(spark, sf):
 
 @query("i3_required_instances")
 def i3(spark, sf):
-    return X.service_case(spark, sf).filter("scenario = 'default'").select(
-        "service", "metric", "timestamp", capacity.policy_required(F.col("y_pred")).alias("required_instances")
+    return X.service_case(spark, sf).select(
+        "service", "scenario", "metric", "timestamp", capacity.policy_required(F.col("y_pred")).alias("required_instances")
     )
 
 
@@ -852,30 +853,13 @@ def _static(spark, sf):
 def _predictive(spark, sf):
     return X.stage(
         spark, sf, "predictive",
-        lambda: replay.predictive_policy(X.service_case(spark, sf), X.knobs(spark), keys=SERVICE, latency=True),
+        lambda: capacity.predictive_policy(X.service_case(spark, sf), keys=SERVICE),
     )
 
 
 @query("i6_static_policy")
 def i6(spark, sf):
-    return capacity.steps_view(_static(spark, sf), SERVICE).filter("scenario = 'default'").drop("scenario")
-
-
-PREDICTIVE_COLS = [
-    "service", "scenario", "metric", "timestamp", "required_instances", "instances", "effective_instances",
-    "warmup_left_windows", "blocked_by_cooldown", "headroom", "cost_step", "is_spike", "is_ddos",
-]
-
-
-@query("i7_predictive_replay")
-def i7(spark, sf):
-    return _predictive(spark, sf).select(*PREDICTIVE_COLS)
-
-
-@query("i8_queue_latency")
-def i8(spark, sf):
-    steps = replay.with_latency(_static(spark, sf).filter("scenario = 'default'"), keys=SERVICE)
-    return steps.select("service", "metric", "timestamp", "queue_len", "utilization", "p95_latency_ms", "slo_violation")
+    return capacity.steps_view(_static(spark, sf), SERVICE)
 
 
 @query("i9_scale_events")
@@ -913,17 +897,8 @@ def i13(spark, sf):
 
 @query("i14_cumulative_cost")
 def i14(spark, sf):
-    static = _static(spark, sf).filter("scenario = 'default'")
-    return capacity.cumulative_cost(static, keys=SERVICE).select("service", "metric", "timestamp", "cumulative_cost")
-
-
-@query("i15_what_if")
-def i15(spark, sf):
-    steps = _predictive(spark, sf)
-    return steps.groupBy("scenario", "metric").agg(
-        F.sum("cost_step").alias("cost"), F.avg(F.col("sla_violation").cast("double")).alias("sla_rate"),
-        F.avg(F.col("slo_violation").cast("double")).alias("slo_rate"), F.max("instances").alias("peak"),
-    )
+    total = capacity.cumulative_cost(_static(spark, sf), keys=SERVICE)
+    return total.select("service", "scenario", "metric", "timestamp", "cumulative_cost")
 
 
 # streaming

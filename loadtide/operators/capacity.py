@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadtide.operators import blocks as B
 
-SMALL_TABLE_ROWS = 10_000
+SALTS = 32
 PAIR_KEY = re.compile(
     r"""^\s*\(?\s*['"]?\s*(?P<metric>[^'"|,]+?)\s*['"]?\s*(?:__|\||,)\s*['"]?\s*(?P<window>[^'"|,()]+?)\s*['"]?\s*\)?\s*$"""
 )
@@ -93,25 +93,24 @@ def policy_rows(scaling: Mapping[str, Any], scenario: str = "default") -> list[t
 def policy_table(spark: SparkSession, scenarios: Mapping[str, Mapping[str, Any]]) -> DataFrame:
     """Policies of all scenarios; each scenario is a full scaling section."""
     rows = [r for name, scaling in scenarios.items() for r in policy_rows(scaling, name)]
-    if len(rows) > SMALL_TABLE_ROWS:
-        raise ValueError("write policies this many to a table and join that instead")
     return spark.createDataFrame(rows, POLICY_SCHEMA)
 
 
 def with_policy(case: DataFrame, policies: DataFrame) -> DataFrame:
     """Attach the policies of a row's metric and window; a row without one is an error.
 
-    There are few distinct metrics and windows, so a shuffled join would have few, huge
-    partitions. A table within the bound is broadcast; a larger one is left to adaptive
-    skew handling.
+    There are few distinct metrics and windows, so rows are salted and policies repeated for each
+    salt: a shuffled join has no hot key, and a small policy table is broadcast by its size.
+    The check sits in a filter, which stays whatever columns are read later.
     """
-    known = F.col("units").isNotNull()
-    small = policies.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS
-    joined = case.join(F.broadcast(policies) if small else policies, ["metric", "window"], "left")
+    salt = F.pmod(F.xxhash64(*case.columns), F.lit(SALTS))
+    spread = policies.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    joined = case.withColumn("_salt", salt).join(spread, ["metric", "window", "_salt"], "left").drop("_salt")
     missing = F.concat(
         F.lit("no capacity for "), F.coalesce("metric", F.lit("NULL")), F.lit("/"), F.coalesce("window", F.lit("NULL"))
     )
-    return joined.withColumn("units", F.when(known, F.col("units")).otherwise(F.raise_error(missing).cast("double")))
+    known = F.when(F.col("units").isNotNull(), True).otherwise(F.raise_error(missing).cast("boolean"))
+    return joined.where(known)
 
 
 def clamp(value: Column, low: Column | int, high: Column | int) -> Column:
@@ -214,12 +213,39 @@ def static_policy(case: DataFrame, sizes: DataFrame, *, keys: Sequence[str] = ()
     return with_accounting(steps).drop("static_n")
 
 
+def predictive_policy(case: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
+    """Each row holds what its forecast requires; the change against the row before is its action.
+
+    ``from_instances`` is the count of the row before, the smallest allowed count at the start. The row
+    before is found in time blocks with one row of halo.
+    """
+    ids = [*keys, "scenario", "metric", "window"]
+    need = policy_required(F.col("y_pred"))
+    placed = B.positions(case, "_pos", order="timestamp", keys=ids)
+    halo = B.with_halo(placed.withColumn("instances", need), F.col("_pos"), ids, before=1, size=B.POSITION_BLOCK)
+    last = F.coalesce(F.lag("instances").over(B.block_window(ids, "_pos")), F.col("min_instances"))
+    held = B.owned(halo.withColumn("from_instances", last), "_pos")
+    change = F.col("instances") - F.col("from_instances")
+    out, back = change > 0, change < 0
+    return with_accounting(
+        held.withColumns(
+            {
+                "policy_mode": F.lit("predictive"),
+                "required_instances": F.col("instances"),
+                "effective_instances": F.col("instances"),
+                "action": F.when(out, "scale_out").when(back, "scale_in").otherwise("hold"),
+                "reason": F.when(out, "forecast needs more").when(back, "forecast needs less").otherwise("forecast needs as many"),
+            }
+        )
+    )
+
+
 def steps_view(steps: DataFrame, keys: Sequence[str] = (), *more: str) -> DataFrame:
     return steps.select(*keys, *STEP_COLS, *[c for c in more if c in steps.columns])
 
 
 def scale_events(steps: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
-    """The rows on which a replay changed the instance count."""
+    """The rows on which the instance count changed."""
     return steps.filter(F.col("instances") != F.col("from_instances")).select(
         *keys,
         "timestamp",
@@ -238,18 +264,12 @@ def scale_events(steps: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
 def run_summary(steps: DataFrame, events: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Cost, size, violation and event figures per series, scenario and policy."""
     ids = [*keys, "scenario", "metric", "window", "policy_mode"]
-    slo = (
-        F.avg(F.col("slo_violation").cast("double"))
-        if "slo_violation" in steps.columns
-        else F.lit(None).cast("double")
-    )
     per_run = steps.groupBy(*ids).agg(
         F.sum("cost_step").alias("estimated_total_cost"),
         F.sum("server_hours_step").alias("total_server_hours"),
         F.avg("instances").alias("avg_instances"),
         F.max("instances").alias("peak_instances"),
         F.avg(F.col("sla_violation").cast("double")).alias("sla_violation_rate"),
-        slo.alias("slo_violation_rate"),
         F.sum("under_provision").alias("total_under_provision"),
         F.max("under_provision").alias("max_under_provision"),
         F.count(F.lit(1)).alias("num_points"),

@@ -60,7 +60,7 @@ def benchmark_table(
 ) -> DataFrame:
     """One row per target, window and metric, one column per model.
 
-    Of repeated values the first written one counts, or the last with ``keep="latest"``.
+    Of repeated values the first written one counts (by batch, then by place in it), or the last with ``keep="latest"``.
     """
     if keep not in ("oldest", "latest"):
         raise ValueError("keep is 'oldest' or 'latest'")
@@ -69,7 +69,7 @@ def benchmark_table(
     return (
         rows.groupBy("target", "window", "metric")
         .pivot("model", list(models) if models else None)
-        .agg(pick("value", F.struct("run_id", "seq")))
+        .agg(pick("value", F.struct("batch", "seq")))
         .orderBy("target", "window", "metric")
     )
 
@@ -82,7 +82,7 @@ def kpi_lookup(long: DataFrame, model: str, target: str, window: str) -> DataFra
         & (F.col("target") == target)
         & (F.col("window") == window)
     )
-    first = F.struct("run_id", "seq")
+    first = F.struct("batch", "seq")
     return rows.agg(
         *[
             F.min_by(F.col("value"), F.when(F.col("metric") == m, first)).alias(m)

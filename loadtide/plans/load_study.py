@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadtide.config import settings
-from loadtide.operators import capacity, evaluate, features, forecast, replay, trees
+from loadtide.operators import capacity, evaluate, features, forecast, trees
 from loadtide.operators.buckets import build_series
 from loadtide.session import materialize, pin_utc
 from loadtide.sources import tables
@@ -82,17 +82,13 @@ def forecast_stage(
 
 def policy_stage(case: DataFrame, policies: DataFrame, *, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Static and predictive runs of a capacity case with events, summaries and savings."""
-    knobs = [r.asDict() for r in policies.collect()]
     ready = materialize(capacity.with_policy(case, policies), "case")
     static = capacity.static_policy(ready, capacity.static_size(ready, keys=keys), keys=keys)
-    predictive = replay.predictive_policy(ready, knobs, keys=keys, latency=True)
-    moves = ("action", "reason", "from_instances", "warmup_left_windows", "blocked_by_cooldown",
-             "anomaly_score", "is_spike", "is_ddos")
-    overlay = ("win_minutes", "queue_len", "utilization", "p95_latency_ms", "slo_violation")
+    predictive = capacity.predictive_policy(ready, keys=keys)
+    moves = ("action", "reason", "from_instances")
     steps = materialize(
-        capacity.steps_view(predictive, keys, *moves, *overlay).unionByName(
-            capacity.steps_view(replay.with_latency(static, keys=keys), keys, *overlay),
-            allowMissingColumns=True,
+        capacity.steps_view(predictive, keys, *moves, "win_minutes").unionByName(
+            capacity.steps_view(static, keys, "win_minutes"), allowMissingColumns=True
         ),
         "steps",
     )

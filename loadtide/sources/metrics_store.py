@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Columns of the long metrics table.
 METRIC_COLS = ["model", "target", "window", "split", "metric", "value"]
-STORE_SCHEMA = "run_id string, seq bigint, model string, target string, window string, split string, metric string, value double"
+STORE_SCHEMA = "batch bigint, run_id string, seq bigint, model string, target string, window string, split string, metric string, value double"
 
 
 def _typed(df: DataFrame, name: str):
@@ -34,8 +34,19 @@ def load_metrics_csv(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def append_metrics(long: DataFrame, path: str, run_id: str) -> None:
-    """Append rows under a run id. ``seq`` keeps their order of arrival."""
+    """Append rows under a run id. ``batch`` is one more than the largest so far, ``seq`` keeps the order within it.
+
+    A run id may come again; its rows are a later batch. One writer at a time.
+    """
+    spark = long.sparkSession
+    try:
+        last = read_metrics(spark, path).agg(F.max("batch")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
     long.select(
+        F.lit((last or 0) + 1).cast("bigint").alias("batch"),
         F.lit(run_id).alias("run_id"),
         F.monotonically_increasing_id().alias("seq"),
         *[F.col(c) for c in METRIC_COLS],

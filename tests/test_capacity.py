@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadtide.config import settings
-from loadtide.operators import anomaly, blocks, capacity, isoforest, replay
+from loadtide.operators import anomaly, blocks, capacity, isoforest
 from loadtide.operators.quantiles import exact_quantile
 from loadtide.plans.load_study import policy_stage
 
@@ -75,78 +75,33 @@ def test_missing_capacity_is_an_error(spark):
         capacity.with_policy(case(spark, [1, 2], window="2m"), policies).collect()
 
 
-def plain_replay(truth, pred, sc, attack):
-    """The rules once more, one bucket at a time on plain numbers."""
-    out, n, hi, lo, cool, warm, up = [], sc["min_instances"], 0, 0, 0, 0, 0
-    h, prov = sc["hysteresis_by_window"]["5m"], sc["provisioning_by_window"]["5m"]
-    units = sc["capacity_per_instance"]["hits"]["5m"]
-    for i, p in enumerate(pred):
-        need = min(50, max(2, math.ceil(max(0.0, p) / units * 1.3)))
-        hi = hi + 1 if need > n else 0
-        lo = lo + 1 if n > need * (1 + h["in_margin"]) else 0
-        cool, warm, up = max(0, cool - 1), max(0, warm - 1), max(0, up - 1)
-        old = n
-        if attack[i]:
-            n = min(50, n + 10)
-        elif cool == 0 and hi >= h["high"]:
-            n = min(n + 10, need)
-        elif cool == 0 and lo >= h["low"] and up == 0:
-            n = max(n - 10, need)
-        if n != old:
-            cool, warm, up = math.ceil(8 / 5), max(warm, prov["warmup_windows"]), max(up, prov["min_uptime_windows"])
-        out.append((n, max(0, n - warm), cool > 0))
-    return out
-
-
-@pytest.mark.parametrize("batch", ["7", "10000"])
-def test_replay_keeps_state_between_batches(spark, batch):
-    rng = np.random.default_rng(11)
-    truth = np.abs(rng.normal(600, 500, 400)).cumsum() % 4000
-    truth[200:206] = 200000
-    pred = truth * rng.uniform(0.8, 1.2, 400)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-    try:
-        policies = capacity.policy_table(spark, {"default": SC})
-        ready = capacity.with_policy(case(spark, truth, pred), policies)
-        got = replay.predictive_policy(ready, [r.asDict() for r in policies.collect()], latency=True)
-        rows = got.orderBy("timestamp").collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    attack = [r["is_ddos"] for r in rows]
-    assert sum(attack) > 0
-    want = plain_replay(truth, pred, SC, attack)
-    assert [(r["instances"], r["effective_instances"], r["blocked_by_cooldown"]) for r in rows] == want
-    held = SC["min_instances"]  # the event log leads from the start to every count
-    events = {r["timestamp"]: r for r in capacity.scale_events(got).collect()}
-    for r in rows:
-        if r["timestamp"] in events:
-            assert events[r["timestamp"]]["from_instances"] == held
-            held = events[r["timestamp"]]["to_instances"]
-        assert held == r["instances"]
-    q = 0.0
-    for r in rows:
-        q = max(0.0, max(0.0, r["y_true"] + q - r["capacity_total"]) * 0.98)
-        assert r["queue_len"] == pytest.approx(q) and q >= 0
-
-
-def test_queue_without_capacity_grows(spark):
+def test_missing_capacity_is_found_whatever_is_read(spark):
     policies = capacity.policy_table(spark, {"default": SC})
-    steps = capacity.with_policy(case(spark, [10, 10, 10]), policies).withColumns(
-        {"policy_mode": F.lit("static"), "capacity_total": F.lit(0.0)}
-    )
-    rows = replay.with_latency(steps).orderBy("timestamp").collect()
-    assert [r["utilization"] for r in rows] == [0.0] * 3
-    assert rows[0]["queue_len"] < rows[1]["queue_len"] < rows[2]["queue_len"]
+    odd = case(spark, [1, 2], metric="zzz")
+    with pytest.raises(Exception, match="no capacity for zzz/5m"):
+        capacity.with_policy(odd, policies).select("metric", "y_true").collect()
 
 
-def test_attack_at_the_maximum_is_no_event(spark):
-    sc = settings({"scaling": {"ddos_mode": {"max_instances_during_ddos": 2, "consecutive_windows": 1}, "anomaly": {"mad_k": 0.5}}})["scaling"]
-    policies = capacity.policy_table(spark, {"default": sc})
-    truth = [1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 9]
-    got = replay.predictive_policy(
-        capacity.with_policy(case(spark, truth, [0] * len(truth)), policies), [r.asDict() for r in policies.collect()]
-    )
-    assert got.agg(F.sum("is_ddos")).first()[0] > 0 and capacity.scale_events(got).count() == 0
+def test_many_policies(spark):
+    policies = capacity.policy_table(spark, {f"s{k}": SC for k in range(20_000 // 6 + 1)})
+    assert policies.count() > 20_000
+    got = capacity.with_policy(case(spark, [5, 6, 7]), policies)
+    assert got.count() == 3 * (20_000 // 6 + 1) and got.select("timestamp", "scenario").distinct().count() == got.count()
+
+
+@pytest.mark.parametrize("block", [64, 1 << 16])
+def test_predictive_steps_follow_the_forecast(spark, block, monkeypatch):
+    monkeypatch.setattr(blocks, "POSITION_BLOCK", block)
+    pred = np.abs(np.random.default_rng(11).normal(600, 900, 400))
+    ready = capacity.with_policy(case(spark, pred * 0.9, pred), capacity.policy_table(spark, {"default": SC}))
+    got = capacity.predictive_policy(ready)
+    rows = got.orderBy("timestamp").collect()
+    want = [min(50, max(2, math.ceil(p / 100 * 1.3))) for p in pred]
+    assert [r["instances"] for r in rows] == want and [r["from_instances"] for r in rows] == [2, *want[:-1]]
+    events = capacity.scale_events(got).orderBy("timestamp").collect()
+    moved = [(a, b) for a, b in zip([2, *want], want) if a != b]
+    assert [(e["from_instances"], e["to_instances"]) for e in events] == moved
+    assert all((e["action"] == "scale_out") == (e["delta"] > 0) for e in events)
 
 
 def test_policy_stage_tables(spark):
@@ -166,7 +121,7 @@ def test_policy_stage_tables(spark):
 
 def test_no_events_no_days(spark):
     policies = capacity.policy_table(spark, {"default": SC})
-    got = replay.predictive_policy(capacity.with_policy(case(spark, [0] * 5), policies), [r.asDict() for r in policies.collect()])
+    got = capacity.predictive_policy(capacity.with_policy(case(spark, [0] * 5), policies))
     assert capacity.daily_event_counts(capacity.scale_events(got)).count() == 0
 
 

@@ -83,6 +83,17 @@ def test_store_and_pivot(spark, tmp_path):
         evaluate.benchmark_table(long, keep="any")
 
 
+def test_order_of_runs_is_the_order_of_appends(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for k, run in enumerate([*(f"run-{i}" for i in range(1, 12)), "run-1"]):
+        writer = metrics_store.MetricsWriter(spark, path, run)
+        writer.write_one(model="m", target="hits", window="5m", split="test", metrics={"RMSE": float(k), "MAE": 1.0})
+    long = metrics_store.read_metrics(spark, path)
+    first = lambda keep: evaluate.benchmark_table(long, keep=keep).filter("metric = 'RMSE'").first()["m"]
+    assert (first("oldest"), first("latest")) == (0.0, 11.0)
+    assert evaluate.kpi_lookup(long, "m", "hits", "5m").first()["RMSE"] == 0.0
+
+
 def test_metrics_csv_repair(spark, tmp_path):
     assert metrics_store.load_metrics_csv(spark, None).count() == 0
     assert metrics_store.load_metrics_csv(spark, str(tmp_path / "none")).columns == metrics_store.METRIC_COLS
