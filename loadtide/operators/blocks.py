@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK = "_block"
+KEY = "_key"
 OWN = "_own"
 POSITION_BLOCK = 1 << 16
 DEFAULT_BLOCK_SECONDS = 28 * 86400
@@ -27,6 +28,15 @@ def block_of(order: Column, size: int) -> Column:
     return F.floor(order / F.lit(size)).cast("bigint")
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with all keys in one struct, which is never null, and the columns to partition by.
+
+    A null-safe join is rewritten to other expressions than the partitioning's and shuffles the rows again.
+    Equality on the struct treats nulls as equal and keeps the partitioning.
+    """
+    return (df.withColumn(KEY, F.struct(*keys)), [KEY]) if keys else (df, [])
+
+
 def with_halo(
     df: DataFrame,
     order: Column,
@@ -98,7 +108,7 @@ def with_carry(
     )
     same = F.col(BLOCK) == F.col("_c_block")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+        same = same & ((F.col(k) == F.col(f"_c_{k}")) if k == KEY else F.col(k).eqNullSafe(F.col(f"_c_{k}")))
     return df.join(folded, same).drop("_c_block", *[f"_c_{k}" for k in keys])
 
 
@@ -112,7 +122,7 @@ def running_sum(
     size: int = DEFAULT_BLOCK_SECONDS,
 ) -> DataFrame:
     """Inclusive prefix sum along a time column."""
-    rows = named_blocks(df.withColumn("_v", value), epoch(order), size)
+    rows, keys = keyed(named_blocks(df.withColumn("_v", value), epoch(order), size), keys)
     upto = block_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.repartition(*keys, BLOCK).withColumn("_local", F.sum("_v").over(upto))
     carried = with_carry(
@@ -123,7 +133,7 @@ def running_sum(
         source=rows,
     )
     total = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
-    return carried.withColumn(out, total).drop("_v", "_local", "_before", BLOCK)
+    return carried.withColumn(out, total).drop("_v", "_local", "_before", BLOCK, KEY)
 
 
 def positions(

@@ -142,13 +142,13 @@ def densify(
     so no spine and no join are needed. ``_absent_run`` is the length of the hole an added
     row lies in and NULL on observed rows.
     """
-    rows = B.named_blocks(ts2, B.epoch(TIME), block_seconds)
-    near = rows.repartition(*keys, B.BLOCK).withColumn("_prev", F.lag(TIME).over(B.block_window(keys, TIME)))
+    rows, by = B.keyed(B.named_blocks(ts2, B.epoch(TIME), block_seconds), keys)
+    near = rows.repartition(*by, B.BLOCK).withColumn("_prev", F.lag(TIME).over(B.block_window(by, TIME)))
     carried = B.with_carry(
         near,
-        keys,
+        by,
         {"_last": F.max(TIME)},
-        {"_far": F.max("_last").over(B.earlier_blocks(keys))},
+        {"_far": F.max("_last").over(B.earlier_blocks(by))},
         source=rows,
     )
     step = as_column(step).cast("bigint")

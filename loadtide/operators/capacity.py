@@ -174,7 +174,7 @@ def static_size(
     ids = [*keys, "scenario", "metric", "window"]
     placed = B.positions(case, "_pos", order=order, keys=ids)
     early = F.col(order) < F.lit(cutoff).cast("timestamp") if cutoff else F.lit(False)
-    size = placed.groupBy(*[F.col(k).alias(f"_z_{k}") for k in ids]).agg(
+    size = case.groupBy(*[F.col(k).alias(f"_z_{k}") for k in ids]).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(early).alias("_early")
     )
     same = F.lit(True)

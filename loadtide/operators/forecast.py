@@ -75,7 +75,7 @@ def tile_last_season(
 ) -> DataFrame:
     """Repeat the last season up to ``horizon`` steps; a short history repeats its last value."""
     placed = B.positions(history, "_pos", order=order, keys=keys)
-    length = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    length = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     ahead = length.withColumn("horizon_step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     back = F.when(
         F.col("_n") >= season,
@@ -119,7 +119,7 @@ def time_folds(
     """
     size = max(1, test_days * DAY // step_seconds(tag))
     placed = B.positions(df, "_pos", order=time_col, keys=keys)
-    length = placed.groupBy(*[F.col(k).alias(f"_n_{k}") for k in keys]).agg(
+    length = df.groupBy(*[F.col(k).alias(f"_n_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_n")
     )
     if keys:

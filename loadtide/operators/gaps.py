@@ -149,6 +149,7 @@ def segment_ids(
     """
     flagged = df.withColumn(gap_col, F.coalesce(F.col(gap_col).cast("tinyint"), F.lit(0).cast("tinyint")))
     ok = F.col(gap_col) == 0
+    flagged, keys = B.keyed(flagged, keys)
     blocked = B.in_blocks(flagged, B.epoch(time_col), keys, block_seconds)
     w = B.block_window(keys, time_col)
     started = blocked.withColumn(
@@ -174,10 +175,10 @@ def segment_ids(
     )
     same = F.col(B.BLOCK) == F.col("_c_block")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+        same = same & (F.col(k) == F.col(f"_c_{k}"))
     seg = F.when(ok, F.col("_local") + F.col("_offset")).otherwise(F.lit(-1)).cast("int")
     return (
         started.join(offsets, same)
         .withColumn(seg_col, seg)
-        .drop("_start", "_local", "_offset", "_c_block", B.BLOCK, *[f"_c_{k}" for k in keys])
+        .drop("_start", "_local", "_offset", "_c_block", B.BLOCK, B.KEY, *[f"_c_{k}" for k in keys])
     )

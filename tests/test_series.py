@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loadtide.operators import blocks as B
 from loadtide.operators import buckets, gaps
 from loadtide.operators.buckets import bucket_events, dense_series, densify
 
@@ -129,3 +130,28 @@ def test_grids_agree_with_single_builds(spark):
 def test_unknown_tag(spark):
     with pytest.raises(ValueError, match="unsupported tag"):
         bucket_events(events(spark, one(0)), "2m")
+
+
+def full_exchanges(df, column):
+    """Number of exchanges that move ``column``, reused ones counted once."""
+    text = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return sum(part.startswith("Exchange") and f"{column}#" in part.split("\n")[1] for part in text.replace("\n(", "\x00(").split("\x00") for part in [part.split(") ", 1)[-1]])
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "n"], []])
+def test_carries_shuffle_the_rows_once(spark, keys):
+    rows = [(at(5 * i), k, n, float(i), 0) for i in range(40) for k in ("x", None) for n in (1, None)]
+    df = spark.createDataFrame(rows, "bucket_start timestamp, k string, n int, payload double, is_gap int")
+    if len(keys) < 2:
+        df = df.filter("n = 1" if keys else "k = 'x' and n = 1")
+    blocks_of = lambda d: B.running_sum(d, F.lit(1), "pos", order="bucket_start", keys=keys, size=3600)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summed, numbered = blocks_of(df), gaps.segment_ids(df, keys=keys, block_seconds=3600)
+        assert full_exchanges(summed, "payload") == 1 and full_exchanges(numbered, "payload") == 1
+        for out, col, want in ((summed, "pos", lambda i: i + 1), (numbered, "segment_id", lambda i: 1)):
+            assert set(out.columns) == {*df.columns, col}
+            got = out.collect()
+            assert len(got) == df.count() and all(r[col] == want(int(r["payload"])) for r in got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
