@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadtide.operators import blocks as B
+from loadtide.operators.quantiles import exact_quantiles
 
 SALTS = 32
 PAIR_KEY = re.compile(
@@ -182,12 +183,8 @@ def static_size(
         same = same & F.col(k).eqNullSafe(F.col(f"_z_{k}"))
     first = F.col("_pos") <= F.floor(F.col("_n") * F.lit(share))
     chosen = F.when(F.col("_early") > 0, early).otherwise(first)
-    return (
-        placed.join(size, same)
-        .filter(chosen)
-        .groupBy(*ids)
-        .agg(F.percentile(policy_required(F.col("y_true")), 0.95).cast("int").alias("static_n"))
-    )
+    base = placed.join(size, same).filter(chosen).select(*ids, policy_required(F.col("y_true")).alias("_need"))
+    return exact_quantiles(base, {"static_n": ("_need", 0.95)}, ids).withColumn("static_n", F.col("static_n").cast("int"))
 
 
 STEP_COLS = [

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loadtide.functions.numeric import client_error, pearson, server_error
 from loadtide.operators import blocks as B
 from loadtide.operators.gaps import non_gap
+from loadtide.operators.quantiles import exact_quantiles
 
 TIME = "bucket_start"
 
@@ -28,29 +29,32 @@ SERIES_BINS, RESIDUAL_BINS, ACF_LAGS = 80, 60, 60
 
 
 def statistic(kind: str, value: Column, accuracy: int | None = None) -> Column:
-    """Named aggregate; percentiles interpolate exactly unless an accuracy is given."""
+    """Named aggregate; percentiles by a sketch of the given accuracy."""
     if kind in ("mean", "max"):
         return F.avg(value) if kind == "mean" else F.max(value)
-    share = 0.5 if kind == "med" else int(kind[1:]) / 100
-    if accuracy:
-        return F.percentile_approx(value, share, accuracy)
-    return F.percentile(value, share)
+    return F.percentile_approx(value, share_of(kind), accuracy)
+
+
+def share_of(kind: str) -> float | None:
+    if kind in ("mean", "max"):
+        return None
+    return 0.5 if kind == "med" else int(kind[1:]) / 100
 
 
 def tail_risk(ts3: DataFrame, by: Sequence[str] = ("split", "tag"), accuracy: int | None = None) -> DataFrame:
     """Means and tails per group outside outages."""
-    return (
-        non_gap(ts3)
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[
-                statistic(kind, F.col(c), accuracy).alias(f"{name}_{kind}")
-                for name, (c, kinds) in TAIL.items()
-                for kind in kinds
-            ],
-        )
+    base = non_gap(ts3)
+    names = [(f"{name}_{kind}", c, kind) for name, (c, kinds) in TAIL.items() for kind in kinds]
+    exact = {} if accuracy else {n: (c, share_of(kind)) for n, c, kind in names if share_of(kind)}
+    plain = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[statistic(kind, F.col(c), accuracy).alias(n) for n, c, kind in names if n not in exact],
     )
+    if not exact:
+        return plain
+    tails = exact_quantiles(base, exact, by).select(*[F.col(k).alias(f"_t_{k}") for k in by], *exact)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in by], F.lit(True))
+    return plain.join(tails, same).select(*by, "rows", *[n for n, _, _ in names])
 
 
 def tail_drift(
@@ -59,13 +63,13 @@ def tail_drift(
     """p95, p99 and maximum of five metrics, train next to test."""
     long = non_gap(ts3).unpivot([*keys, split_col], DRIFT_METRICS, "metric", "value")
     side = {s: F.when(F.col(split_col) == s, F.col("value")) for s in ("train", "test")}
-    return long.groupBy(*keys, "metric").agg(
-        *[
-            F.round(statistic(kind, v), digits).alias(f"{s}_{kind}")
-            for s, v in side.items()
-            for kind in ("p95", "p99", "max")
-        ]
-    )
+    wide, by = long.select(*keys, "metric", *[v.alias(s) for s, v in side.items()]), [*keys, "metric"]
+    tops = wide.groupBy(*by).agg(*[F.max(s).alias(f"{s}_max") for s in side])
+    tails = exact_quantiles(wide, {f"{s}_{k}": (s, share_of(k)) for s in side for k in ("p95", "p99")}, by)
+    tails = tails.withColumnsRenamed({k: f"_t_{k}" for k in by})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in by])
+    names = [f"{s}_{kind}" for s in side for kind in ("p95", "p99", "max")]
+    return tops.join(tails, same).select(*by, *[F.round(n, digits).alias(n) for n in names])
 
 
 def local_parts(df: DataFrame, utc_offset: str) -> DataFrame:

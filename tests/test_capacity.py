@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loadtide.config import settings
 from loadtide.operators import anomaly, blocks, capacity, isoforest
+from loadtide.operators import quantiles
 from loadtide.operators.quantiles import exact_quantile
 from loadtide.plans.load_study import policy_stage
 
@@ -187,5 +188,23 @@ def test_exact_quantile(spark, n, share):
     assert exact_quantile(df, "v", share).first()["q"] == pytest.approx(np.quantile(x, share), rel=1e-12)
 
 
+@pytest.mark.parametrize("few", [10, 40_000])
+def test_exact_quantiles_of_groups(spark, few, monkeypatch):
+    """Both sides of the bound between whole range and sketched bracket, heavy ties, NULL keys and values."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "ACCURACY", 10_000 if few > 10 else 200)
+    monkeypatch.setattr(quantiles, "MARGIN", 2.0 / quantiles.ACCURACY)
+    rng = np.random.default_rng(few)
+    parts = {"a": rng.exponential(size=45_000), "b": np.round(rng.normal(size=9000)), None: rng.normal(size=50) * 1e9, "c": np.zeros(500)}
+    rows = [(k, float(v), None if i % 3 else float(-v)) for k, x in parts.items() for i, v in enumerate(x)] + [("none", None, None)]
+    df = spark.createDataFrame(rows, "k string, v double, w double")
+    wanted = {"v50": ("v", 0.5), "v99": ("v", 0.99), "w0": ("w", 0.0), "w95": ("w", 0.95)}
+    got = {r["k"]: r for r in quantiles.exact_quantiles(df, wanted, ["k"]).collect()}
+    assert set(got) == {*parts, "none"} and got["none"][1:] == (None,) * 4
+    for k, x in parts.items():
+        for name, (c, share) in wanted.items():
+            assert got[k][name] == pytest.approx(np.quantile(x if c == "v" else -x[::3], share), rel=1e-12)
+
+
 def test_exact_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5).first()["q"] is None
