@@ -19,6 +19,7 @@ from loadtide.llm.words import _BASE, _BYTE, _LOWER, _power, as_bytes, mix, piec
 SLOTS = 1 << 18
 BINS = 24
 STEMS = (4, 5)
+SCREEN = 6.0  # standard errors
 
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -91,14 +92,17 @@ def fit_rows(slots: list[np.ndarray], grades: np.ndarray, levels: int, least: in
     above = np.array([(grades >= k).sum() for k in range(1, levels)], float)
     share = (above + 0.5) / (n + 1)
     cuts = -np.log(share / (1 - share))
-    cuts = np.maximum.accumulate(cuts + 1e-3 * np.arange(levels - 1))
+    cuts = np.maximum.accumulate(cuts + 1e-3 * np.arange(2 - levels, 1))
     weights = np.zeros(SLOTS)
     if n == 0 or len(np.unique(grades)) < 2:
         return OrdinalModel(weights, cuts)
     row = np.repeat(np.arange(n), [len(s) for s in slots])
     col = np.concatenate(slots)
     df = np.bincount(col, minlength=SLOTS)
-    keep = df[col] >= least
+    # screening: only slots whose rows differ in mean grade by more than chance explains
+    centred = grades - grades.mean()
+    z = np.bincount(col, centred[row], minlength=SLOTS) / np.sqrt(np.maximum(df, 1) * max(centred.var(), 1e-12))
+    keep = (df[col] >= least) & (np.abs(z[col]) >= SCREEN)
     row, col = row[keep], col[keep]
     used, col = np.unique(col, return_inverse=True)
     size = len(used) + levels - 1
@@ -135,7 +139,7 @@ def fit(
     max_rows: int = 8000,
     least: int = 8,
     l2: float = 1e-5,
-    rounds: int = 120,
+    rounds: int = 400,
 ) -> OrdinalModel:
     """Fit on at most ``max_rows`` rows of ``graded`` (``id_col``, grade from 0 to ``levels`` - 1).
 
