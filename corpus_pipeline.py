@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadtide.llm import bpe, hyperminhash, mixture, ordinal
+from loadtide.llm.bloom import maybe_in
 from loadtide.llm.queries import read
 from loadtide.session import materialize
 
@@ -42,13 +43,18 @@ def _same(a: Column, b: Column) -> Column:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document per group: the smallest doc_id, and one of repeated rows.
 
-    Documents without words have no near duplicates and stay. Different texts of one doc_id are documents of their own.
+    Documents without words have no near duplicates and stay. Different texts of one doc_id stay if any of them is kept.
     """
     found = hyperminhash.near_duplicates(docs, threshold=SIMILARITY)
-    ids = materialize(found.where("kept").select(F.col("doc_id").alias("_id")).distinct(), "kept-ids")
-    kept = docs.join(ids, _same(docs["doc_id"], ids["_id"])).drop("_id")
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
+    ids = materialize(ids.where("_rows > 1 or not _kept"), "decided-ids")
+    # documents that are alone in their group pass as they are; the others need an exact look
+    doubtful = maybe_in(ids.select("_id"), ids.count(), F.col("doc_id"))
+    rest = docs.where(doubtful)
+    rest = rest.join(ids, _same(F.col("doc_id"), F.col("_id")), "left").where(F.coalesce("_kept", F.lit(True)))
     first = Window.partitionBy("doc_id", F.xxhash64("text"), F.sha1(F.col("text").cast("binary"))).orderBy("source", "lang")
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    rest = rest.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+    return docs.where(~doubtful).union(rest)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,13 +63,28 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document appears once for each epoch in which the mix reads any of its words. Rows that agree in doc_id, source and size appear as often as the one read most.
     """
     line, placed = mixture.mix(mixture.sizes(docs))
-    epochs = placed.select("row", "epoch").distinct().groupBy("row").agg(F.count("*").cast("int").alias("_copies"))
-    often = line.join(epochs, "row").groupBy("doc_id", "source", "size").agg(F.max("_copies").alias("_copies"))
-    often = materialize(often.toDF("_id", "_source", "_size", "_copies"), "mix-copies")
-    sized = docs.withColumn("_words", mixture.words(F.col("text")))
-    met = sized.join(often, _same(F.col("doc_id"), F.col("_id")) & _same(F.col("source"), F.col("_source")) & (F.col("_words") == F.col("_size")))
-    again = met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return again.select(*docs.columns)
+    epochs = placed.select("row", "epoch").distinct().groupBy("row").agg(F.count("*").cast("int").alias("_mix_copies"))
+    often = line.where("size > 0").join(epochs, "row", "left").withColumn("_mix_copies", F.coalesce("_mix_copies", F.lit(0)))
+    often = often.groupBy("doc_id", "source", "size").agg(F.max("_mix_copies").alias("_mix_copies"))
+    bucket = mixture.bucket(F.col("doc_id"))
+    often = materialize(often.withColumn("_mix_at", bucket), "mix-copies")
+    # Along a source's line copies only fall. All but a few buckets are therefore alike, and one row per source
+    # says which: texts of alike buckets need no shuffle, the others meet their own row.
+    ends = [F.min(F.when(F.col("_mix_copies") < k, F.col("_mix_at"))).alias(f"_below{k}") for k in (1, 2, 3)]
+    ends += [F.max(F.when(F.col("_mix_copies") >= k, F.col("_mix_at"))).alias(f"_above{k}") for k in (1, 2, 3)]
+    bounds = materialize(often.groupBy(F.col("source").alias("_source")).agg(*ends), "mix-bounds")
+    sized = docs.withColumn("_mix_bucket", bucket).join(bounds, _same(F.col("source"), F.col("_source")))
+    at = F.col("_mix_bucket")
+    surely = [F.coalesce(at < F.col(f"_below{k}"), F.lit(True)) for k in (1, 2, 3)]
+    never = [F.coalesce(at > F.col(f"_above{k}"), F.lit(True)) for k in (1, 2, 3)]
+    clear = (surely[0] | never[0]) & (surely[1] | never[1]) & (surely[2] | never[2])
+    alike = sized.where(clear).withColumn("_mix_copies", sum(s.cast("int") for s in surely))
+    alike = alike.where(mixture.words(F.col("text")) > 0).select(*docs.columns, "_mix_copies")
+    own = often.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_mix_copies")
+    rest = sized.where(~clear).drop("_source").withColumn("_words", mixture.words(F.col("text")))
+    rest = rest.join(own, _same(F.col("doc_id"), F.col("_id")) & _same(F.col("source"), F.col("_source")) & (F.col("_words") == F.col("_size")))
+    both = alike.union(rest.select(*docs.columns, "_mix_copies")).where("_mix_copies > 0")
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

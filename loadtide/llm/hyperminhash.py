@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadtide.llm.bloom import maybe_in
 from loadtide.llm.components import components
 from loadtide.llm.words import as_bytes, mix, shingle_sets
 from loadtide.session import materialize
@@ -175,7 +176,9 @@ def _sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
             hashes = pa.array([h.tobytes() for h in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), hashes], names=["node", "hashes"]).filter(pa.array(own))
 
-    found = needed.join(docs, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "high", "low", "text")
+    # few documents have a likely partner: the texts of the others aren't shuffled
+    some = docs.where(maybe_in(needed.select("doc_id"), needed.count(), F.col("_id")))
+    found = needed.join(some, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "high", "low", "text")
     return found.mapInArrow(run, "node long, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
@@ -384,7 +387,7 @@ def near_duplicates(
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "high", "low"), "node")
-    sets = materialize(_sets(wanted, texts), "sets")
+    sets = materialize(_sets(materialize(wanted, "wanted"), texts), "sets")
     hx = sets.toDF("a", "hx")
     hy = sets.toDF("b", "hy")
     links = materialize(star.join(hx, "a").join(hy, "b").mapInArrow(_confirm(percent), "a long, b long"), "links")

@@ -62,11 +62,19 @@ def source_table(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCH
     return out.withColumn("block_words", F.greatest(F.ceil(F.col("total") / slots), F.lit(1)).cast("long"))
 
 
+def _key(doc_id: Column, seed: str) -> Column:
+    return F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+
+
+def bucket(doc_id: Column, seed: str = "mix") -> Column:
+    """The stretch of its source's line that a document lies in; stretches follow each other by name."""
+    return F.substring(_key(doc_id, seed), 1, BUCKET_DIGITS)
+
+
 def lines(sized: DataFrame, sources: DataFrame, seed: str = "mix") -> DataFrame:
     """``sized`` (row, doc_id, source, size) with its source's columns and ``start``, its first word's place on the line."""
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    known = known.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
+    known = known.withColumn("_key", _key(F.col("doc_id"), seed)).withColumn("_bucket", bucket(F.col("doc_id"), seed))
     known = materialize(known, "mix-keys")
     order = Window.partitionBy("src").orderBy("_bucket")
     sums = known.groupBy("src", "_bucket").agg(F.sum("size").alias("_sum"))
