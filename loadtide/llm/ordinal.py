@@ -56,7 +56,7 @@ def features(texts: list[bytes]):
         starts, stops = edge[::2], edge[1::2]
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[_LOWER[data]] * _power("up", _BASE, len(data)), out=sums[1:])
-        down = _power("down", pow(_BASE, -1, 1 << 64), len(data))[starts] if len(starts) else starts
+        down = _power("down", pow(_BASE, -1, 1 << 64), len(data))[starts]
         whole = mix((sums[stops] - sums[starts]) * down)
         stems = [mix((sums[np.minimum(stops, starts + k)] - sums[starts]) * down + np.uint64(k)) for k in STEMS]
         at = 0
