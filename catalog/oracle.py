@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from catalog.fixture import NUDGE, SCALING
-from loadtide.functions.logline import LOG_PATTERN, REQUEST_PATTERN
 
 ORACLES: dict[str, str] = {}
+# The line and request patterns.
+LOG_PATTERN = r'^(?P<host>\S+)\s+\S+\s+\S+\s+\[(?P<ts>[^\]]+)\]\s+"(?P<request>[^"]*)"\s+(?P<status>\d{3})\s+(?P<bytes>\S+)\s*$'
+REQUEST_PATTERN = r"^(?P<method>[A-Z]+)\s+(?P<url>\S+)\s+(?P<version>HTTP/\d\.\d)$"
 STEP = {"1m": 60, "5m": 300, "15m": 900}
 CUT = "TIMESTAMP '2024-01-23 04:00:00'"
 OUTAGE = ("TIMESTAMP '2024-01-09 18:52:01'", "TIMESTAMP '2024-01-11 08:36:13'")
@@ -249,14 +251,14 @@ RATES = """rated AS (SELECT *, CASE WHEN hits > 0 THEN err_4xx / hits ELSE 0 END
   CASE WHEN hits > 0 THEN err_5xx / hits ELSE 0 END AS rate_5xx FROM tr)"""
 oracle(
     "b9_guarded_ratios",
-    "t:bucket_start f:avg_bytes_per_req f:error_rate f:rate_4xx f:rate_5xx",
-    chain(*LOG, *train("5m"), RATES, "SELECT * FROM rated"),
+    "x:split x:tag t:bucket_start f:avg_bytes_per_req f:error_rate f:rate_4xx f:rate_5xx",
+    chain(*LOG, *all_series(("1m", "5m", "15m")), RATES.replace("FROM tr", "FROM series"), "SELECT * FROM rated"),
 )
 _RATIO = "coalesce(bytes_sum, 0) / greatest(coalesce(hits, 0), 1)"
 oracle(
     "b10_feature_ratio",
-    "t:bucket_start f:avg_bytes_per_req",
-    chain(*LOG, *train("5m"), f"SELECT bucket_start, {_RATIO} AS avg_bytes_per_req FROM tr"),
+    "x:split x:tag t:bucket_start f:avg_bytes_per_req",
+    chain(*LOG, *all_series(("1m", "5m", "15m")), f"SELECT split, tag, bucket_start, {_RATIO} AS avg_bytes_per_req FROM series"),
 )
 _LOCAL = "(bucket_start - INTERVAL 4 HOURS)"
 CALENDAR = f"""hour({_LOCAL}) AS hour, minute({_LOCAL}) AS minute, isodow({_LOCAL}) - 1 AS dayofweek,
@@ -301,8 +303,8 @@ oracle(
 )
 oracle(
     "b21_gap_filter",
-    "t:bucket_start f:hits",
-    chain(*LOG, *train("5m"), "SELECT * FROM tr WHERE coalesce(is_gap, 0) = 0"),
+    "x:split x:tag t:bucket_start f:hits",
+    chain(*LOG, *all_series(("1m", "5m", "15m")), "SELECT * FROM series WHERE coalesce(is_gap, 0) = 0"),
 )
 
 # series
@@ -395,7 +397,7 @@ oracle(
 oracle(
     "c10_conditional_fill",
     "x:split x:tag " + TS3_COLS,
-    chain(*LOG, *all_series(("5m", "15m")), "SELECT * FROM series"),
+    chain(*LOG, *all_series(("1m", "5m", "15m")), "SELECT * FROM series"),
 )
 oracle(
     "c10_keyed_hosts",
@@ -607,13 +609,13 @@ oracle(
 )
 oracle(
     "d11_quality_guards",
-    "i:rows i:duplicate_times f:hits_na_rate f:bytes_sum_na_rate",
+    "x:split x:tag i:rows i:duplicate_times f:hits_na_rate f:bytes_sum_na_rate",
     chain(
         *LOG,
-        *train("5m"),
-        """SELECT count(*) AS rows, count(*) - count(DISTINCT bucket_start) AS duplicate_times,
+        *all_series(("1m", "5m", "15m")),
+        """SELECT split, tag, count(*) AS rows, count(*) - count(DISTINCT bucket_start) AS duplicate_times,
       count(*) FILTER (hits IS NULL) / count(*) AS hits_na_rate,
-      count(*) FILTER (bytes_sum IS NULL) / count(*) AS bytes_sum_na_rate FROM tr""",
+      count(*) FILTER (bytes_sum IS NULL) / count(*) AS bytes_sum_na_rate FROM series GROUP BY ALL""",
     ),
 )
 oracle(
@@ -641,7 +643,7 @@ def _label_counts(tag: str) -> str:
 oracle(
     "d14_feature_report",
     "x:tag i:rows_out_train i:dropped_na_train_labels i:n_features",
-    _label_counts("5m") + " UNION ALL " + _label_counts("15m"),
+    " UNION ALL ".join(map(_label_counts, STEP)),
 )
 oracle(
     "d15_na_profile",
@@ -831,7 +833,19 @@ oracle(
 )
 
 
-def histogram(source: str, value: str, bins: int) -> tuple[str, ...]:
+def histogram(source: str, value: str, bins: int, keys: tuple[str, ...] = ()) -> tuple[str, ...]:
+    if keys:
+        k = ", ".join(keys)
+        return (
+            f"vals AS (SELECT {k}, {value} AS x FROM {source} WHERE {value} IS NOT NULL)",
+            f"""ends AS (SELECT {k}, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS a,
+      CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS b FROM vals GROUP BY {k})""",
+            f"""placed AS (SELECT {k}, CAST(least(floor((x - a) / ((b - a) / {bins})), {bins - 1}) AS INT) AS bin, count(*) AS n
+      FROM vals JOIN ends USING ({k}) GROUP BY ALL)""",
+            f"""grid AS (SELECT *, unnest(generate_series(0, {bins - 1})) AS bin FROM ends)""",
+            f"""SELECT {k}, bin, a + bin * ((b - a) / {bins}) AS bin_start, coalesce(n, 0) AS count
+      FROM grid LEFT JOIN placed USING ({k}, bin)""",
+        )
     return (
         f"vals AS (SELECT {value} AS x FROM {source} WHERE {value} IS NOT NULL)",
         "ends AS (SELECT min(x) AS a, max(x) AS b FROM vals)",
@@ -844,11 +858,11 @@ def histogram(source: str, value: str, bins: int) -> tuple[str, ...]:
 
 oracle(
     "e14_residual_histogram",
-    "i:bin f:bin_start i:count",
+    "x:scenario x:metric i:bin f:bin_start i:count",
     chain(
         *CASES,
-        "res AS (SELECT y_true - y_pred AS residual FROM cases WHERE metric = 'bytes_sum')",
-        *histogram("res", "residual", 60),
+        "res AS (SELECT scenario, metric, y_true - y_pred AS residual FROM cases, (SELECT unnest(['default', 'calm', 'guarded']) AS scenario))",
+        *histogram("res", "residual", 60, ("scenario", "metric")),
     ),
 )
 
@@ -875,17 +889,21 @@ oracle(
 )
 oracle(
     "g1_keyed_services",
-    "x:service x:metric t:timestamp f:anomaly_score i:is_spike",
-    chain(*CASES, *mad("cases", "y_true", 8, 2, ("service", "metric"), "timestamp"), "SELECT * FROM mads"),
+    "x:service x:scenario x:metric t:timestamp f:anomaly_score i:is_spike",
+    chain(
+        *CASES,
+        *mad("cases", "y_true", 8, 2, ("service", "metric"), "timestamp"),
+        "SELECT * FROM mads, (SELECT unnest(['default', 'calm', 'guarded']) AS scenario)",
+    ),
 )
 oracle(
     "g2_sustained_spike",
-    "x:service t:timestamp i:is_spike i:is_ddos",
+    "x:service x:scenario x:metric t:timestamp i:is_spike i:is_ddos",
     chain(
         *CASES,
-        "f AS (SELECT service, timestamp, CASE WHEN y_true > 1 THEN 1 ELSE 0 END AS is_spike FROM cases WHERE metric = 'hits')",
-        """SELECT *, CASE WHEN sum(is_spike) OVER (PARTITION BY service ORDER BY timestamp ROWS 2 PRECEDING) >= 3
-      THEN 1 ELSE 0 END AS is_ddos FROM f""",
+        "f AS (SELECT service, metric, timestamp, CASE WHEN y_true > 1 THEN 1 ELSE 0 END AS is_spike FROM cases)",
+        """SELECT *, CASE WHEN sum(is_spike) OVER (PARTITION BY service, metric, scenario ORDER BY timestamp ROWS 2 PRECEDING) >= 3
+      THEN 1 ELSE 0 END AS is_ddos FROM f, (SELECT unnest(['default', 'calm', 'guarded']) AS scenario)""",
     ),
 )
 
@@ -1095,6 +1113,92 @@ oracle(
     chain(*LOG, *test("5m"), "SELECT * FROM te WHERE is_gap = 0"),
 )
 
+_BY_SERVICE = (*LOG, *train("15m", _SERVICE))
+oracle(
+    "h3_keyed_services",
+    "x:service i:dow " + " ".join(f"f:h{h}" for h in range(24)),
+    chain(
+        *_BY_SERVICE,
+        PARTS,
+        "grid AS (SELECT service, unnest(generate_series(0, 6)) AS dow FROM (SELECT DISTINCT service FROM parts))",
+        "SELECT service, dow, "
+        + ", ".join(f"coalesce(avg(hits) FILTER (hour = {h}), 0) AS h{h}" for h in range(24))
+        + " FROM grid LEFT JOIN parts USING (service, dow) GROUP BY ALL",
+    ),
+)
+oracle(
+    "h4_keyed_services",
+    "x:service x:part i:unit f:mean_hits",
+    chain(
+        *_BY_SERVICE,
+        PARTS,
+        """SELECT service, 'hour' AS part, hour AS unit, avg(hits) AS mean_hits FROM parts GROUP BY ALL
+    UNION ALL SELECT service, 'dow', dow, avg(hits) FROM parts GROUP BY ALL""",
+    ),
+)
+oracle(
+    "h7_keyed_services",
+    "x:service x:metric i:lag f:corr",
+    chain(
+        *_BY_SERVICE,
+        "ok AS (SELECT * FROM tr WHERE is_gap = 0)",
+        " UNION ALL ".join(
+            f"SELECT service, '{m}' AS metric, {k} AS lag, corr(x, y) AS corr FROM (SELECT service, {m} AS x, "
+            f"lag({m}, {k}) OVER (PARTITION BY service ORDER BY bucket_start) AS y FROM ok) GROUP BY service"
+            for m in ("hits", "bytes_sum")
+            for k in _LAGS
+        ),
+    ),
+)
+oracle(
+    "h8_keyed_services",
+    "x:service i:bin f:bin_start i:count",
+    chain(*_BY_SERVICE, *histogram("tr", "bytes_sum", 80, _SERVICE)),
+)
+oracle(
+    "h11_overlay_points",
+    "x:service t:bucket_start f:bytes_sum",
+    chain(*_BY_SERVICE, "SELECT * FROM tr WHERE is_missing_bucket = 1"),
+)
+oracle(
+    "b16_tag_resolution",
+    "x:tag i:step i:per_hour i:per_day i:roll_1h i:roll_6h i:roll_1d i:step_of_tag i:rows",
+    chain(
+        *LOG,
+        *all_series(("1m", "5m", "15m")),
+        """SELECT s.*, 3600 // step AS per_hour, 86400 // step AS per_day, 3600 // step AS roll_1h, 21600 // step AS roll_6h,
+      86400 // step AS roll_1d, step AS step_of_tag
+    FROM (SELECT tag, CASE tag WHEN '1m' THEN 60 WHEN '5m' THEN 300 ELSE 900 END AS step, count(*) AS rows FROM series GROUP BY ALL) s""",
+    ),
+)
+_SETS = {
+    "hits": [c for c in FEATURES if not c.startswith(("bytes_sum_", "avg_bytes_per_req_"))],
+    "bytes_sum": [c for c in FEATURES if not c.startswith(("hits_lag_", "hits_diff_"))],
+}
+oracle(
+    "d12_feature_sets",
+    "x:target x:feature i:known",
+    chain(
+        *LOG,
+        *train_features("15m"),
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS target, '{c}' AS feature, count({c}) AS known FROM feat" for t, cols in _SETS.items() for c in cols
+        ),
+    ),
+)
+oracle(
+    "i2_policy_parameters",
+    "x:scenario x:metric x:window f:buffer i:win_minutes i:min_instances i:max_instances f:unit_cost i:step_limit i:k_high "
+    "i:k_low i:cooldown_windows i:warmup_windows i:uptime_windows i:rows",
+    chain(
+        *CASES,
+        """knobs(scenario, k_high, k_low, cooldown_windows, warmup_windows, uptime_windows) AS (VALUES
+  ('default', 1, 2, 1, 0, 2), ('calm', 2, 4, 3, 0, 2), ('guarded', 1, 2, 1, 2, 3))""",
+        """SELECT k.*, metric, "window", 0.3::DOUBLE AS buffer, 15 AS win_minutes, 2 AS min_instances, 50 AS max_instances,
+      0.05::DOUBLE AS unit_cost, 15 AS step_limit, count(*) AS rows FROM cases, knobs k GROUP BY ALL""",
+    ),
+)
+
 # capacity
 
 UNITS = {m: SCALING["capacity_per_instance"][m]["15m"] for m in ("hits", "bytes_sum")}
@@ -1242,11 +1346,11 @@ oracle(
 
 oracle(
     "s1_streaming_buckets",
-    TS2_COLS.replace("i:unique_hosts ", ""),
+    TS2_COLS.replace("i:unique_hosts ", "x:hosts_near "),
     chain(
         *LOG,
         ts2("b", 300),
-        """SELECT * FROM b WHERE bucket_start + INTERVAL 5 MINUTES <=
+        """SELECT *, TRUE AS hosts_near FROM b WHERE bucket_start + INTERVAL 5 MINUTES <=
       (SELECT max(datetime) FROM ev) - INTERVAL 10 MINUTES""",
     ),
 )

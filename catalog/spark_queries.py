@@ -67,7 +67,7 @@ def a1(spark, sf):
 @query("a2_incremental_ingest")
 def a2(spark, sf):
     path, out, state = (shared_dir(spark, n) for n in ("in", "out", "state"))
-    X.log_lines(spark, sf).repartition(4).write.text(path)
+    X.log_lines(spark, sf).write.text(path)
     logs.stream_access_log(spark, path, out, state, max_files_per_trigger=2).awaitTermination()
     return spark.read.schema(logs.LOG_EVENT_SCHEMA).parquet(out)
 
@@ -226,14 +226,14 @@ def b8(spark, sf):
 
 @query("b9_guarded_ratios")
 def b9(spark, sf):
-    return buckets.with_class_rates(X.series(spark, sf, "train", "5m")).select(
-        "bucket_start", "avg_bytes_per_req", "error_rate", "rate_4xx", "rate_5xx"
+    return buckets.with_class_rates(X.series(spark, sf)).select(
+        "split", "tag", "bucket_start", "avg_bytes_per_req", "error_rate", "rate_4xx", "rate_5xx"
     )
 
 
 @query("b10_feature_ratio")
 def b10(spark, sf):
-    return features.with_dense_ratio(X.series(spark, sf, "train", "5m")).select("bucket_start", "avg_bytes_per_req")
+    return features.with_dense_ratio(X.series(spark, sf)).select("split", "tag", "bucket_start", "avg_bytes_per_req")
 
 
 def _calendar(spark, sf):
@@ -303,7 +303,7 @@ def b20(spark, sf):
 
 @query("b21_gap_filter")
 def b21(spark, sf):
-    return gaps.non_gap(X.series(spark, sf, "train", "5m")).select("bucket_start", "hits")
+    return gaps.non_gap(X.series(spark, sf)).select("split", "tag", "bucket_start", "hits")
 
 
 # series construction
@@ -411,7 +411,7 @@ def c9(spark, sf):
 
 @query("c10_conditional_fill")
 def c10(spark, sf):
-    return X.series(spark, sf).filter(F.col("tag") != "1m")
+    return X.series(spark, sf)
 
 
 @query("c10_keyed_hosts")
@@ -534,7 +534,7 @@ def d10(spark, sf):
 
 @query("d11_quality_guards")
 def d11(spark, sf):
-    return features.quality_profile(X.series(spark, sf, "train", "5m"))
+    return features.quality_profile(X.series(spark, sf), keys=["split", "tag"])
 
 
 @query("d13_truth_projection")
@@ -545,7 +545,7 @@ def d13(spark, sf):
 @query("d14_feature_report")
 def d14(spark, sf):
     made = {}
-    for tag in ("5m", "15m"):
+    for tag in ("1m", "5m", "15m"):
         train, test = (X.series(spark, sf, s, tag) for s in ("train", "test"))
         made[tag] = features.train_features(train, test, tag, SPEC, keep_unlabelled=True)
     return features.feature_report(made, SPEC)
@@ -668,8 +668,8 @@ def e14(spark, sf):
 
 @query("e14_residual_histogram")
 def e14h(spark, sf):
-    case = X.service_case(spark, sf).filter("scenario = 'default' and metric = 'bytes_sum'")
-    return explore.histogram(evaluate.residuals(case), "residual", explore.RESIDUAL_BINS)
+    case = evaluate.residuals(X.service_case(spark, sf))
+    return explore.histogram(case, "residual", explore.RESIDUAL_BINS, keys=["scenario", "metric"])
 
 
 # anomalies
@@ -684,18 +684,18 @@ def g1(spark, sf):
 
 @query("g1_keyed_services")
 def g1k(spark, sf):
-    case = X.service_case(spark, sf).filter("scenario = 'guarded'")
     out = anomaly.mad_spikes(
-        case, "y_true", window_rows=anomaly.lookback_rows("15m", 2), k=2.0, keys=["service", "metric"]
-    )
-    return out.select("service", "metric", "timestamp", "anomaly_score", "is_spike")
+        X.service_case(spark, sf), "y_true", window_rows=anomaly.lookback_rows("15m", 2), k=2.0,
+        keys=["service", "scenario", "metric"],
+    )
+    return out.select("service", "scenario", "metric", "timestamp", "anomaly_score", "is_spike")
 
 
 @query("g2_sustained_spike")
 def g2(spark, sf):
-    case = X.service_case(spark, sf).filter("scenario = 'default' and metric = 'hits'")
-    flagged = case.select("service", "timestamp", (F.col("y_true") > 1).cast("int").alias("is_spike"))
-    return anomaly.sustained(flagged, consecutive=3, keys=SERVICE)
+    keys = ["service", "scenario", "metric"]
+    flagged = X.service_case(spark, sf).select(*keys, "timestamp", (F.col("y_true") > 1).cast("int").alias("is_spike"))
+    return anomaly.sustained(flagged, consecutive=3, keys=keys)
 
 
 @query("g3_spike_types")
@@ -778,6 +778,32 @@ def h8(spark, sf):
     return explore.histogram(X.series(spark, sf, "train", "5m"), "bytes_sum")
 
 
+@query("h3_keyed_services")
+def h3k(spark, sf):
+    return explore.week_heatmap(X.service_series(spark, sf, "train"), utc_offset=X.OFFSET, keys=SERVICE)
+
+
+@query("h4_keyed_services")
+def h4k(spark, sf):
+    return explore.seasonal_means(X.service_series(spark, sf, "train"), utc_offset=X.OFFSET, keys=SERVICE)
+
+
+@query("h7_keyed_services")
+def h7k(spark, sf):
+    return explore.lag_correlation(gaps.non_gap(X.service_series(spark, sf, "train")), keys=SERVICE, digits=12)
+
+
+@query("h8_keyed_services")
+def h8k(spark, sf):
+    return explore.histogram(X.service_series(spark, sf, "train"), "bytes_sum", keys=SERVICE)
+
+
+@query("h11_overlay_points")
+def h11o(spark, sf):
+    s = X.service_series(spark, sf, "train")
+    return explore.overlay_points(s, "bytes_sum", "is_missing_bucket", keys=SERVICE)
+
+
 @query("h9_raw_quality")
 def h9(spark, sf):
     return explore.raw_quality(X.events(spark, sf))
@@ -810,6 +836,34 @@ def h12(spark, sf):
 # capacity
 
 
+@query("b16_tag_resolution")
+def b16(spark, sf):
+    s = X.series(spark, sf)
+    rolls = {t: G.roll_steps(t, SPEC.roll_windows) for t in G.TAG_SECONDS}
+    known = [
+        F.struct(F.lit(t).alias("tag"), F.lit(G.step_seconds(t)).alias("step"), F.lit(G.steps_per_hour(t)).alias("per_hour"),
+                 F.lit(G.steps_per_day(t)).alias("per_day"), *[F.lit(n).alias(f"roll_{w}") for w, n in rolls[t].items()])
+        for t in G.TAG_SECONDS
+    ]
+    row = F.filter(F.array(*known), lambda r: r["tag"] == F.col("tag"))[0]
+    return s.groupBy(row.alias("r"), (G.step_of_tag(F.col("tag"))).alias("step_of_tag")).agg(F.count(F.lit(1)).alias("rows")).select("r.*", "step_of_tag", "rows")
+
+
+@query("d12_feature_sets")
+def d12(spark, sf):
+    s = _train_features(spark, sf, "15m")
+    sets = F.array(*[F.struct(F.lit(t).alias("target"), F.lit(c).alias("feature"), F.count(F.col(c)).alias("known")) for t in ("hits", "bytes_sum") for c in SPEC.feature_cols(t)])
+    return s.agg(sets.alias("f")).select(F.inline("f"))
+
+
+@query("i2_policy_parameters")
+def i2(spark, sf):
+    p = X.policies(spark)
+    rows = X.service_case(spark, sf).groupBy("scenario", "metric", "window").agg(F.count(F.lit(1)).alias("rows"))
+    cols = ["buffer", "win_minutes", "min_instances", "max_instances", "unit_cost", "step_limit", "k_high", "k_low", "cooldown_windows", "warmup_windows", "uptime_windows"]
+    return rows.join(p.select("scenario", "metric", "window", *cols), ["scenario", "metric", "window"])
+
+
 @query("i1_capacity_lookup")
 def i1(spark, sf):
     case = X.service_case(spark, sf)
@@ -906,7 +960,7 @@ def i14(spark, sf):
 
 def _streamed(spark, sf, finish=lambda b: b):
     path, out, state = (shared_dir(spark, n) for n in ("lines", "buckets", "state"))
-    X.log_lines(spark, sf).repartition(4).write.text(path)
+    X.log_lines(spark, sf).write.text(path)
     lines = spark.readStream.option("maxFilesPerTrigger", 4).text(path)
     made = finish(streaming.stream_buckets(logs.parse_lines(lines), "5m"))
     streaming.append_to_table(made, out, state).awaitTermination()
@@ -915,7 +969,10 @@ def _streamed(spark, sf, finish=lambda b: b):
 
 @query("s1_streaming_buckets")
 def s1(spark, sf):
-    return _streamed(spark, sf).drop("unique_hosts")
+    # hosts are a sketch; the flag says that it is within five standard errors of the exact count
+    exact = X.events(spark, sf).groupBy(G.bucket_floor(F.col("datetime"), 300).alias("bucket_start")).agg(F.countDistinct("host").alias("exact"))
+    near = F.abs(F.col("unique_hosts") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return _streamed(spark, sf).join(exact, "bucket_start").withColumn("hosts_near", near).drop("unique_hosts", "exact")
 
 
 @query("s2_streaming_outages")

@@ -77,21 +77,31 @@ def local_parts(df: DataFrame, utc_offset: str) -> DataFrame:
     return df.withColumns({"hour": F.hour(local), "dow": F.weekday(local)})
 
 
-def week_heatmap(ts3: DataFrame, value: str = "hits", utc_offset: str = "+00:00") -> DataFrame:
+def week_heatmap(
+    ts3: DataFrame, value: str = "hits", utc_offset: str = "+00:00", keys: Sequence[str] = ()
+) -> DataFrame:
     """Mean per weekday (rows) and hour (``h0``..``h23``); cells without data are 0."""
     cells = (
         local_parts(non_gap(ts3), utc_offset)
-        .groupBy("dow", "hour")
+        .groupBy(*keys, "dow", "hour")
         .agg(F.avg(value).alias("v"))
     )
-    wide = cells.groupBy("dow").pivot("hour", list(range(24))).agg(F.first("v"))
-    days = ts3.sparkSession.range(7).select(F.col("id").cast("int").alias("dow"))
-    return days.join(wide, "dow", "left").select(
-        "dow", *[F.coalesce(F.col(f"`{h}`"), F.lit(0.0)).alias(f"h{h}") for h in range(24)]
+    wide = cells.groupBy(*keys, "dow").pivot("hour", list(range(24))).agg(F.first("v"))
+    week = F.explode(F.sequence(F.lit(0), F.lit(6)))
+    if keys:
+        days = cells.select(*keys).distinct().withColumn("dow", week)
+    else:
+        days = ts3.sparkSession.range(7).select(F.col("id").cast("int").alias("dow"))
+    right = wide.withColumnsRenamed({k: f"_w_{k}" for k in (*keys, "dow")})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in (*keys, "dow")])
+    return days.join(right, same, "left").select(
+        *keys, "dow", *[F.coalesce(F.col(f"`{h}`"), F.lit(0.0)).alias(f"h{h}") for h in range(24)]
     )
 
 
-def seasonal_means(ts3: DataFrame, value: str = "hits", utc_offset: str = "+00:00") -> DataFrame:
+def seasonal_means(
+    ts3: DataFrame, value: str = "hits", utc_offset: str = "+00:00", keys: Sequence[str] = ()
+) -> DataFrame:
     """Mean by hour of day and by weekday, told apart by ``part``."""
     parts = local_parts(non_gap(ts3), utc_offset).withColumn(
         "_p",
@@ -102,7 +112,7 @@ def seasonal_means(ts3: DataFrame, value: str = "hits", utc_offset: str = "+00:0
             )
         ),
     )
-    return parts.groupBy("_p.part", "_p.unit").agg(F.avg(value).alias(f"mean_{value}"))
+    return parts.groupBy(*keys, "_p.part", "_p.unit").agg(F.avg(value).alias(f"mean_{value}"))
 
 
 def correlation_pairs(
@@ -161,46 +171,53 @@ def autocorrelation(
 
 
 def lag_correlation(
-    df: DataFrame, metrics: Sequence[str] = ("hits", "bytes_sum"), lags: Sequence[int] = LAGS, digits: int = 4
+    df: DataFrame,
+    metrics: Sequence[str] = ("hits", "bytes_sum"),
+    lags: Sequence[int] = LAGS,
+    digits: int = 4,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Pearson correlation of a series with itself some rows earlier."""
-    tables = []
-    for metric in metrics:
-        lagged = _lagged(df, F.col(metric).cast("double"), lags, ())
-        wide = lagged.agg(*[pearson(F.col("_x"), F.col(f"_l{k}")).alias(f"c{k}") for k in lags])
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(metric).alias("metric"),
-                    F.lit(k).alias("lag"),
-                    F.round(f"c{k}", digits).alias("corr"),
-                )
-                for k in lags
-            ]
-        )
-        tables.append(wide.select(F.inline(rows)))
-    return reduce(DataFrame.unionAll, tables)
-
-
-def histogram(df: DataFrame, value: str, bins: int = SERIES_BINS) -> DataFrame:
+    both = F.struct(*[F.col(m).cast("double").alias(m) for m in metrics])
+    pairs = [(m, k) for m in metrics for k in lags]
+    lagged = _lagged(df, both, lags, keys)
+    wide = lagged.groupBy(*keys).agg(
+        *[pearson(F.col("_x")[m], F.col(f"_l{k}")[m]).alias(f"c{i}") for i, (m, k) in enumerate(pairs)]
+    )
+    rows = [
+        F.struct(F.lit(m).alias("metric"), F.lit(k).alias("lag"), F.round(f"c{i}", digits).alias("corr"))
+        for i, (m, k) in enumerate(pairs)
+    ]
+    return wide.select(*keys, F.inline(F.array(*rows)))
+
+
+def histogram(df: DataFrame, value: str, bins: int = SERIES_BINS, keys: Sequence[str] = ()) -> DataFrame:
     """Counts in equal-width bins from minimum to maximum, empty bins included."""
-    x = df.select(F.col(value).cast("double").alias("x")).filter("x is not null")
-    bounds = x.agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    x = df.select(*keys, F.col(value).cast("double").alias("x")).filter("x is not null")
+    bounds = x.groupBy(*keys).agg(F.min("x").alias("a"), F.max("x").alias("b"))
     flat = F.col("a") == F.col("b")
     edges = bounds.select(
+        *keys,
         F.struct(
             F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
             F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
         ).alias("e")
     )
-    placed = x.withColumn("e", edges.scalar())
+    if keys:
+        known = edges.withColumnsRenamed({k: f"_e_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys])
+        placed = x.join(known, same)
+    else:
+        placed = x.withColumn("e", edges.scalar())
     width = (F.col("e.hi") - F.col("e.lo")) / bins
     bin_no = F.least(F.floor((F.col("x") - F.col("e.lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = placed.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = placed.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys], bin_no.alias("_bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = edges.filter("e.lo is not null").select(
-        "e", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+        *keys, "e", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
-    return all_bins.join(counts, "bin", "left").select(
+    met = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys], F.col("bin") == F.col("_bin"))
+    return all_bins.join(counts, met, "left").select(
+        *keys,
         "bin",
         (F.col("e.lo") + F.col("bin") * width).alias("bin_start"),
         F.coalesce("count", F.lit(0)).alias("count"),
@@ -235,11 +252,13 @@ def top_values(events: DataFrame, col: str, n: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc_nulls_last("value")).limit(n)
 
 
-def chart_series(ts3: DataFrame, cols: Sequence[str] = ("hits", "bytes_sum")) -> DataFrame:
+def chart_series(ts3: DataFrame, cols: Sequence[str] = ("hits", "bytes_sum"), keys: Sequence[str] = ()) -> DataFrame:
     """Time and value columns of the non-gap rows, the data behind a trend line."""
-    return non_gap(ts3).select(TIME, *cols)
+    return non_gap(ts3).select(*keys, TIME, *cols)
 
 
-def overlay_points(flagged: DataFrame, value: str, flag: str, time_col: str = TIME) -> DataFrame:
+def overlay_points(
+    flagged: DataFrame, value: str, flag: str, time_col: str = TIME, keys: Sequence[str] = ()
+) -> DataFrame:
     """The flagged points drawn over a trend line."""
-    return flagged.filter(F.col(flag).cast("int") == 1).select(time_col, value)
+    return flagged.filter(F.col(flag).cast("int") == 1).select(*keys, time_col, value)

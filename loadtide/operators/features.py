@@ -363,12 +363,12 @@ def truth_frame(test: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def quality_profile(
     df: DataFrame, cols: Sequence[str] = ("hits", "bytes_sum"), keys: Sequence[str] = ()
 ) -> DataFrame:
-    """One row: rows, repeated times and the share of NULLs per column."""
+    """One row per key: rows, repeated times and the share of NULLs per column."""
     per_time = df.groupBy(*keys, TIME).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in cols],
     )
-    return per_time.agg(
+    return per_time.groupBy(*keys).agg(
         F.sum("_n").alias("rows"),
         F.sum(F.col("_n") - 1).alias("duplicate_times"),
         *[(F.sum(f"_null_{c}") / F.sum("_n")).alias(f"{c}_na_rate") for c in cols],
@@ -381,8 +381,11 @@ def assert_quality(
     keys: Sequence[str] = (),
     max_na_rate: float = 0.01,
 ) -> None:
-    """Raise on repeated times or too many NULLs; collects the one profile row."""
-    row = quality_profile(df, cols, keys).first()
+    """Raise on repeated times or too many NULLs; collects one row, the worst over the keys."""
+    worst = quality_profile(df, cols, keys).agg(
+        F.max("duplicate_times").alias("duplicate_times"), *[F.max(f"{c}_na_rate").alias(f"{c}_na_rate") for c in cols]
+    )
+    row = worst.first()
     if row["duplicate_times"]:
         raise ValueError(f"duplicate timestamps: {row['duplicate_times']}")
     for c in cols:

@@ -62,9 +62,14 @@ def tree_samples(
         *[F.col(f"x{i}") for i in range(n_features)],
         F.xxhash64(F.lit(seed), *id_cols).alias("_row"),
         F.least(F.lit(1.0), F.lit(4.0 * sample) / F.greatest(total.scalar(), F.lit(1))).alias("_bound"),
-    ).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draw = F.pmod(F.xxhash64("tree", "_row"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    near = offered.withColumn("_draw", draw).filter("_draw < _bound")
+    )
+
+    def draw(tree):
+        return F.pmod(F.xxhash64(tree, F.col("_row")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+    # a row is copied only for the trees that it is offered to
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.col("_bound"))
+    near = offered.withColumn("tree", F.explode(chosen)).withColumn("_draw", draw(F.col("tree")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", "_row"))
     return near.withColumn("_rank", rank).filter(F.col("_rank") <= sample).drop("_row", "_bound", "_draw")
 
@@ -109,6 +114,7 @@ def isolation_scores(
     cols: Sequence[str] = FEATURES,
     *,
     id_cols: Sequence[str] = ("bucket_start",),
+    keys: Sequence[str] = (),
     trees: int = TREES,
     sample: int = SAMPLE,
     seed: int = SEED,
@@ -116,6 +122,7 @@ def isolation_scores(
     """``if_score`` in (0, 1] per row, larger for rows that are easier to isolate."""
     n_features = len(cols)
     scaled = standardize(df, cols)
+    id_cols = [*keys, *id_cols]  # rows are drawn by all that tells them apart
     # at most trees * (2 * sample - 1) short rows, a few megabytes by construction
     nodes = tree_nodes(scaled, id_cols, n_features, trees, sample, seed).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)

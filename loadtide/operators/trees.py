@@ -100,11 +100,12 @@ def cross_validate(
     spec: FeatureSpec = FeatureSpec(),
     params: Mapping[str, object] | None = None,
     cv: Mapping[str, int] | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame | None:
     """Mean metrics over expanding folds, or None if the series is too short for two."""
     cv = {**DEFAULTS["modeling"]["cv"], **(cv or {})}
     folds = materialize(
-        time_folds(train, tag, splits=cv["splits"], test_days=cv["test_days"], gap_steps=cv["gap_steps"]), "folds"
+        time_folds(train, tag, splits=cv["splits"], test_days=cv["test_days"], gap_steps=cv["gap_steps"], keys=keys), "folds"
     )
     last = folds.agg(F.max("fold")).first()[0]
     if last is None:
