@@ -48,10 +48,30 @@ class Counter:
                 self.automaton.add_word(text, (len(text), score))
         self.automaton.make_automaton()
         self.unknown = min(s for _, s in pieces) - UNKNOWN
+        self.single = {text for text, _ in pieces if len(text) == 1}
         self.seen: dict[str, tuple[float, int, int]] = {}
 
     def word(self, word: str) -> tuple[float, int, int]:
         """(best score, pieces, unknown pieces) of one word."""
+        return self._known(word) if self.single.issuperset(word) else self._any(word)
+
+    def _known(self, word: str) -> tuple[float, int, int]:
+        """A word of known characters. The automaton lists the matches of an end by falling length, so the
+        first of equal scores is the one that starts first, and every place has a path."""
+        score, count = [0.0] * (len(word) + 1), [0] * (len(word) + 1)
+        last = -1
+        for end, (length, s) in self.automaton.iter(word):
+            start = end + 1 - length
+            total = score[start] + s
+            if end != last:
+                last = end
+            elif total <= score[end + 1]:
+                continue
+            score[end + 1] = total
+            count[end + 1] = count[start] + 1
+        return score[-1], count[-1], 0
+
+    def _any(self, word: str) -> tuple[float, int, int]:
         n = len(word)
         score, count, unknown = [0.0] + [None] * n, [0] * (n + 1), [0] * (n + 1)
         open_run = [False] * (n + 1)  # the path ends in an unknown piece

@@ -46,6 +46,14 @@ def test_ties_and_unknown_runs():
             assert counter.word(word)[1] == len(lib.encode(word).ids), (vocab, word)
 
 
+def test_both_ways_to_solve_a_word_agree(real):
+    rng = random.Random(5)
+    counter = V.Counter(real)
+    for _ in range(2000):
+        word = V.MARK + "".join(rng.choice("etaoinshrdlué'.") for _ in range(rng.randint(1, 25)))
+        assert counter._known(word) == counter._any(word)
+
+
 def best(word, vocab):
     """Highest score by trying every segmentation."""
     if not word:
