@@ -766,7 +766,7 @@ def _sweep(tag: str, target: str) -> str:
 oracle(
     "e8_model_sweep",
     "x:model x:target x:window f:RMSE f:MSE f:MAE f:MAPE",
-    " UNION ALL ".join(_sweep(tag, t) for tag in ("5m", "15m") for t in ("hits", "bytes_sum")),
+    " UNION ALL ".join(_sweep(tag, t) for tag in STEP for t in ("hits", "bytes_sum")),
 )
 SCORED = f"""scored AS (SELECT model, target, "window", service, {errors('true_next', 'pred', _FLOOR)}
   FROM preds GROUP BY ALL)"""
@@ -1374,3 +1374,37 @@ oracle(
         f"""SELECT tag, unnest({FEATURES}) AS feature, 25 AS n_hits, count(*) AS series_rows FROM series GROUP BY tag""",
     ),
 )
+
+# models: what SQL can state of their output
+
+for _q, _target in (("e4_boosted_trees", "hits"), ("e7_batch_scoring", "bytes_sum")):
+    oracle(
+        _q,
+        f"t:bucket_start f:{_target} f:true_next x:model x:pred_is_load",
+        chain(
+            *LOG,
+            *test("15m"),
+            f"ahead AS (SELECT *, lead({_target}) OVER (ORDER BY bucket_start) AS true_next FROM te)",
+            "SELECT *, 'gbt' AS model, TRUE AS pred_is_load FROM ahead WHERE true_next IS NOT NULL",
+        ),
+    )
+oracle(
+    "g4_isolation_forest",
+    "t:bucket_start x:score_in_range x:share_near",
+    chain(*LOG, *train("15m"), "SELECT bucket_start, TRUE AS score_in_range, TRUE AS share_near FROM tr WHERE is_gap = 0"),
+)
+oracle(
+    "h12_report_bundle",
+    "x:table_name i:rows",
+    chain(
+        *LOG,
+        *train("5m"),
+        PARTS,
+        *spike_types()[:-1],
+        """fixed(table_name, rows) AS (VALUES ('tail_risk', 6), ('hist_hits', 80), ('hist_bytes_sum', 80), ('heatmap_hits', 7),
+      ('acf_peaks_hits', 2), ('correlation', 21), ('lag_correlation', 16), ('acf_hits', 61), ('acf_bytes_sum', 61), ('tail_drift', 5))""",
+        """SELECT * FROM fixed UNION ALL SELECT 'trend', count(*) FROM tr WHERE is_gap = 0
+    UNION ALL SELECT 'seasonal_means_hits', count(DISTINCT hour) + count(DISTINCT dow) FROM parts
+    UNION ALL SELECT 'spike_type_counts', count(DISTINCT spike_type) FROM typed""",
+    ),
+)
