@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from loadtide.llm.words import as_bytes
+from loadtide.llm.words import as_bytes, pieces
 
 END = "</w>"
-MEMORY = 200_000  # chunks remembered per task, then forgotten together
-FLAT = 1 << 20  # symbols merged at a time, but for a longer word
+MEMORY = 100_000  # chunks remembered per task, then forgotten together
+FLAT = 1 << 18  # symbols merged at a time, but for a longer word
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer doesn't
 
 
@@ -76,9 +76,9 @@ class Tables:
         self.ranks = order.astype(np.int64)
         self.products = np.array([vocab[a + b] for a, b in pairs], np.int64)[order]
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word (not empty)."""
-        out: list[np.ndarray] = []
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each word (not empty), as 32-bit numbers."""
+        out: list[bytes] = []
         lo = 0
         while lo < len(words):
             hi, size = lo, 0
@@ -89,7 +89,7 @@ class Tables:
             lo = hi
         return out
 
-    def _merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def _merge(self, words: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(words), np.uint8)
         lengths = np.array([len(w) for w in words])
         sym = self.inner[data]
@@ -98,7 +98,7 @@ class Tables:
         word = np.repeat(np.arange(len(words)), lengths)
         known = sym >= 0  # bytes outside the vocabulary have no token
         sym, word = sym[known], word[known]
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
+        out = [b""] * len(words)
         none = len(self.keys)
         n = len(self.tokens)
         while len(sym):
@@ -110,10 +110,12 @@ class Tables:
             count = np.diff(np.concatenate((first, [len(sym)])))
             low = np.repeat(np.minimum.reduceat(rank, first), count)
             done = low == none
-            if done.any():
-                for f, c in zip(first, count):
-                    if done[f]:
-                        out[word[f]] = sym[f : f + c].astype(np.int32)
+            over = done[first]
+            if over.any():
+                raw = sym.astype(np.int32).tobytes()
+                start = first[over]
+                for w, a, b in zip(word[start].tolist(), (4 * start).tolist(), (4 * (start + count[over])).tolist()):
+                    out[w] = raw[a:b]
             hit = np.flatnonzero((rank == low) & ~done)
             # of adjacent places (a symbol paired with itself) every second one, from the left
             new_run = np.concatenate(([True], np.diff(hit) != 1)) if len(hit) else np.empty(0, bool)
@@ -166,7 +168,7 @@ class Encoder:
         if new:
             parts = {c: self._cut(c) for c in new}
             words = list({w for ws in parts.values() for w in ws})
-            ids = dict(zip(words, (i.tobytes() for i in self.tables.merge(words))))
+            ids = dict(zip(words, self.tables.merge(words)))
             for c, ws in parts.items():
                 self.seen[c] = b"".join([ids[w] for w in ws])
         flat = [b"".join(map(self.seen.__getitem__, chunks)) for chunks in cut]
@@ -187,10 +189,12 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value)
         for batch in batches:
-            texts = [t.decode() for t in as_bytes(batch.column(len(keep)))]
-            flat, offsets = encoder.encode(texts)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], names=[*keep, "ids"])
+            texts = as_bytes(batch.column(len(keep)))
+            for lo, hi in pieces(texts):  # chunks of a quarter of a megabyte, or one longer text
+                flat, offsets = encoder.encode([t.decode() for t in texts[lo:hi]])
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                own = [c.slice(lo, hi - lo) for c in batch.columns[: len(keep)]]
+                yield pa.RecordBatch.from_arrays([*own, ids], names=[*keep, "ids"])
 
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("_text"))
     fields = picked.schema.fields[: len(keep)]

@@ -49,7 +49,7 @@ def features(texts: list[bytes]):
     for lo, hi in pieces(texts):
         data = np.frombuffer(b" ".join(texts[lo:hi]), np.uint8)
         if not len(data):
-            yield from (np.empty(0, np.int64) for _ in range(hi - lo))
+            yield from (np.empty(0, np.int32) for _ in range(hi - lo))
             continue
         inside = np.concatenate(([False], _LETTER[data], [False]))
         edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -65,10 +65,10 @@ def features(texts: list[bytes]):
             end = at + len(t)
             last = np.searchsorted(starts, end)
             if last == first:
-                yield np.empty(0, np.int64)
+                yield np.empty(0, np.int32)
             else:
                 parts = [whole[first:last], *(s[first:last] for s in stems), mix(_stats(data[at:end], whole[first:last]))]
-                yield np.unique(np.concatenate(parts) % np.uint64(SLOTS)).astype(np.int64)
+                yield np.unique(np.concatenate(parts) % np.uint64(SLOTS)).astype(np.int32)
             first, at = last, end + 1
 
 
@@ -96,14 +96,14 @@ def fit_rows(slots: list[np.ndarray], grades: np.ndarray, levels: int, least: in
     weights = np.zeros(SLOTS)
     if n == 0 or len(np.unique(grades)) < 2:
         return OrdinalModel(weights, cuts)
-    row = np.repeat(np.arange(n), [len(s) for s in slots])
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in slots])
     col = np.concatenate(slots)
     df = np.bincount(col, minlength=SLOTS)
     # screening: only slots whose rows differ in mean grade by more than chance explains
     centred = grades - grades.mean()
     z = np.bincount(col, centred[row], minlength=SLOTS) / np.sqrt(np.maximum(df, 1) * max(centred.var(), 1e-12))
     keep = (df[col] >= least) & (np.abs(z[col]) >= SCREEN)
-    row, col = row[keep], col[keep]
+    row, col = row[keep].astype(np.int64), col[keep].astype(np.int64)
     used, col = np.unique(col, return_inverse=True)
     size = len(used) + levels - 1
     w = np.zeros(size)
@@ -160,10 +160,12 @@ def fit(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(key, pa.binary())], names=["_id", "grade", "slots"])
 
     def train(table: pa.Table) -> pa.Table:
-        pdf = table.to_pandas().sort_values(["_id", "grade", "slots"], kind="stable").drop_duplicates()
-        pdf = pdf.head(max_rows)
-        x = [np.frombuffer(s, np.int64) for s in pdf["slots"]]
-        model = fit_rows(x, pdf["grade"].to_numpy(np.int64), levels, least, l2, rounds)
+        ids, grades = table.column("_id").to_numpy(), table.column("grade").to_numpy().astype(np.int64)
+        texts = table.column("slots").to_pylist()
+        # repeated rows count once, and the order doesn't depend on the partitions
+        own = sorted({(i, g, t) for i, g, t in zip(ids.tolist(), grades.tolist(), texts)})[:max_rows]
+        x = [np.frombuffer(t, np.int32) for _, _, t in own]
+        model = fit_rows(x, np.array([g for _, g, _ in own], np.int64), levels, least, l2, rounds)
         return pa.table({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tolist()]})
 
     # one task on a sample of bounded size

@@ -1,7 +1,7 @@
 """Hashes of words and word shingles for whole Arrow batches of texts.
 
 Words are runs of bytes other than the six ASCII white-space bytes, with A-Z lower-cased.
-A batch is handled in pieces of about a megabyte, so memory follows the longest text and
+A batch is handled in pieces of a quarter of a megabyte, so memory follows the longest text and
 not the batch. Texts are never cut.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 SHINGLE = 5
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that powers can be undone modulo 2**64
