@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,6 +31,28 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_made: list[str] = []
+_local: list[str] = []
+
+
+def _local_root() -> str:
+    """One folder per process for local sessions, removed when the process ends."""
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="run-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage folders that this process has made; their number. Tables read from them are gone."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    dropped = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -40,13 +64,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        root = _local_root()
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
+    ``drop_stages`` deletes such folders when a run has ended.
     Several consumers then scan a table instead of recomputing the plan, and a lost
     executor costs a re-read rather than a re-run of the lineage.
     """

@@ -53,6 +53,16 @@ def test_eda_tables(study):
     assert sizes["tail_drift"] == 5 and sizes["correlation"] == 21 and sizes["anomalies"] >= 1
 
 
+def test_stages_can_be_dropped(spark, monkeypatch):
+    from loadtide import session
+
+    monkeypatch.setattr(session, "_made", [])
+    kept = session.materialize(spark.range(5), "x")
+    path = session._made[0]
+    assert kept.count() == 5 and session.drop_stages(spark) == 1
+    assert not spark._jvm.java.io.File(path).exists() and session._made == []
+
+
 def test_shared_dir_follows_the_session(spark, tmp_path):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
