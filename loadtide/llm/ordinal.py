@@ -19,7 +19,9 @@ from loadtide.llm.words import _BASE, _BYTE, _LOWER, _power, as_bytes, mix, piec
 SLOTS = 1 << 18
 BINS = 24
 STEMS = (4, 5)
-SCREEN = 6.0  # standard errors
+SCREEN = 1.0  # times the largest score statistic, in standard errors, that chance alone lets expect
+GROUP = 64
+STEP_ROUNDS = 100
 
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -32,7 +34,7 @@ _KINDS[[9, 10, 11, 12, 13, 32]] = 5
 
 
 def _stats(data: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Slots of the text's statistics, each cut into bins."""
+    """Slots of the text's statistics, each cut into bins: one for every bin up to the text's own."""
     kinds = np.bincount(_KINDS[data], minlength=6) / len(data)
     letters = max(kinds[1] + kinds[2], 1e-9)
     shares = [
@@ -40,7 +42,8 @@ def _stats(data: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         min(1.0, np.log1p(len(tokens)) / 12), len(np.unique(tokens)) / len(tokens),
         min(1.0, len(data) / len(tokens) / 24),
     ]
-    return np.array([((k << 8) | int(min(s, 0.9999) * BINS)) for k, s in enumerate(shares)], np.uint64) + np.uint64(1 << 40)
+    upto = [np.arange(int(min(s, 0.9999) * BINS) + 1, dtype=np.uint64) + np.uint64(k << 8) for k, s in enumerate(shares)]
+    return np.concatenate(upto) + np.uint64(1 << 40)
 
 
 def features(texts: list[bytes]):
@@ -86,8 +89,53 @@ def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _ascend(row, col, grades, levels: int, w: np.ndarray, used: int, l2: float, rounds: int) -> np.ndarray:
+    """Full-batch Adam from ``w``: the weights of ``used`` columns, the first threshold, logs of the gaps between thresholds."""
+    n = len(grades)
+    w = w.copy()
+    m, v = np.zeros(len(w)), np.zeros(len(w))
+    for t in range(1, rounds + 1):
+        s = np.bincount(row, w[col], minlength=n)
+        gaps = np.exp(w[used + 1 :])
+        theta = _edges(w[used:])
+        a, b = _sigmoid(s - theta[grades]), _sigmoid(s - theta[grades + 1])
+        p = np.maximum(a - b, 1e-12)
+        ds = -(1 - a - b) / n
+        g = np.empty(len(w))
+        g[:used] = np.bincount(col, ds[row], minlength=used) + l2 * w[:used]
+        at = np.bincount(grades, a * (1 - a) / p / n, minlength=levels)[1:]
+        at -= np.bincount(grades, b * (1 - b) / p / n, minlength=levels)[:-1]
+        g[used] = at.sum()
+        g[used + 1 :] = np.cumsum(at[::-1])[::-1][1:] * gaps
+        m = 0.9 * m + 0.1 * g
+        v = 0.999 * v + 0.001 * g * g
+        w -= 0.1 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+    return w
+
+
+def _edges(cuts: np.ndarray) -> np.ndarray:
+    """Thresholds between minus and plus infinity from the first one and the logs of the gaps."""
+    return np.concatenate(([-np.inf], cuts[0] + np.concatenate(([0.0], np.cumsum(np.exp(cuts[1:])))), [np.inf]))
+
+
+def _score_statistic(row, col, grades, scores, theta, columns: int) -> np.ndarray:
+    """Of each column the standard errors by which the likelihood's slope at weight 0 differs from 0, given ``scores``."""
+    up = _sigmoid(scores[:, None] - theta[None])
+    chance, slope = np.maximum(up[:, :-1] - up[:, 1:], 0), 1 - up[:, :-1] - up[:, 1:]
+    spread = (chance * slope * slope).sum(axis=1)
+    own = slope[np.arange(len(grades)), grades]
+    total = np.bincount(col, own[row], minlength=columns)
+    return np.abs(total) / np.sqrt(np.maximum(np.bincount(col, spread[row], minlength=columns), 0.1))
+
+
 def fit_rows(slots: list[np.ndarray], grades: np.ndarray, levels: int, least: int, l2: float, rounds: int) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty by full-batch Adam; slots of under ``least`` rows weigh nothing."""
+    """Maximum likelihood with an L2 penalty by full-batch Adam, on slots taken step by step.
+
+    A step takes the slots of ``least`` rows or more that the model so far explains worst: those within half of the
+    largest score statistic, ``GROUP`` at most, and trains again. It ends when none is above what the largest
+    of as many statistics reaches by chance, sqrt(2 log slots). The bar thus follows the number of
+    slots in the labelled rows, and once poor rows are explained, a slot of the middle grade stands out from the good ones.
+    """
     n = len(slots)
     above = np.array([(grades >= k).sum() for k in range(1, levels)], float)
     share = (above + 0.5) / (n + 1)
@@ -98,36 +146,34 @@ def fit_rows(slots: list[np.ndarray], grades: np.ndarray, levels: int, least: in
         return OrdinalModel(weights, cuts)
     row = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in slots])
     col = np.concatenate(slots)
-    df = np.bincount(col, minlength=SLOTS)
-    # screening: only slots whose rows differ in mean grade by more than chance explains
-    centred = grades - grades.mean()
-    z = np.bincount(col, centred[row], minlength=SLOTS) / np.sqrt(np.maximum(df, 1) * max(centred.var(), 1e-12))
-    keep = (df[col] >= least) & (np.abs(z[col]) >= SCREEN)
+    keep = np.bincount(col, minlength=SLOTS)[col] >= least
     row, col = row[keep].astype(np.int64), col[keep].astype(np.int64)
-    used, col = np.unique(col, return_inverse=True)
-    size = len(used) + levels - 1
-    w = np.zeros(size)
-    w[len(used)] = cuts[0]
-    w[len(used) + 1 :] = np.log(np.maximum(np.diff(cuts), 1e-3))
-    m, v = np.zeros(size), np.zeros(size)
-    for t in range(1, rounds + 1):
-        s = np.bincount(row, w[col], minlength=n)
-        gaps = np.exp(w[len(used) + 1 :])
-        theta = np.concatenate(([-np.inf], w[len(used)] + np.concatenate(([0.0], np.cumsum(gaps))), [np.inf]))
-        a, b = _sigmoid(s - theta[grades]), _sigmoid(s - theta[grades + 1])
-        p = np.maximum(a - b, 1e-12)
-        ds = -(1 - a - b) / n
-        g = np.empty(size)
-        g[: len(used)] = np.bincount(col, ds[row], minlength=len(used)) + l2 * w[: len(used)]
-        at = np.bincount(grades, a * (1 - a) / p / n, minlength=levels)[1:]
-        at -= np.bincount(grades, b * (1 - b) / p / n, minlength=levels)[:-1]
-        g[len(used)] = at.sum()
-        g[len(used) + 1 :] = np.cumsum(at[::-1])[::-1][1:] * gaps
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        w -= 0.1 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    weights[used] = w[: len(used)]
-    return OrdinalModel(weights, w[len(used)] + np.concatenate(([0.0], np.cumsum(np.exp(w[len(used) + 1 :])))))
+    slot, col = np.unique(col, return_inverse=True)
+    bar = SCREEN * np.sqrt(2 * np.log(max(len(slot), 2)))
+    value = np.zeros(len(slot))
+    place = np.full(len(slot), -1)
+    tail = np.concatenate((cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))))
+
+    def train(rounds: int) -> None:
+        nonlocal tail
+        used = np.flatnonzero(place >= 0)
+        place[used] = np.arange(len(used))
+        inside = place[col] >= 0
+        w = _ascend(row[inside], place[col[inside]], grades, levels, np.concatenate((value[used], tail)), len(used), l2, rounds)
+        value[used], tail = w[: len(used)], w[len(used) :]
+
+    while (place < 0).any():
+        z = _score_statistic(row, col, grades, np.bincount(row, value[col], minlength=n), _edges(tail), len(slot))
+        z[place >= 0] = -1
+        best = np.argsort(-z, kind="stable")[:GROUP]
+        best = best[(z[best] >= bar) & (z[best] >= z[best[0]] / 2) & (z[best] >= 0)]
+        if not len(best):
+            break
+        place[best] = 0
+        train(STEP_ROUNDS)
+    train(rounds)
+    weights[slot] = value
+    return OrdinalModel(weights, _edges(tail)[1:-1])
 
 
 def fit(

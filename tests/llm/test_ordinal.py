@@ -79,3 +79,50 @@ def test_defined_cases(spark):
 def test_features_see_case_and_words():
     a, b, c, d = O.features([b"Some words here", b"some WORDS here", b"", b"caf\xc3\xa9 \xff"])
     assert not len(c) and len(d) and set(a) != set(b) and len(set(a) & set(b)) >= 9
+
+
+def _graded(rng, counts):
+    """Texts of graded rows, all of like statistics: poor ones hold marks, those of grade 1 hold four of ten words."""
+    vocab = [f"w{k}" for k in range(100, 500)]
+    cues = [f"{chr(97 + k)}777" for k in range(10)]
+    texts, grades = [], []
+    for g, c in enumerate(counts):
+        for _ in range(c):
+            own = [vocab[k] for k in rng.permutation(400)[:60]]
+            if g == 1:
+                own[:4] = [cues[k] for k in rng.permutation(10)[:4]]
+            rng.shuffle(own)
+            texts.append((" *** " if g == 0 else " ").join(own).encode())
+            grades.append(g)
+    return list(O.features(texts)), np.array(grades)
+
+
+def test_few_labels_and_a_middle_grade_between_equal_sides():
+    rng = np.random.default_rng(3)
+
+    def accepted(train, test):
+        model = O.fit_rows(*train, 3, 8, 1e-5, 400)
+        s = np.array([model.weights[f].sum() for f in test[0]])
+        return [np.mean(s[test[1] == g] >= model.thresholds[1]) for g in range(3)]
+
+    test = _graded(rng, (100, 100, 100))
+    for counts in ((300, 100, 300), (900, 200, 900)):
+        poor, toxic, good = accepted(_graded(rng, counts), test)
+        assert poor < 0.05 and toxic < 0.1 and good > 0.95, counts
+    poor, _, good = accepted(_graded(rng, (12, 8, 60)), test)
+    assert poor < 0.5 and good > 0.9
+
+
+def test_held_out_middle_grade():
+    """As test_held_out_accuracy, without Spark and with narrower bounds."""
+    import pyarrow.parquet as pq
+
+    d = "/root/testdata/sf0.1"
+    docs = dict(zip(*pq.read_table(f"{d}/documents.parquet", columns=["doc_id", "text"]).to_pydict().values()))
+    labels = pq.read_table(f"{d}/labels.parquet", columns=["doc_id", "quality", "toxic"]).to_pylist()
+    rows = [(r["doc_id"], 0 if r["quality"] == 0 else 1 if r["toxic"] == 1 else 2) for r in labels if r["quality"] is not None]
+    slots = dict(zip([i for i, _ in rows], O.features([(docs[i] or "").encode() for i, _ in rows])))
+    even, odd = ([r for r in rows if r[0] % 2 == k] for k in (0, 1))
+    model = O.fit_rows([slots[i] for i, _ in even], np.array([g for _, g in even]), 3, 8, 1e-5, 400)
+    share = [np.mean([model.weights[slots[i]].sum() >= model.thresholds[1] for i, g in odd if g == k]) for k in range(3)]
+    assert share[2] > 0.99 and share[0] < 0.1 and share[1] < 0.3, share
