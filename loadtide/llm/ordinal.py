@@ -189,12 +189,13 @@ def fit(
 ) -> OrdinalModel:
     """Fit on at most ``max_rows`` rows of ``graded`` (``id_col``, grade from 0 to ``levels`` - 1).
 
-    The rows are those with the lowest hash of their id, so the sample is the same in every run. Rows
+    The rows are those with the lowest hash of their id, so the sample is the same in every run. Repeated
+    labels and repeated documents count once, before the limit. Rows
     with a null id, a null grade or no document are left out. Without two grades among them the
     weights are zero and the thresholds follow the grades' shares.
     """
     rows = graded.select(F.col(id_col).cast("long").alias("_id"), F.col("grade").cast("int").alias("grade"))
-    rows = rows.where("_id is not null and grade is not null")
+    rows = rows.where("_id is not null and grade is not null").distinct()
     rows = rows.orderBy(F.xxhash64("_id"), "_id", "grade").limit(max_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     labelled = texts.join(F.broadcast(rows), "_id")  # at most max_rows rows of two numbers
@@ -208,15 +209,16 @@ def fit(
     def train(table: pa.Table) -> pa.Table:
         ids, grades = table.column("_id").to_numpy(), table.column("grade").to_numpy().astype(np.int64)
         texts = table.column("slots").to_pylist()
-        # repeated rows count once, and the order doesn't depend on the partitions
-        own = sorted({(i, g, t) for i, g, t in zip(ids.tolist(), grades.tolist(), texts)})[:max_rows]
+        # the order doesn't depend on the partitions
+        own = sorted(zip(ids.tolist(), grades.tolist(), texts))
         x = [np.frombuffer(t, np.int32) for _, _, t in own]
         model = fit_rows(x, np.array([g for _, g, _ in own], np.int64), levels, least, l2, rounds)
         return pa.table({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tolist()]})
 
-    # one task on a sample of bounded size
-    found = labelled.mapInArrow(slots, "_id long, grade int, slots binary").groupBy(F.lit(0).alias("all"))
-    row = found.applyInArrow(train, "weights binary, thresholds array<double>").collect()
+    # copies of a labelled document go before the limit, so the one task gets max_rows rows at most
+    found = labelled.mapInArrow(slots, "_id long, grade int, slots binary").distinct()
+    found = found.orderBy(F.xxhash64("_id"), "_id", "grade", "slots").limit(max_rows)
+    row = found.groupBy(F.lit(0).alias("all")).applyInArrow(train, "weights binary, thresholds array<double>").collect()
     if not row:
         return fit_rows([], np.empty(0, np.int64), levels, least, l2, rounds)
     return OrdinalModel(np.frombuffer(row[0]["weights"], np.float64), np.array(row[0]["thresholds"]))

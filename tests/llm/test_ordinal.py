@@ -126,3 +126,11 @@ def test_held_out_middle_grade():
     model = O.fit_rows([slots[i] for i, _ in even], np.array([g for _, g in even]), 3, 8, 1e-5, 400)
     share = [np.mean([model.weights[slots[i]].sum() >= model.thresholds[1] for i, g in odd if g == k]) for k in range(3)]
     assert share[2] > 0.99 and share[0] < 0.1 and share[1] < 0.3, share
+
+
+def test_repeated_labels_and_documents_count_once(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of some") for i in range(20)], "doc_id long, text string")
+    rows = [(i, 0 if i < 5 else 1 if i < 9 else 2) for i in range(20)]
+    once = O.fit(docs, spark.createDataFrame(rows, "doc_id long, grade int"), 3, max_rows=20)
+    again = O.fit(docs.union(docs), spark.createDataFrame(rows * 10, "doc_id long, grade int"), 3, max_rows=20)
+    assert np.array_equal(once.thresholds, again.thresholds) and np.array_equal(once.weights, again.weights)
