@@ -6,6 +6,9 @@ falls into the cumulated targets and so names a source; the slot's rank among th
 names the block of the source's line that it takes. Any stretch of slots holds the sources close to
 their weights, and each source is read from the start of its line without gaps.
 
+The number of slots is bounded, so blocks grow with the corpus. A source whose target is under ``LEAST`` blocks could fall
+between the points; it takes no points but has ``LEAST`` smaller blocks of its own, spread evenly over the slots.
+
 All of it is DataFrame code. Places on a line are prefix sums over hash buckets, so a source with a third of all
 documents is no single window; documents meet slots by (source, block), which no source can fill.
 """
@@ -21,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 EPOCHS = 3
 SLOTS = 1 << 16
+LEAST = 32
 CELLS = 1024
 BUCKET_DIGITS = 3  # hex digits: 4096 stretches of each source's hashed order
 GOLDEN = 2654435769  # 2**32 / golden ratio, so points are exact whole numbers
@@ -32,13 +36,14 @@ def words(text: Column) -> Column:
 
 
 def source_table(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, slots: int = SLOTS) -> DataFrame:
-    """(src, source, source_size, target, lo, hi, total, block_words): one row per source of ``sized`` (source, size).
+    """(src, source, source_size, target, lo, hi, total, block_words, places): one row per source of ``sized`` (source, size).
 
     Sources by code point, null last, weigh ``weights``, repeating. Targets share the total size by weight;
     a target stops at ``epochs`` times its source, and what it leaves is shared again. Sorted by that
     limit over the weight, the sources that stop come first, so one pass of running sums is enough.
     ``lo`` to ``hi`` is the source's stretch of the cumulated targets, in whole words; ``block_words`` makes
-    at most ``slots`` blocks of their ``total``. The windows run over one row per source.
+    at most ``slots`` blocks of their ``total``, and ``places`` is their number. A source of fewer than ``LEAST`` such blocks has
+    no stretch and makes about ``LEAST`` blocks of its own target. The windows run over one row per source.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_limit = Window.orderBy(F.col("cap") / F.col("w"), "src")
@@ -56,10 +61,15 @@ def source_table(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCH
     first = F.min(F.when(~F.col("stops"), F.struct("rank", "level"))).over(everything)["level"]
     target = F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(first * F.col("w"))
     out = out.select("src", "source", "source_size", target.alias("target"))
-    own = F.round("target").cast("long")
-    hi = F.sum(own).over(Window.orderBy("src"))
-    out = out.withColumns({"hi": hi, "lo": hi - own, "total": F.sum(own).over(everything)})
-    return out.withColumn("block_words", F.greatest(F.ceil(F.col("total") / slots), F.lit(1)).cast("long"))
+    out = out.withColumn("_own", F.round("target").cast("long"))
+    out = out.withColumn("_block", F.greatest(F.ceil(F.sum("_own").over(everything) / slots), F.lit(1)).cast("long"))
+    rare = F.col("_own") < F.col("_block") * LEAST
+    out = out.withColumn("_wide", F.when(rare, 0).otherwise(F.col("_own")))
+    hi = F.sum("_wide").over(Window.orderBy("src"))
+    out = out.withColumns({"hi": hi, "lo": hi - F.col("_wide"), "total": F.sum("_wide").over(everything)})
+    block = F.when(rare, F.greatest(F.ceil(F.col("_own") / LEAST), F.lit(1)).cast("long")).otherwise(F.col("_block"))
+    places = F.greatest(F.ceil(F.col("total") / F.col("_block")), F.lit(1)).cast("long")
+    return out.withColumns({"block_words": block, "places": places}).drop("_own", "_block", "_wide")
 
 
 def _key(doc_id: Column, seed: str) -> Column:
@@ -73,6 +83,7 @@ def bucket(doc_id: Column, seed: str = "mix") -> Column:
 
 def lines(sized: DataFrame, sources: DataFrame, seed: str = "mix") -> DataFrame:
     """``sized`` (row, doc_id, source, size) with its source's columns and ``start``, its first word's place on the line."""
+    sources = sources.drop("places")
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     known = known.withColumn("_key", _key(F.col("doc_id"), seed)).withColumn("_bucket", bucket(F.col("doc_id"), seed))
     known = materialize(known, "mix-keys")
@@ -86,7 +97,7 @@ def lines(sized: DataFrame, sources: DataFrame, seed: str = "mix") -> DataFrame:
 
 
 def schedule(sources: DataFrame) -> DataFrame:
-    """(slot, src, block): what each slot takes."""
+    """(slot, src, block): what each slot takes; blocks of sources without a stretch lie beside the slot's own."""
     cell = lambda c: F.least(F.floor(c / F.col("total") * CELLS), F.lit(CELLS - 1)).cast("int")
     bounds = sources.where("hi > lo").select("src", "lo", "hi", "total", "block_words")
     held = bounds.select("src", "lo", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))).alias("cell"))
@@ -97,7 +108,12 @@ def schedule(sources: DataFrame) -> DataFrame:
     points = points.withColumn("at", F.floor(point * F.col("total")))
     hit = points.select("slot", "at", cell(F.col("at")).alias("cell")).join(held, "cell").where("at >= lo and at < hi")
     rank = F.row_number().over(Window.partitionBy("src").orderBy("slot")) - 1  # at most the number of slots
-    return hit.select("slot", "src", rank.cast("long").alias("block"))
+    own = F.round("target").cast("long")
+    rare = sources.where((F.col("hi") == F.col("lo")) & (own > 0))
+    rare = rare.withColumn("n", F.ceil(own / F.col("block_words")).cast("long"))
+    rare = rare.select("src", "n", "places", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block"))
+    slot = F.floor((F.col("block") * 2 + 1) * F.col("places") / (F.col("n") * 2)).cast("long")
+    return hit.select("slot", "src", rank.cast("long").alias("block")).union(rare.select(slot.alias("slot"), "src", "block"))
 
 
 def placements(line: DataFrame, slots: DataFrame, epochs: int = EPOCHS) -> DataFrame:

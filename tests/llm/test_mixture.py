@@ -99,3 +99,20 @@ def test_defined_cases(spark):
     assert M.taken(df.limit(0)).count() == 0
     empty = M.taken(df.where("doc_id in (1, 2)")).collect()
     assert len(empty) == 3 and all(r.taken == 0 and r.target == 0 for r in empty)
+
+
+def test_rare_sources_of_a_large_corpus(spark):
+    """Blocks of some 76,000 words, and sources of which each holds less than a block or a few."""
+    own = {"big": [5_000_000] * 1000, "c": [100] * 5, "d": [100] * 100, "e": [250] * 100, "f": [500] * 100, "one": [1], "z": [4000] * 150}
+    rows = [(s, n) for s, sizes in own.items() for n in sizes]
+    df = spark.createDataFrame([(i, i, s, n) for i, (s, n) in enumerate(rows)], "row long, doc_id long, source string, size long")
+    line, placed = M.mix(df)
+    took = defaultdict(int)
+    parts = defaultdict(set)
+    for r in placed.groupBy("row").agg({"from_word": "sum", "to_word": "sum"}).collect():
+        took[rows[r["row"]][0]] += r["sum(to_word)"] - r["sum(from_word)"]
+    for s, t in targets({s: sum(n) for s, n in own.items()}).items():
+        assert abs(took[s] - t) <= t / 10, (s, took[s], t)
+    for r in placed.where("row >= 1000").select("row", "slot").collect():
+        parts[rows[r["row"]][0]].add(r["slot"])
+    assert all(max(parts[s]) - min(parts[s]) > 50_000 for s in "cdefz")
