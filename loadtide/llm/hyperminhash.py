@@ -14,9 +14,11 @@ How groups of any size stay cheap and whole:
   The commonest component of a group is not compared with itself, tasks return links of a spanning
   forest, never pairs, and no group is capped.
 
-Candidates: two documents of similarity t or more differ in at most d = 2 n (1 - t) / (1 + t)
-shingles. Below 128 shingles more than d bands are used, so at least one band is equal for certain;
-from 128 on there are 32 bands of four registers, which miss a pair at t = 0.8 with a chance below
+Candidates: two documents of up to 31 shingles and of similarity t or more share at least two of
+their n - ceil(t n) + 2 smallest hashes; every two of these are a key, so no such pair is missed. Two documents
+differ in at most d = 2 n (1 - t) / (1 + t) shingles. Below 128 shingles more than d bands are used, so at least
+one band is equal for certain; the pair is only missed if all such bands are empty, with an estimated chance of
+1e-7 at t = 0.8. From 128 on there are 32 bands of four registers, which miss a pair at t = 0.8 with a chance below
 1e-7. Shingles are compared by 64-bit hashes.
 """
 
@@ -38,6 +40,7 @@ REGISTERS = 128
 BITS = 7
 MANTISSA = 10
 BANDS = 32
+SHORT = 31
 BLOCK = 512
 SIGMAS = 6.0
 
@@ -83,10 +86,11 @@ def _size_class(n: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray, n: np.ndarray, threshold: float) -> list[np.ndarray]:
-    """Keys of each text's bands that aren't empty, for its size class and the next if in reach."""
+    """Keys of each text's bands that aren't empty, for its size class and the next if in reach; none for classes up to ``SHORT``."""
     own, reach = _size_class(n), _size_class(np.floor(n / threshold + 1e-9))
     found: list[list[np.ndarray]] = [[] for _ in n]
-    for size in np.unique(np.concatenate((own, reach))):
+    classes = np.unique(np.concatenate((own, reach)))
+    for size in classes[(classes == 0) | (classes > SHORT + 1)]:
         at = np.flatnonzero(((own == size) | (reach == size)) & (n > 0))
         bands = band_count(int(size) - 1 if size else REGISTERS, threshold)
         cut = regs[at].reshape(len(at), bands, REGISTERS // bands)
@@ -100,6 +104,23 @@ def band_keys(regs: np.ndarray, n: np.ndarray, threshold: float) -> list[np.ndar
     return [np.concatenate(f) if f else np.empty(0, np.uint64) for f in found]
 
 
+def short_keys(sets: list[np.ndarray], threshold: float) -> list[np.ndarray]:
+    """Keys of each text of up to ``SHORT`` shingles: every two of its smallest hashes, as many as must hold two common ones.
+
+    Of o common hashes the second smallest has o - 2 common ones after it, and o is at least t n. Texts of one shingle have no near one.
+    """
+    found = []
+    for h in sets:
+        n = len(h)
+        if not 1 < n <= SHORT:
+            found.append(np.empty(0, np.uint64))
+            continue
+        first = h[: min(n, n - int(np.ceil(threshold * n - 1e-9)) + 2)]
+        i, j = np.triu_indices(len(first), 1)
+        found.append(mix(mix(first[i]) * np.uint64(0x9E3779B97F4A7C15) + first[j]))
+    return found
+
+
 def digests(sets: list[np.ndarray]) -> np.ndarray:
     """(texts, 2) sums of two independent spreads of the hashes: 128 bits that name a set."""
     out = np.zeros((len(sets), 2), np.int64)
@@ -146,7 +167,8 @@ def sign(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataF
             sets = list(shingle_sets(as_bytes(batch.column(1))))
             size = np.array([len(h) for h in sets], np.int64)
             regs, digest = registers(sets), digests(sets)
-            keys = [k.astype(np.int64) for k in band_keys(regs, size, threshold)]
+            both = zip(short_keys(sets, threshold), band_keys(regs, size, threshold))
+            keys = [np.concatenate(k).astype(np.int64) for k in both]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -95,3 +95,26 @@ def test_registers_of_extreme_hashes():
     h = np.array([0, 1, (1 << 57) - 1, 1 << 57, (1 << 64) - 1], np.uint64)
     (r,) = H.registers([h])
     assert r[0] and r[1] and r[127] and (r != 0).sum() == 3
+
+
+def test_short_pairs_at_the_threshold(spark):
+    """Texts of some shingles more than another's, just at 0.8: every pair is found."""
+    cases = [(n, more) for n, more in [(4, 1), (8, 2), (12, 3), (16, 4), (20, 5), (24, 6)] for _ in range(2500 if n < 16 else 400)]
+    rows = []
+    for k, (n, more) in enumerate(cases):
+        own = [f"p{k}w{i}" for i in range(n + 4 + more)]
+        rows += [(2 * k, " ".join(own[: n + 4])), (2 * k + 1, " ".join(own))]
+    found = {d: c for d, _, c, _ in result(spark, rows, 0.8)}
+    assert [cases[k] for k in range(len(cases)) if found[2 * k + 1] != 2 * k] == []
+
+
+def test_short_keys_of_all_pairs():
+    rng = np.random.default_rng(2)
+    for percent in (80, 85, 93):
+        for _ in range(4000):
+            n = int(rng.integers(2, H.SHORT + 1))
+            pool = np.unique(rng.integers(0, 1 << 64, n + 8, np.uint64))
+            x, y = (np.sort(rng.permutation(pool[: n + int(rng.integers(0, 3))])[:n]) for _ in range(2))
+            if H._linked(x, y, percent) and not np.array_equal(x, y):
+                a, b = H.short_keys([x, y], percent / 100)
+                assert len(np.intersect1d(a, b))
