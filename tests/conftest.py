@@ -6,11 +6,10 @@ from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -19,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -1,12 +1,11 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import SMALL
 
 from catalog.compare import connect, difference
 from catalog.oracle import ORACLES
 from catalog.spark_queries import QUERIES
-
+from tests.paths import SMALL
 
 
 @pytest.fixture(scope="module")
