@@ -2,8 +2,8 @@ import random
 
 import numpy as np
 import pytest
-from brute import near_duplicates as plain
-from brute import shingles
+from tests.llm.brute import near_duplicates as plain
+from tests.llm.brute import shingles
 
 from loadtide.llm import hyperminhash as H
 from loadtide.llm.words import shingle_sets, word_hashes

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import groups
+from tests.llm.brute import groups
 
 from loadtide.llm import metricjoin as M
 

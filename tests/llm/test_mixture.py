@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from brute import WORD
+from tests.llm.brute import WORD
 
 from loadtide.llm import mixture as M
 

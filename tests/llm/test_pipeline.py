@@ -1,8 +1,8 @@
 from collections import Counter, defaultdict
 
 import pytest
-from brute import WORD
-from brute import near_duplicates as plain
+from tests.llm.brute import WORD
+from tests.llm.brute import near_duplicates as plain
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
