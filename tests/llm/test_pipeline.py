@@ -6,7 +6,7 @@ from tests.llm.brute import near_duplicates as plain
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from test_mixture import targets
+from tests.llm.test_mixture import targets
 
 D = "/root/testdata/sf0.001"
 
