@@ -98,3 +98,91 @@ counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN counts ON vec_id = x
 """
+
+ORACLES["op11_rtree"] = """
+WITH
+kept AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+hard AS (
+  SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM hard WHERE rank <= 10
+"""
+
+ORACLES["op12_decontam"] = r"""
+WITH
+split AS MATERIALIZED (
+  SELECT 0 AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM benchmark),
+words AS MATERIALIZED (
+  SELECT kind, r, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM split),
+windows AS MATERIALIZED (
+  SELECT DISTINCT id AS item_id, least(len(w), 10) AS n,
+    unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') for i in range(1, len(w) - least(len(w), 10) + 2)]) AS s
+  FROM words WHERE kind = 1 AND len(w) > 0),
+grams AS (
+  SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) AS s
+  FROM words, (SELECT DISTINCT n FROM windows) WHERE kind = 0 AND len(w) >= n),
+met AS MATERIALIZED (SELECT r, i, grams.n, item_id FROM grams JOIN windows USING (n, s)),
+hits AS (SELECT r, count(DISTINCT spot) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS spot FROM met) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (r) LEFT JOIN found USING (r) WHERE kind = 0
+"""
+
+
+def _rounds(n: int) -> str:
+    """Assignment and floored means, written out ``n`` times, and the last assignment."""
+    out = []
+    for k in range(n + 1):
+        out.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, part, min(struct_pack(d := p.square + b.square - 2 * list_inner_product(p.v, b.v), e := entry)) AS best
+  FROM parts p JOIN book{k} b USING (part) GROUP BY r, part)""")
+        if k < n:
+            out.append(f"""mean{k} AS (
+  SELECT part, entry, list(m ORDER BY spot) AS v FROM (
+    SELECT part, best.e AS entry, spot, floor(sum(x) / count(*)) AS m
+    FROM (SELECT part, best, unnest(v) AS x, unnest(range(len(v))) AS spot FROM near{k} JOIN parts USING (r, part))
+    GROUP BY part, best.e, spot) GROUP BY part, entry),
+book{k + 1} AS MATERIALIZED (
+  SELECT part, entry, v, list_inner_product(v, v) AS square FROM (
+    SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN mean{k} m USING (part, entry)))""")
+    return ",\n".join(out)
+
+
+ORACLES["op13_walsh"] = f"""
+WITH
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT *, list_inner_product(v, v) AS square
+  FROM (SELECT r, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v FROM kept, (SELECT unnest(range(4)) AS part))),
+book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v, square FROM parts WHERE r <= 256),
+{_rounds(4)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e::INTEGER), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near4 GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY part, entry, spot)) AS s
+  FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS spot FROM book4))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT s FROM books) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import bpe, extract, hashforest, hyperminhash, metricjoin, mixture, ordinal, ring, viterbi, warc
+from loadtide.llm import bpe, decontam, extract, hashforest, hyperminhash, metricjoin, mixture, ordinal, ring, rtree, viterbi, walsh, warc
 from loadtide.session import shared_dir
 
 ROWS_PER_BATCH = "1000"  # whole documents and pages: a few megabytes, where the default makes tens
@@ -75,6 +75,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.pat
     )
 
 
+def op11_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.mine(table.withColumn("label", other), F.col("vec_id") % 100 == 0, positives=5, negatives=10, window=(30, 90))
+
+
+def op12_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op13_walsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = walsh.compress(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    return out.select("vec_id", "code", "error", "label_error", F.lit(walsh.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_metricjoin": op2_metricjoin,
@@ -86,4 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hashforest": op8_hashforest,
     "op9_ordinal": op9_ordinal,
     "op10_bpe": op10_bpe,
+    "op11_rtree": op11_rtree,
+    "op12_decontam": op12_decontam,
+    "op13_walsh": op13_walsh,
 }
