@@ -60,7 +60,9 @@ LINES = r"""lines AS (
          || ' /' || event_type || '/' || regexp_extract(props, '(\d+)', 1) || ' HTTP/1.0' END
     || '" ' || CASE WHEN event_type <> 'error' THEN '200' WHEN value < 30 THEN '500' ELSE '404' END
     || ' ' || CASE WHEN second(ts) IN (7, 52) THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END
-  END AS value FROM events)"""
+  END AS value FROM events
+  WHERE NOT (ts >= TIMESTAMP '2024-01-16 02:00:00' AND ts < TIMESTAMP '2024-01-16 20:00:00')
+    AND NOT (ts >= TIMESTAMP '2024-01-09 14:52:01' AND ts < TIMESTAMP '2024-01-11 04:36:13' AND event_id % 5 <> 0))"""
 _L = quoted(LOG_PATTERN)
 _R = quoted(REQUEST_PATTERN)
 FIELDS = f"""fields AS (
@@ -352,30 +354,35 @@ oracle(
     "x:host i:rows i:missing",
     chain(*HOSTS, "SELECT host, count(*) AS rows, count(*) FILTER (hits IS NULL) AS missing FROM d GROUP BY 1"),
 )
-_BOTH15 = (
-    *train("15m"),
-    *test("15m"),
-    "both_splits AS (SELECT 'train' AS split, bucket_start FROM tr UNION ALL SELECT 'test', bucket_start FROM te)",
-)
+def _by_tag(expr) -> str:
+    return "CASE tag " + " ".join(f"WHEN '{t}' THEN {expr(n)}" for t, n in STEP.items()) + " END"
+
+
 oracle(
     "c7_known_outage",
-    "x:split t:bucket_start i:storm",
+    "x:split x:tag t:bucket_start i:storm",
     chain(
         *LOG,
-        *_BOTH15,
-        f"SELECT *, CASE WHEN {known('bucket_start', 900)} THEN 1 ELSE 0 END AS storm FROM both_splits",
+        *all_series(("1m", "5m", "15m")),
+        f"SELECT *, CASE WHEN {_by_tag(lambda n: known('bucket_start', n))} THEN 1 ELSE 0 END AS storm FROM series",
     ),
 )
+ORDER_OUTAGES = """outages AS (
+  SELECT o_orderkey, CASE WHEN o_custkey % 40 = 0 THEN TIMESTAMP '2024-01-01' ELSE begins END AS a,
+    CASE WHEN o_custkey % 40 = 0 THEN TIMESTAMP '2024-02-01' ELSE begins + to_minutes((o_orderkey % 50) * (o_orderkey % 50)) END AS b
+  FROM (SELECT *, TIMESTAMP '2024-01-01' + to_minutes(o_orderkey * 7919 % 43200) AS begins FROM orders WHERE o_orderstatus = 'P'))"""
 oracle(
     "c7_outage_table",
-    "x:split t:bucket_start x:known",
+    "x:split x:tag t:bucket_start x:known",
     chain(
         *LOG,
-        *_BOTH15,
-        f"""outages AS (SELECT {floor_to('o_orderdate + INTERVAL 8000 DAYS', 900)} AS a,
-      {floor_to('o_orderdate + INTERVAL 8000 DAYS + INTERVAL 2 HOURS', 900)} AS b FROM orders WHERE o_orderstatus = 'P')""",
-        """SELECT s.*, EXISTS (SELECT 1 FROM outages WHERE s.bucket_start >= a AND s.bucket_start < b) AS known
-    FROM both_splits s""",
+        *all_series(("1m", "5m", "15m")),
+        ORDER_OUTAGES,
+        "spans AS ("
+        + " UNION ALL ".join(f"SELECT DISTINCT '{t}' AS tag, {floor_to('a', n)} AS a, {floor_to('b', n)} AS b FROM outages" for t, n in STEP.items())
+        + ")",
+        """SELECT s.split, s.tag, s.bucket_start, EXISTS (SELECT 1 FROM spans o WHERE o.tag = s.tag AND s.bucket_start >= a AND s.bucket_start < b) AS known
+    FROM series s""",
     ),
 )
 oracle(
@@ -620,9 +627,12 @@ oracle(
 )
 oracle(
     "d13_truth_projection",
-    "t:bucket_start f:hits_true f:bytes_sum_true i:is_gap i:segment_id",
+    "x:split x:tag t:bucket_start f:hits_true f:bytes_sum_true i:is_gap i:segment_id",
     chain(
-        *LOG, *test("5m"), segments("seg", "te"), "SELECT *, hits AS hits_true, bytes_sum AS bytes_sum_true FROM seg"
+        *LOG,
+        *all_series(("1m", "5m", "15m")),
+        segments("seg", "series", ("split", "tag")),
+        "SELECT *, hits AS hits_true, bytes_sum AS bytes_sum_true FROM seg",
     ),
 )
 
@@ -758,14 +768,16 @@ def _sweep(tag: str, target: str) -> str:
         *train(tag),
         *test(tag),
         naive("p", STEP[tag], target),
-        f"""SELECT model, target, '{tag}' AS "window", {errors('true_next', 'pred', _FLOOR)} FROM p GROUP BY ALL""",
+        f"""SELECT model, target, '{tag}' AS "window", count(*) AS n, {errors('true_next', 'pred', _FLOOR)},
+      CAST(NULL AS BOOLEAN) AS beats_naive, CAST(NULL AS BOOLEAN) AS learns FROM p GROUP BY model, target
+    UNION ALL SELECT 'gbt', '{target}', '{tag}', count(*), NULL, NULL, NULL, NULL, TRUE, TRUE FROM p""",
     )
     return f"SELECT * FROM ({sql})"
 
 
 oracle(
     "e8_model_sweep",
-    "x:model x:target x:window f:RMSE f:MSE f:MAE f:MAPE",
+    "x:model x:target x:window i:n f:RMSE f:MSE f:MAE f:MAPE x:beats_naive x:learns",
     " UNION ALL ".join(_sweep(tag, t) for tag in STEP for t in ("hits", "bytes_sum")),
 )
 SCORED = f"""scored AS (SELECT model, target, "window", service, {errors('true_next', 'pred', _FLOOR)}
@@ -884,8 +896,13 @@ def mad(source: str, value: str, width: int, k: float, keys: tuple[str, ...] = (
 
 oracle(
     "g1_rolling_mad",
-    "t:timestamp f:hits f:anomaly_score i:is_spike",
-    chain(*LOG, *train("5m"), *mad("tr", "hits", 24, 3), "SELECT *, bucket_start AS timestamp FROM mads"),
+    "x:split x:tag t:timestamp f:hits f:anomaly_score i:is_spike",
+    chain(
+        *LOG,
+        *all_series(("1m", "5m", "15m")),
+        *mad("series", "hits", 24, 3, ("split", "tag")),
+        "SELECT *, bucket_start AS timestamp FROM mads",
+    ),
 )
 oracle(
     "g1_keyed_services",
@@ -908,7 +925,7 @@ oracle(
 )
 
 
-def spike_types(keys: tuple[str, ...] = ()) -> tuple[str, ...]:
+def spike_types(keys: tuple[str, ...] = (), source: str = "tr") -> tuple[str, ...]:
     k = "".join(f"{c}, " for c in keys)
     by = f"GROUP BY {', '.join(keys)}" if keys else ""
     join = f"JOIN lv USING ({', '.join(keys)})" if keys else "CROSS JOIN lv"
@@ -918,7 +935,7 @@ def spike_types(keys: tuple[str, ...] = ()) -> tuple[str, ...]:
     }
     levels = ", ".join(f"quantile_cont({c}, {p}) AS {n}" for n, (c, p) in q.items())
     return (
-        "ok AS (SELECT * FROM tr WHERE is_gap = 0)",
+        f"ok AS (SELECT * FROM {source} WHERE is_gap = 0)",
         f"lv AS (SELECT {k}{levels} FROM ok {by})",
         f"""typed AS (SELECT ok.*, CASE
       WHEN bytes_sum > b99 AND hits <= h75 AND avg_bytes_per_req > r99 THEN 'bandwidth_spike'
@@ -929,7 +946,11 @@ def spike_types(keys: tuple[str, ...] = ()) -> tuple[str, ...]:
     )
 
 
-oracle("g3_spike_types", "x:spike_type i:count", chain(*LOG, *train("5m"), *spike_types()))
+oracle(
+    "g3_spike_types",
+    "x:split x:tag x:spike_type i:count",
+    chain(*LOG, *all_series(("1m", "5m", "15m")), *spike_types(("split", "tag"), "series")),
+)
 oracle(
     "g3_keyed_services",
     "x:service x:spike_type i:count",
@@ -937,12 +958,12 @@ oracle(
 )
 oracle(
     "g5_top_anomalies",
-    "t:timestamp f:bytes_sum f:anomaly_score",
+    "x:split x:tag t:timestamp f:bytes_sum f:anomaly_score",
     chain(
         *LOG,
-        *train("5m"),
-        *mad("tr", "bytes_sum", 24, 3),
-        "SELECT *, bucket_start AS timestamp FROM mads ORDER BY anomaly_score DESC, bucket_start LIMIT 50",
+        *all_series(("1m", "5m", "15m")),
+        *mad("series", "bytes_sum", 24, 3, ("split", "tag")),
+        "SELECT *, bucket_start AS timestamp FROM mads ORDER BY anomaly_score DESC, bucket_start, split, tag LIMIT 50",
     ),
 )
 
@@ -1380,18 +1401,33 @@ oracle(
 for _q, _target in (("e4_boosted_trees", "hits"), ("e7_batch_scoring", "bytes_sum")):
     oracle(
         _q,
-        f"t:bucket_start f:{_target} f:true_next x:model x:pred_is_load",
+        f"t:bucket_start f:{_target} f:true_next x:model x:pred_is_load x:beats_naive x:learns",
         chain(
             *LOG,
             *test("15m"),
             f"ahead AS (SELECT *, lead({_target}) OVER (ORDER BY bucket_start) AS true_next FROM te)",
-            "SELECT *, 'gbt' AS model, TRUE AS pred_is_load FROM ahead WHERE true_next IS NOT NULL",
+            "SELECT *, 'gbt' AS model, TRUE AS pred_is_load, TRUE AS beats_naive, TRUE AS learns FROM ahead WHERE true_next IS NOT NULL",
         ),
     )
 oracle(
     "g4_isolation_forest",
-    "t:bucket_start x:score_in_range x:share_near",
-    chain(*LOG, *train("15m"), "SELECT bucket_start, TRUE AS score_in_range, TRUE AS share_near FROM tr WHERE is_gap = 0"),
+    "t:bucket_start x:score_in_range x:flags_are_top x:score_follows_distance",
+    chain(
+        *LOG,
+        *train("15m"),
+        "SELECT bucket_start, TRUE AS score_in_range, TRUE AS flags_are_top, TRUE AS score_follows_distance FROM tr WHERE is_gap = 0",
+    ),
+)
+oracle(
+    "e4_validation_curves",
+    "x:target x:window i:fold i:round x:error_is_known x:best_is_least x:rounds_help",
+    chain(
+        *LOG,
+        *train_features("15m"),
+        FOLDS,
+        """SELECT 'hits' AS target, '15m' AS "window", fold, unnest(generate_series(1, 20)) AS round, TRUE AS error_is_known,
+      TRUE AS best_is_least, TRUE AS rounds_help FROM (SELECT DISTINCT fold FROM folds)""",
+    ),
 )
 oracle(
     "h12_report_bundle",
@@ -1408,3 +1444,59 @@ oracle(
     UNION ALL SELECT 'spike_type_counts', count(DISTINCT spike_type) FROM typed""",
     ),
 )
+
+# streams with state, sessions and joins by time
+
+oracle("s3_streaming_corrections", TS2_COLS, chain(*LOG, ts2("b", 900), "SELECT * FROM b"))
+oracle(
+    "s4_streaming_unknown_outages",
+    "x:host t:gap_start t:gap_end i:rows x:status",
+    chain(
+        *LOG,
+        ts2("b", 900, ("host",)),
+        """holes AS (SELECT host, bucket_start + INTERVAL 15 MINUTES AS gap_start, lead(bucket_start) OVER (PARTITION BY host ORDER BY bucket_start) AS gap_end FROM b)""",
+        """sized AS (SELECT *, CAST(epoch(gap_end - gap_start) // 900 AS BIGINT) AS rows FROM holes)""",
+        """SELECT *, CASE WHEN gap_end IS NULL THEN 'open' ELSE 'closed' END AS status FROM sized WHERE gap_end IS NULL OR rows >= 48""",
+    ),
+)
+
+
+def sessions_of(key: str, seconds: int) -> tuple[str, ...]:
+    return (
+        f"""turns AS (SELECT *, CASE WHEN datetime - lag(datetime) OVER (PARTITION BY {key} ORDER BY datetime) <= INTERVAL {seconds} SECONDS
+      THEN 0 ELSE 1 END AS turn FROM ev WHERE datetime IS NOT NULL)""",
+        f"runs AS (SELECT *, sum(turn) OVER (PARTITION BY {key} ORDER BY datetime ROWS UNBOUNDED PRECEDING) AS run FROM turns)",
+        f"""sess AS (SELECT {key}, min(datetime) AS session_start, max(datetime) AS last_event, count(*) AS hits, sum(bytes) AS bytes_sum,
+      count(*) FILTER (status BETWEEN 400 AND 599) AS errors FROM runs GROUP BY {key}, run)""",
+    )
+
+
+_SESSION_COLS = "t:session_start t:last_event i:hits i:bytes_sum i:errors"
+for _name in ("n1_host_sessions", "s5_streaming_sessions"):
+    oracle(_name, "x:host " + _SESSION_COLS, chain(*LOG, *sessions_of("host", 1800), "SELECT * FROM sess"))
+oracle("n1_service_sessions", "x:service " + _SESSION_COLS, chain(*LOG, *sessions_of("service", 300), "SELECT * FROM sess"))
+oracle(
+    "n2_asof_join",
+    "x:service t:bucket_start f:hits i:last_bytes t:met_at",
+    chain(
+        *LOG,
+        *train("15m", _SERVICE),
+        *test("15m", _SERVICE),
+        "s AS (SELECT service, bucket_start, hits FROM tr UNION ALL SELECT service, bucket_start, hits FROM te)",
+        "e AS (SELECT service, datetime, max(bytes) AS last_bytes FROM ev WHERE datetime IS NOT NULL GROUP BY ALL)",
+        """SELECT s.service, s.bucket_start, s.hits, e.last_bytes, e.datetime AS met_at
+    FROM s ASOF LEFT JOIN e ON s.service = e.service AND s.bucket_start >= e.datetime""",
+    ),
+)
+oracle(
+    "n3_interval_join",
+    "x:host t:session_start i:outages i:seconds i:first_order",
+    chain(
+        *LOG,
+        *sessions_of("host", 1800),
+        ORDER_OUTAGES,
+        "spans AS (SELECT host, session_start, last_event + INTERVAL 1 SECOND AS session_end FROM sess)",
+        """SELECT host, session_start, count(*) AS outages, sum(epoch(least(session_end, b)) - epoch(greatest(session_start, a))) AS seconds,
+      min(o_orderkey) AS first_order FROM spans JOIN outages ON session_start < b AND a < session_end AND a < b GROUP BY ALL""",
+    ),
+)

@@ -14,12 +14,14 @@ from loadtide.functions import logline as L
 from loadtide.functions import numeric as N
 from loadtide.functions import timegrid as G
 from loadtide.operators import anomaly, buckets, capacity, evaluate, explore, features, forecast, gaps
-from loadtide.operators import isoforest, trees
+from loadtide.operators import isoforest, sessions, timejoin, trees
 from loadtide.operators.features import FeatureSpec
 from loadtide.plans.eda import eda_tables
 from loadtide.session import materialize, shared_dir
 from loadtide.sources import logs, metrics_store, tables
+from loadtide.streaming import corrections, outages
 from loadtide.streaming import series as streaming
+from loadtide.streaming import sessions as stream_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -373,20 +375,27 @@ def c6(spark, sf):
 
 @query("c7_known_outage")
 def c7(spark, sf):
-    s = X.series(spark, sf, tag="15m").select("split", "bucket_start")
-    return s.withColumn("storm", gaps.in_known_outage(F.col("bucket_start"), 900, X.OUTAGES).cast("tinyint"))
+    s = X.series(spark, sf).select("split", "tag", "bucket_start")
+    return s.withColumn("storm", gaps.in_known_outage(F.col("bucket_start"), G.step_of_tag(F.col("tag")), X.OUTAGES).cast("tinyint"))
+
+
+def _order_outages(spark, sf):
+    """Open orders as outages of up to 40 hours, dealt over the month of the series; those of every 40th customer last for all of it."""
+    o = X.table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
+    start = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.pmod(F.col("o_orderkey") * 7919, F.lit(43200)).cast("int"))
+    always = F.col("o_custkey") % 40 == 0
+    minutes = F.pmod("o_orderkey", F.lit(50))
+    return o.select(
+        "o_orderkey",
+        F.when(always, F.lit("2024-01-01").cast("timestamp")).otherwise(start).alias("start"),
+        F.when(always, F.lit("2024-02-01").cast("timestamp")).otherwise(start + F.make_dt_interval(mins=(minutes * minutes).cast("int"))).alias("end"),
+    )
 
 
 @query("c7_outage_table")
 def c7t(spark, sf):
-    # open orders become outages of two hours, moved into the time of the series
-    o = X.table(spark, sf, "orders")
-    outages = o.filter(F.col("o_orderstatus") == "P").select(
-        (F.col("o_orderdate").cast("timestamp") + F.expr("interval 8000 days")).alias("start"),
-        (F.col("o_orderdate").cast("timestamp") + F.expr("interval 8000 days 2 hours")).alias("end"),
-    )
-    s = X.series(spark, sf, tag="15m").select("split", "bucket_start")
-    return gaps.label_from_table(s, outages, 900, ()).withColumnRenamed("_known", "known")
+    s = X.series(spark, sf).select("split", "tag", "bucket_start")
+    return gaps.label_from_table(s, _order_outages(spark, sf), G.step_of_tag(F.col("tag")), ["tag"]).withColumnRenamed("_known", "known")
 
 
 @query("c8_unknown_gaps")
@@ -539,7 +548,7 @@ def d11(spark, sf):
 
 @query("d13_truth_projection")
 def d13(spark, sf):
-    return features.truth_frame(X.series(spark, sf, "test", "5m"))
+    return features.truth_frame(X.series(spark, sf), keys=["split", "tag"])
 
 
 @query("d14_feature_report")
@@ -582,24 +591,70 @@ def e3(spark, sf):
 
 
 def _scored(spark, sf, target):
-    """Predictions of the boosted trees with the documented number of rounds."""
+    """(test predictions, checks) of the boosted trees with the documented number of rounds."""
 
     def build():
-        model = trees.fit_trees(_train_features(spark, sf, "15m"), target, SPEC)
-        return trees.score_test(model, _test_features(spark, sf, "15m"), target, "15m", SPEC)
+        train = _train_features(spark, sf, "15m")
+        model = trees.fit_trees(train, target, SPEC)
+        test = trees.score_test(model, _test_features(spark, sf, "15m"), target, "15m", SPEC).withColumn("learns", F.lit(None).cast("boolean"))
+        return test.unionByName(_learning(model, train, target), allowMissingColumns=True)
+
+    both = X.stage(spark, sf, f"trees_{target}", build)
+    return both.filter("learns is null").drop("learns"), both.filter("learns is not null").select("learns")
+
+
+def _learning(model, train, target, spec=SPEC):
+    """One row: predictions of the training rows go along with their labels, which a constant never does."""
+    own = trees.predict_trees(model, train, target, spec).agg(F.corr("pred", F.col(spec.labels[target])).alias("c"))
+    return own.select((F.coalesce("c", F.lit(0.0)) > 0.03).alias("learns"))
+
 
-    return X.stage(spark, sf, f"trees_{target}", build)
+def _error(target):
+    """Mean squared error on the scale that the model of ``target`` is fitted on."""
+    off = N.to_model_scale(target, F.col("true_next")) - N.to_model_scale(target, F.col("pred"))
+    return F.avg(off * off)
 
 
-def _sound(scored, target):
-    """What SQL can state of model output: the scored rows, their truth, and that each prediction is a load."""
+def _better(scored, naive):
+    """One row: the scored forecasts have a smaller mean absolute or squared error than the naive ones.
+
+    Where most buckets are empty, forecasting nothing has the least absolute error, and the squared error tells them apart.
+    """
+    off = F.col("true_next") - F.col("pred")
+    both = lambda df: df.agg(F.struct(F.avg(F.abs(off)).alias("mae"), F.avg(off * off).alias("mse")).alias("e")).scalar()
+    pair = scored.sparkSession.range(1).select(both(scored).alias("a"), both(naive).alias("b"))
+    return pair.select(((F.col("a.mae") < F.col("b.mae")) | (F.col("a.mse") < F.col("b.mse"))).alias("beats_naive"))
+
+
+def _sound(spark, sf, scored, learns, target):
+    """What SQL can state of model output: the scored rows, their truth, that each prediction is a load, and that the model is better than none."""
+    naive = forecast.seasonal_naive(X.series(spark, sf, "train", "15m"), X.series(spark, sf, "test", "15m"), "15m", target)
+    checks = materialize(_better(scored, naive).select("beats_naive", learns.scalar().alias("learns")), "forecast-checks")
+    flags = [checks.select(c).scalar().alias(c) for c in checks.columns]
     load = F.coalesce((F.col("pred") >= 0) & ~F.isnan("pred") & (F.col("pred") < float("inf")), F.lit(False))
-    return scored.select("bucket_start", target, "true_next", "model", load.alias("pred_is_load"))
+    return scored.select("bucket_start", target, "true_next", "model", load.alias("pred_is_load"), *flags)
 
 
 @query("e4_boosted_trees")
 def e4(spark, sf):
-    return _sound(_scored(spark, sf, "hits"), "hits")
+    return _sound(spark, sf, *_scored(spark, sf, "hits"), "hits")
+
+
+@query("e4_validation_curves")
+def e4c(spark, sf):
+    # short and steep, so that the error turns within the rounds
+    _, curves = trees.validate_folds(
+        _train_features(spark, sf, "15m"), "hits", "15m", SPEC, {"max_iter": 20, "learning_rate": 0.3, "max_depth": 4}, {"patience": 5}
+    )
+    fold = Window.partitionBy("fold")  # one row per round
+    best = F.min(F.when(F.col("is_best"), F.struct("round", "error"))).over(fold)
+    # nothing smaller up to the round at which the search gave up, and one best round
+    seen = F.min(F.when(F.col("round") <= best["round"] + 5, F.col("error"))).over(fold)
+    return curves.select(
+        "target", "window", "fold", "round", (F.col("error") >= 0).alias("error_is_known"),
+        ((seen == best["error"]) & (F.count_if("is_best").over(fold) == 1)).alias("best_is_least"),
+        (F.max(F.when(F.col("round") == 1, F.col("error"))).over(fold) >= best["error"]).alias("rounds_help"),
+    )
 
 
 @query("e5_time_folds")
@@ -620,18 +675,35 @@ def e6(spark, sf):
 
 @query("e7_batch_scoring")
 def e7(spark, sf):
-    return _sound(_scored(spark, sf, "bytes_sum"), "bytes_sum")
+    return _sound(spark, sf, *_scored(spark, sf, "bytes_sum"), "bytes_sum")
+
+
+SWEEP = {"max_iter": 10, "learning_rate": 0.3, "max_depth": 4}
 
 
 @query("e8_model_sweep")
 def e8(spark, sf):
-    parts = []
+    """Both models on both targets and all grids; of the trees SQL can state the rows and that they are better than naive and not constant."""
+    parts, errors = [], []
     for tag in ("1m", "5m", "15m"):
         train, test = (X.series(spark, sf, s, tag) for s in ("train", "test"))
         for target in ("hits", "bytes_sum"):
-            p = forecast.seasonal_naive(train, test, tag, target)
-            parts.append(p.select("model", F.lit(target).alias("target"), F.lit(tag).alias("window"), "true_next", "pred"))
-    return evaluate.forecast_metrics(reduce(DataFrame.unionAll, parts))
+            made = _train_features(spark, sf, tag)
+            model = trees.fit_trees(made, target, SPEC, SWEEP)
+            fitted = trees.score_test(model, _test_features(spark, sf, tag), target, tag, SPEC)
+            p = forecast.seasonal_naive(train, test, tag, target).unionByName(fitted)
+            learns = _learning(model, made, target).scalar()
+            parts.append(p.select("model", F.lit(target).alias("target"), F.lit(tag).alias("window"), "true_next", "pred", learns.alias("learns")))
+            errors.append(p.groupBy("model").agg(_error(target).alias("e")).select("model", F.lit(target).alias("target"), F.lit(tag).alias("window"), "e"))
+    long = materialize(reduce(DataFrame.unionAll, parts), "sweep")
+    ids = ["model", "target", "window"]
+    wide = evaluate.forecast_metrics(long, ids).join(long.groupBy(ids).agg(F.count(F.lit(1)).alias("n"), F.every("learns").alias("learns")), ids)
+    wide = wide.join(reduce(DataFrame.unionAll, errors), ids)
+    other = Window.partitionBy("target", "window")  # one row per model
+    naive = F.col("model") == "seasonal_naive"
+    beats = F.when(~naive, F.col("e") < F.max(F.when(naive, F.col("e"))).over(other))
+    wide = wide.withColumn("beats_naive", beats).drop("e").withColumn("learns", F.when(~naive, F.col("learns")))
+    return wide.withColumns({m: F.when(naive, F.col(m)) for m in evaluate.METRICS})
 
 
 def _service_metrics(spark, sf):
@@ -691,9 +763,9 @@ def e14h(spark, sf):
 
 @query("g1_rolling_mad")
 def g1(spark, sf):
-    s = X.series(spark, sf, "train", "5m").withColumnRenamed("bucket_start", "timestamp")
-    out = anomaly.mad_spikes(s, "hits", window_rows=24, k=3.0)
-    return out.select("timestamp", "hits", "anomaly_score", "is_spike")
+    s = X.series(spark, sf).withColumnRenamed("bucket_start", "timestamp")
+    out = anomaly.mad_spikes(s, "hits", window_rows=24, k=3.0, keys=["split", "tag"])
+    return out.select("split", "tag", "timestamp", "hits", "anomaly_score", "is_spike")
 
 
 @query("g1_keyed_services")
@@ -714,7 +786,7 @@ def g2(spark, sf):
 
 @query("g3_spike_types")
 def g3(spark, sf):
-    return anomaly.spike_type_counts(gaps.non_gap(X.series(spark, sf, "train", "5m")))
+    return anomaly.spike_type_counts(gaps.non_gap(X.series(spark, sf)), ["split", "tag"])
 
 
 @query("g3_keyed_services")
@@ -722,22 +794,34 @@ def g3k(spark, sf):
     return anomaly.spike_type_counts(gaps.non_gap(X.service_series(spark, sf, "train")), SERVICE)
 
 
+def _forest_checks(out):
+    """One row: the flagged rows are the highest scores, as many as one percent asks for (ties aside), and scores grow with the distance from the mean."""
+    far = reduce(lambda a, b: a + b, [F.abs(f"x{i}") for i in range(len(isoforest.FEATURES))])
+    up = F.col("if_is_anomaly") == 1
+    level = out.filter(up).agg(F.min("if_score").alias("m")).scalar()
+    n = F.count(F.lit(1))
+    due = n - F.ceil(F.lit(0.99) * (n - 1))
+    return isoforest.standardize(out, isoforest.FEATURES).agg(
+        ((F.count_if(up) == F.count_if(F.col("if_score") >= level)) & (F.count_if(F.col("if_score") > level) <= due) & (due <= F.count_if(up))).alias("flags_are_top"),
+        (F.coalesce(F.corr("if_score", far), F.lit(0.0)) > 0.5).alias("score_follows_distance"),
+    )
+
+
 @query("g4_isolation_forest")
 def g4(spark, sf):
     s = buckets.with_class_rates(gaps.non_gap(X.series(spark, sf, "train", "15m")))
-    out = isoforest.isolation_anomalies(explore.local_parts(s, X.OFFSET))
-    above = F.count_if(F.col("if_is_anomaly") == 1).over(Window.partitionBy())
-    share = above / F.count(F.lit(1)).over(Window.partitionBy())
-    # scores tie, so the flagged share is only near one percent
-    return out.select("bucket_start", ((F.col("if_score") > 0) & (F.col("if_score") < 1)).alias("score_in_range"),
-                      ((share >= 0.01) & (share <= 0.03)).alias("share_near"))
+    out = materialize(isoforest.isolation_anomalies(explore.local_parts(s, X.OFFSET)), "forest")
+    checks = materialize(_forest_checks(out), "forest-checks")
+    inside = (F.col("if_score") > 0) & (F.col("if_score") < 1)
+    flags = [checks.select(c).scalar().alias(c) for c in checks.columns]
+    return out.select("bucket_start", inside.alias("score_in_range"), *flags)
 
 
 @query("g5_top_anomalies")
 def g5(spark, sf):
-    s = X.series(spark, sf, "train", "5m").withColumnRenamed("bucket_start", "timestamp")
-    out = anomaly.mad_spikes(s, "bytes_sum", window_rows=24, k=3.0)
-    return anomaly.top_anomalies(out.select("timestamp", "bytes_sum", "anomaly_score"))
+    s = X.series(spark, sf).withColumnRenamed("bucket_start", "timestamp")
+    out = anomaly.mad_spikes(s, "bytes_sum", window_rows=24, k=3.0, keys=["split", "tag"])
+    return anomaly.top_anomalies(out.select("split", "tag", "timestamp", "bytes_sum", "anomaly_score"), by=("timestamp", "split", "tag"))
 
 
 # exploration
@@ -999,3 +1083,100 @@ def s1(spark, sf):
 def s2(spark, sf):
     out = _streamed(spark, sf, lambda b: streaming.stream_known_outages(b, "5m", X.OUTAGES))
     return out.groupBy("is_gap_storm").agg(F.count(F.lit(1)).alias("buckets"), F.sum("hits").alias("hits"))
+
+
+def _in_slices(spark, path, events, slices, act):
+    """Write ``events`` slice by slice in the order of their times, as a source would deliver them, and ``act`` after each."""
+    span = events.agg(F.min("datetime").alias("a"), F.max("datetime").alias("b")).first()
+    step = (span["b"] - span["a"]) / slices
+    edges = [span["a"] + step * k for k in range(slices)]
+    for k, lo in enumerate(edges):
+        part = events.filter(F.col("datetime") >= F.lit(lo))
+        if k + 1 < slices:
+            part = part.filter(F.col("datetime") < F.lit(edges[k + 1]))
+        part.coalesce(1).write.mode("append").parquet(path)
+        act(k)
+
+
+def _with_end(events):
+    """Two more events, each long after the others: the bucket of the first one is finished, too, and moves the watermark past all of them."""
+    last = events.agg(F.max("datetime").alias("d")).select(F.explode(F.array(*[F.col("d") + F.expr(f"interval {n} days") for n in (10, 20)])).alias("datetime"))
+    return events.unionByName(last.withColumn("host", F.lit("end")), allowMissingColumns=True)
+
+
+@query("s3_streaming_corrections")
+def s3(spark, sf):
+    # every file holds lines of the whole month, so most events of a batch are late
+    path, out, state = (shared_dir(spark, n) for n in ("lines", "corrected", "state"))
+    X.log_lines(spark, sf).repartition(8, F.hash("value")).write.text(path)
+    for _ in range(2):  # the second run finds nothing new
+        lines = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+        corrections.correct_series(logs.parse_lines(lines), out, state, "15m").awaitTermination()
+    return corrections.corrected_series(spark, out)
+
+
+@query("s4_streaming_unknown_outages")
+def s4(spark, sf):
+    src, finished, told, state = (shared_dir(spark, n) for n in ("events", "finished", "told", "state"))
+    events = _with_end(X.events(spark, sf).filter("datetime is not null"))
+    tag, keys = "15m", ["host"]
+
+    def follow(k):
+        if k % 2 == 0:  # two slices at a time; each time both streams start again where they stopped
+            return
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        streaming.append_to_table(streaming.stream_buckets(stream, tag, keys=keys), finished, f"{state}/buckets").awaitTermination()
+        with outages.timer_state(spark):
+            done = spark.readStream.schema("host string, bucket_start timestamp").parquet(finished)  # whole commits
+            streaming.append_to_table(outages.stream_unknown_outages(done, tag, keys=keys), told, f"{state}/outages").awaitTermination()
+
+    _in_slices(spark, src, events, 4, follow)
+    rows = spark.read.schema("host string, gap_start timestamp, gap_end timestamp, rows long, status string").parquet(told)
+    closed = rows.filter("status = 'closed'")
+    # of a silence that was told before its end, the end counts
+    still = rows.filter("status = 'open'").join(closed.select("host", "gap_start"), ["host", "gap_start"], "left_anti")
+    return closed.unionByName(still.select(*closed.columns)).filter("host <> 'end'")
+
+
+@query("s5_streaming_sessions")
+def s5(spark, sf):
+    src, out, state = (shared_dir(spark, n) for n in ("events", "sessions", "state"))
+    events = _with_end(X.events(spark, sf).filter("datetime is not null"))
+
+    def follow(k):
+        stream = spark.readStream.schema(events.schema).parquet(src)
+        streaming.append_to_table(stream_sessions.stream_sessions(stream, 1800), out, state).awaitTermination()
+
+    _in_slices(spark, src, events, 3, follow)
+    return spark.read.parquet(out).filter("host <> 'end'")
+
+
+# sessions and joins by time
+
+
+@query("n1_host_sessions")
+def n1(spark, sf):
+    return sessions.sessions(X.events(spark, sf), 1800, block_seconds=86400)
+
+
+@query("n1_service_sessions")
+def n1s(spark, sf):
+    return sessions.sessions(X.keyed_events(spark, sf), 300, keys=SERVICE, block_seconds=7200)
+
+
+@query("n2_asof_join")
+def n2(spark, sf):
+    s = X.service_series(spark, sf, "train").unionByName(X.service_series(spark, sf, "test"))
+    e = X.keyed_events(spark, sf).groupBy("service", "datetime").agg(F.max("bytes").alias("last_bytes"))
+    out = timejoin.asof_join(s.select("service", "bucket_start", "hits"), e, ["last_bytes"], keys=SERVICE, out_time="met_at")
+    return out.select("service", "bucket_start", "hits", "last_bytes", "met_at")
+
+
+@query("n3_interval_join")
+def n3(spark, sf):
+    s = sessions.sessions(X.events(spark, sf), 1800).select("host", F.col("session_start").alias("start"), (F.col("last_event") + F.expr("interval 1 second")).alias("end"))
+    met = timejoin.interval_join(s, _order_outages(spark, sf))
+    shared = F.unix_seconds(F.least("left.end", "right.end")) - F.unix_seconds(F.greatest("left.start", "right.start"))
+    return met.groupBy(F.col("left.host").alias("host"), F.col("left.start").alias("session_start")).agg(
+        F.count(F.lit(1)).alias("outages"), F.sum(shared).alias("seconds"), F.min("right.o_orderkey").alias("first_order")
+    )

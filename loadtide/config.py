@@ -33,7 +33,7 @@ DEFAULTS: dict[str, Any] = {
         ],
     },
     "modeling": {
-        "cv": {"splits": 5, "test_days": 2, "gap_steps": 1},
+        "cv": {"splits": 5, "test_days": 2, "gap_steps": 1, "patience": 50},
         "trees": {
             "max_depth": 6,
             "learning_rate": 0.05,

@@ -182,6 +182,68 @@ def test_cross_validation(spark):
     assert trees.cross_validate(feats.limit(300), "hits", "15m", spec, {"max_iter": 3}) is None
 
 
+def test_best_round():
+    curve = [5.0, 4.0, 4.5, 3.0, 3.0, 3.5, 3.6, 2.0]
+    assert trees.best_round(curve, 50) == 8 and trees.best_round(curve, 3) == 4 and trees.best_round(curve, 1) == 2
+    assert trees.best_round([1.0], 5) == 1
+
+
+def test_a_fold_stops_at_the_least_error_of_its_curve(spark):
+    rng = np.random.default_rng(3)
+    load = pd.Series(200 + 30 * np.sin(np.arange(96 * 9) / 96 * 2 * np.pi) + rng.normal(0, 12, 96 * 9))
+    train = series(spark, load)
+    spec = FeatureSpec(lag_days=(1,), roll_windows=("1h",))
+    feats = materialize(train_features(train, train.limit(1), "15m", spec))
+    early, late = feats.filter("bucket_start < '2024-01-07'"), feats.filter("bucket_start >= '2024-01-07'")
+    params = {"max_iter": 12, "learning_rate": 0.6}
+    full = trees.fit_trees(early, "hits", spec, params)
+    curve = trees.validation_curve(full, late, "hits", spec)
+    model, again = trees.fit_early(early, late, "hits", spec, params, patience=12)
+    best = int(np.argmin(curve)) + 1
+    assert again == pytest.approx(curve) and len(curve) == 12 and best < 12 and model.stages[-1].getNumTrees == best
+    # the cut model's error is the curve's at that round, and it predicts as a model of as many rounds
+    mse = lambda m: trees.predict_trees(m, late, "hits", spec).agg(F.avg((F.col("pred") - F.col("y_hits_next")) ** 2)).first()[0]
+    assert mse(model) == pytest.approx(min(curve)) and mse(full) == pytest.approx(curve[-1])
+    assert mse(trees.fit_trees(early, "hits", spec, {**params, "max_iter": best})) == pytest.approx(min(curve))
+    _, curves = trees.validate_folds(feats, "hits", "15m", spec, {"max_iter": 4}, {"splits": 2, "patience": 4})
+    rows = curves.collect()
+    assert {(r.fold, r.round) for r in rows} == {(f, k) for f in (1, 2) for k in range(1, 5)}
+    for f in (1, 2):
+        own = {r.round: r.error for r in rows if r.fold == f}
+        assert [r.round for r in rows if r.fold == f and r.is_best] == [min(own, key=own.get)]
+
+
+def test_a_constant_forecast_turns_the_checks_red(spark):
+    from catalog import spark_queries as Q
+
+    load = 50 + 30 * np.sin(np.arange(96 * 6) / 96 * 2 * np.pi)
+    train = series(spark, load)
+    spec = FeatureSpec(lag_days=(1,), roll_windows=("1h",))
+    feats = materialize(train_features(train, train.limit(1), "15m", spec))
+    learns = lambda m: Q._learning(m, feats, "hits", spec).first()[0]
+    assert learns(trees.fit_trees(feats, "hits", spec, {"max_iter": 3}))
+    assert not learns(trees.fit_trees(feats.withColumn("y_hits_next", F.lit(5.0)), "hits", spec, {"max_iter": 1}))
+    scored = spark.createDataFrame([(1.0, 1.5), (3.0, 2.5)], "true_next double, pred double")
+    naive = scored.withColumn("pred", F.lit(9.0))
+    assert Q._better(scored, naive).first()[0] and not Q._better(naive, scored).first()[0]
+
+
+def test_random_scores_turn_the_forest_checks_red(spark):
+    from catalog import spark_queries as Q
+    from loadtide.operators import isoforest
+
+    rng = np.random.default_rng(5)
+    n = len(isoforest.FEATURES)
+    rows = [(i, *map(float, rng.normal(size=n) * (8 if i % 100 == 0 else 1))) for i in range(600)]
+    df = spark.createDataFrame(rows, "bucket_start long, " + ", ".join(f"{c} double" for c in isoforest.FEATURES))
+    out = materialize(isoforest.isolation_anomalies(df, trees=50))
+    assert tuple(Q._forest_checks(out).first()) == (True, True)
+    chance = out.withColumn("if_score", F.rand(3)).withColumn("if_is_anomaly", F.lit(0).cast("tinyint"))
+    assert not Q._forest_checks(materialize(chance)).first()["score_follows_distance"]
+    three = out.withColumn("if_is_anomaly", (F.col("if_score") >= F.lit(out.approxQuantile("if_score", [0.9], 0)[0])).cast("tinyint"))
+    assert not Q._forest_checks(materialize(three)).first()["flags_are_top"]
+
+
 def test_constant_columns_have_no_correlation(spark):
     df = series(spark, [1, 2, 3, 4]).withColumn("flat", F.lit(7.0))
     rows = {(r["metric_a"], r["metric_b"]): r["corr"] for r in explore.correlation_pairs(df, ["hits", "flat"]).collect()}
