@@ -6,11 +6,14 @@ falls into the cumulated targets and so names a source; the slot's rank among th
 names the block of the source's line that it takes. Any stretch of slots holds the sources close to
 their weights, and each source is read from the start of its line without gaps.
 
-The number of slots is bounded, so blocks grow with the corpus. A source whose target is under ``LEAST`` blocks could fall
-between the points; it takes no points but has ``LEAST`` smaller blocks of its own, spread evenly over the slots.
+Sources differ by many orders of magnitude, so one size of block for all would be too large for the smallest or too many for the
+largest. Sources whose targets lie within a factor of ``SPREAD`` share a schedule, with blocks of their magnitude: each source has some ``BLOCKS`` to
+``SPREAD * BLOCKS`` of them, whatever the number of sources and of words (a few of them empty where it has fewer words). The schedules run beside each other; ``at`` says
+where in the mix, from 0 to 1, a slot lies. A source's target is cut into exactly as many blocks as it has slots, equal but
+for one word, so the mix takes the target to the word.
 
 All of it is DataFrame code. Places on a line are prefix sums over hash buckets, so a source with a third of all
-documents is no single window; documents meet slots by (source, block), which no source can fill.
+documents is no single window; ranks and sums over sources go by stretches of sources; documents meet slots by (source, block).
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from loadtide.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 EPOCHS = 3
-SLOTS = 1 << 16
-LEAST = 32
-CELLS = 1024
+BLOCKS = 256
+SPREAD = 4
+STRETCH = 4096  # sources
+POINTS = 1 << 16  # slots made by one row
 BUCKET_DIGITS = 3  # hex digits: 4096 stretches of each source's hashed order
 GOLDEN = 2654435769  # 2**32 / golden ratio, so points are exact whole numbers
 
@@ -35,41 +39,56 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def source_table(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, slots: int = SLOTS) -> DataFrame:
-    """(src, source, source_size, target, lo, hi, total, block_words, places): one row per source of ``sized`` (source, size).
+def _numbered(sums: DataFrame) -> DataFrame:
+    """``sums`` (source, source_size) with ``src``, the place by code point from 0, null last."""
+    dealt = sums.withColumn("named", F.col("source").isNull())
+    size = max(1, -(-sums.count() // STRETCH))
+    dealt = dealt.repartitionByRange(size, "named", "source").withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "mix-names")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per stretch of sources
+    counts = dealt.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("named", "source")) - 1 + F.col("first")
+    return dealt.join(counts, "part").select("source", "source_size", place.cast("long").alias("src"))
+
+
+def source_table(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, blocks: int = BLOCKS) -> DataFrame:
+    """(src, source, source_size, target, own, kind, lo, total, sources, slots): one row per source of ``sized`` (source, size).
 
     Sources by code point, null last, weigh ``weights``, repeating. Targets share the total size by weight;
-    a target stops at ``epochs`` times its source, and what it leaves is shared again. Sorted by that
-    limit over the weight, the sources that stop come first, so one pass of running sums is enough.
-    ``lo`` to ``hi`` is the source's stretch of the cumulated targets, in whole words; ``block_words`` makes
-    at most ``slots`` blocks of their ``total``, and ``places`` is their number. A source of fewer than ``LEAST`` such blocks has
-    no stretch and makes about ``LEAST`` blocks of its own target. The windows run over one row per source.
+    a target stops at ``epochs`` times its source, and what it leaves is shared again, until none is above: one small
+    aggregation per round. ``own`` is the target in whole words, ``kind`` the magnitude whose schedule the source is in, ``lo`` where its stretch
+    of that schedule's cumulated targets begins, ``total`` their sum, ``sources`` their number and ``slots`` the schedule's length.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_limit = Window.orderBy(F.col("cap") / F.col("w"), "src")
-    upto = by_limit.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = by_limit.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    named = sums.withColumn("src", (F.row_number().over(by_name) - 1).cast("int"))
+    sums = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sums")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("src") % len(weights) + 1).cast("int")).cast("long")
-    out = named.withColumns({"w": weight, "cap": F.col("source_size") * epochs})
-    out = out.withColumn("total", F.sum("source_size").over(everything))
-    left = (F.col("total") - (F.sum("cap").over(upto) - F.col("cap"))).cast("double")
-    out = out.withColumn("level", left / F.sum("w").over(onward)).withColumn("rank", F.row_number().over(by_limit))
-    out = out.withColumn("stops", F.every(F.col("cap") <= F.col("level") * F.col("w")).over(upto))
-    first = F.min(F.when(~F.col("stops"), F.struct("rank", "level"))).over(everything)["level"]
-    target = F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(first * F.col("w"))
-    out = out.select("src", "source", "source_size", target.alias("target"))
-    out = out.withColumn("_own", F.round("target").cast("long"))
-    out = out.withColumn("_block", F.greatest(F.ceil(F.sum("_own").over(everything) / slots), F.lit(1)).cast("long"))
-    rare = F.col("_own") < F.col("_block") * LEAST
-    out = out.withColumn("_wide", F.when(rare, 0).otherwise(F.col("_own")))
-    hi = F.sum("_wide").over(Window.orderBy("src"))
-    out = out.withColumns({"hi": hi, "lo": hi - F.col("_wide"), "total": F.sum("_wide").over(everything)})
-    block = F.when(rare, F.greatest(F.ceil(F.col("_own") / LEAST), F.lit(1)).cast("long")).otherwise(F.col("_block"))
-    places = F.greatest(F.ceil(F.col("total") / F.col("_block")), F.lit(1)).cast("long")
-    return out.withColumns({"block_words": block, "places": places}).drop("_own", "_block", "_wide")
+    named = materialize(_numbered(sums).withColumns({"w": weight, "cap": F.col("source_size") * epochs}), "mix-weights")
+    total = named.agg(F.sum("source_size")).first()[0] or 0
+    level, stopped = 0.0, -1
+    while True:
+        stops = F.col("cap") <= F.lit(level) * F.col("w") if stopped >= 0 else F.lit(False)
+        now = named.agg(F.count_if(stops).alias("n"), F.sum(F.when(stops, F.col("cap"))).alias("held"), F.sum(F.when(~stops, F.col("w"))).alias("open")).first()
+        if now["n"] == stopped or not now["open"]:
+            break
+        stopped, level = now["n"], float(total - (now["held"] or 0)) / float(now["open"])
+    stops = F.col("cap") <= F.lit(level) * F.col("w")
+    out = named.withColumn("target", F.when(stops, F.col("cap").cast("double")).otherwise(F.lit(level) * F.col("w")))
+    out = out.withColumn("own", F.round("target").cast("long"))
+    # the power of SPREAD that is not above the target, by its digits in base two
+    bits = F.length(F.bin("own")) - 1
+    out = out.withColumn("kind", F.floor(bits / (SPREAD.bit_length() - 1)).cast("int"))
+    out = out.withColumn("part", F.floor(F.col("src") / STRETCH))
+    inside = Window.partitionBy("kind", "part").orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
+    sums = out.groupBy("kind", "part").agg(F.sum("own").alias("sum"), F.count("*").alias("n"))
+    before = Window.partitionBy("kind").orderBy("part")
+    whole = Window.partitionBy("kind")
+    sums = sums.select(
+        "kind", "part", (F.sum("sum").over(before) - F.col("sum")).alias("before"), F.sum("sum").over(whole).alias("total"), F.sum("n").over(whole).alias("sources")
+    )
+    out = out.withColumn("inside", F.coalesce(F.sum("own").over(inside), F.lit(0))).join(sums, ["kind", "part"])
+    slots = F.ceil(F.col("total") * blocks / F.pow(F.lit(float(SPREAD)), "kind")).cast("long")
+    return out.select(
+        "src", "source", "source_size", "target", "own", "kind", (F.col("before") + F.col("inside")).alias("lo"), "total", "sources", slots.alias("slots")
+    )
 
 
 def _key(doc_id: Column, seed: str) -> Column:
@@ -83,7 +102,7 @@ def bucket(doc_id: Column, seed: str = "mix") -> Column:
 
 def lines(sized: DataFrame, sources: DataFrame, seed: str = "mix") -> DataFrame:
     """``sized`` (row, doc_id, source, size) with its source's columns and ``start``, its first word's place on the line."""
-    sources = sources.drop("places")
+    sources = sources.select("src", "source", "source_size", "target", "own")
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     known = known.withColumn("_key", _key(F.col("doc_id"), seed)).withColumn("_bucket", bucket(F.col("doc_id"), seed))
     known = materialize(known, "mix-keys")
@@ -97,40 +116,48 @@ def lines(sized: DataFrame, sources: DataFrame, seed: str = "mix") -> DataFrame:
 
 
 def schedule(sources: DataFrame) -> DataFrame:
-    """(slot, src, block): what each slot takes; blocks of sources without a stretch lie beside the slot's own."""
-    cell = lambda c: F.least(F.floor(c / F.col("total") * CELLS), F.lit(CELLS - 1)).cast("int")
-    bounds = sources.where("hi > lo").select("src", "lo", "hi", "total", "block_words")
-    held = bounds.select("src", "lo", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))).alias("cell"))
-    # the source that holds point 0 is one row, and makes the row of slots
-    count = F.ceil(F.col("total") / F.col("block_words")).cast("long")
-    points = bounds.where("lo = 0").select("total", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("slot"))
+    """(src, block, blocks, kind, slot, at): the slots of every source in order, and how many it has.
+
+    A source has its share of its kind's slots but for two or three: at least ``BLOCKS`` and at most ``SPREAD`` times as many, about.
+    """
+    held = sources.where("own > 0")
+    kinds = held.select("kind", "total", "sources", "slots").distinct()  # a few dozen
+    firsts = kinds.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(POINTS).cast("long"))))
+    last = F.least(F.col("first") + POINTS, F.col("slots")) - 1
+    points = firsts.repartition("kind", "first").withColumn("slot", F.explode(F.sequence(F.col("first"), last)))
     point = F.pmod(F.col("slot") * F.lit(GOLDEN).cast("long"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    points = points.withColumn("at", F.floor(point * F.col("total")))
-    hit = points.select("slot", "at", cell(F.col("at")).alias("cell")).join(held, "cell").where("at >= lo and at < hi")
-    rank = F.row_number().over(Window.partitionBy("src").orderBy("slot")) - 1  # at most the number of slots
-    own = F.round("target").cast("long")
-    rare = sources.where((F.col("hi") == F.col("lo")) & (own > 0))
-    rare = rare.withColumn("n", F.ceil(own / F.col("block_words")).cast("long"))
-    rare = rare.select("src", "n", "places", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block"))
-    slot = F.floor((F.col("block") * 2 + 1) * F.col("places") / (F.col("n") * 2)).cast("long")
-    return hit.select("slot", "src", rank.cast("long").alias("block")).union(rare.select(slot.alias("slot"), "src", "block"))
+    points = points.withColumn("word", F.floor(point * F.col("total")))
+    # as many cells as sources: a source of a kind spans a few cells, a cell few sources
+    cell = lambda c: F.floor(c / F.col("total") * F.col("sources")).cast("long")
+    spans = held.select("src", "own", "kind", "lo", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("lo") + F.col("own") - 1))).alias("cell"))
+    at = ((F.col("slot") + 0.5) / F.col("slots")).alias("at")
+    points = points.select("kind", "slot", "word", at, cell(F.col("word")).alias("cell"))
+    hit = points.join(spans, ["kind", "cell"]).where("word >= lo and word < lo + own")
+    mine = Window.partitionBy("src")
+    rank = (F.row_number().over(mine.orderBy("slot")) - 1).cast("long")
+    return hit.select("src", rank.alias("block"), F.count("*").over(mine).alias("blocks"), "kind", "slot", "at")
 
 
 def placements(line: DataFrame, slots: DataFrame, epochs: int = EPOCHS) -> DataFrame:
-    """(row, epoch, slot, from_word, to_word): the stretches of documents that the mix takes.
+    """(row, epoch, kind, slot, at, from_word, to_word): the stretches of documents that the mix takes.
 
-    ``line`` comes from `lines`, ``slots`` from `schedule`. A document that spans several blocks
+    ``line`` comes from `lines`, ``slots`` from `schedule`. Block k of n holds the words of the line from floor(k * target / n) on, so the
+    blocks hold the target and differ by one word at most. A document that spans several blocks
     has a row for each; words count from 0 and ``to_word`` isn't included.
     """
-    laid = line.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    laid = laid.withColumn("at", F.col("epoch") * F.col("source_size") + F.col("start"))
-    block = lambda c: F.floor(c / F.col("block_words")).cast("long")
-    laid = laid.withColumn("block", F.explode(F.sequence(block(F.col("at")), block(F.col("at") + F.col("size") - 1))))
-    laid = laid.select("row", "src", "epoch", "block", "block_words", "at", "size")
-    met = laid.join(slots, ["src", "block"])
-    first = F.greatest("at", F.col("block") * F.col("block_words")) - F.col("at")
-    last = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("block_words")) - F.col("at")
-    return met.select("row", "epoch", "slot", first.alias("from_word"), last.alias("to_word"))
+    blocks = slots.where("block = 0").select(F.col("src").alias("of"), "blocks")
+    laid = line.where("size > 0 and own > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    laid = laid.withColumn("start", F.col("epoch") * F.col("source_size") + F.col("start")).where("start < own")
+    laid = laid.join(blocks, F.col("src") == F.col("of")).drop("of")
+    block = lambda c: F.floor(((c + 1) * F.col("blocks") - 1) / F.col("own")).cast("long")
+    edge = lambda k: F.floor(k * F.col("own") / F.col("blocks")).cast("long")
+    end = F.least(F.col("start") + F.col("size"), F.col("own"))
+    laid = laid.withColumn("block", F.explode(F.sequence(block(F.col("start")), block(end - 1))))
+    laid = laid.select("row", "src", "epoch", "block", "start", end.alias("end"), edge(F.col("block")).alias("lo"), edge(F.col("block") + 1).alias("hi"))
+    met = laid.join(slots.select("src", "block", "kind", "slot", "at"), ["src", "block"])
+    first = F.greatest("start", "lo") - F.col("start")
+    last = F.least("end", "hi") - F.col("start")
+    return met.select("row", "epoch", "kind", "slot", "at", first.alias("from_word"), last.alias("to_word"))
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -139,16 +166,16 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     return materialize(out.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
 
-def mix(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, slots: int = SLOTS, seed: str = "mix"):
+def mix(sized: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, blocks: int = BLOCKS, seed: str = "mix"):
     """(lines, placements) of ``sized`` (row, doc_id, source, size), see the functions of these names.
 
     Every row of ``sized`` is on its source's line once, repeated rows included. Sizes of 0 and sources
     without words are on the line but never placed. Rows of the same doc_id follow one another; a null
     doc_id counts as an empty one. Equal input gives an equal mix, whatever the partitions.
     """
-    sources = materialize(source_table(sized, weights, epochs, slots), "mix-sources")
+    sources = materialize(source_table(sized, weights, epochs, blocks), "mix-sources")
     line = materialize(lines(sized, sources, seed), "mix-lines")
-    return line, placements(line, schedule(sources), epochs)
+    return line, placements(line, materialize(schedule(sources), "mix-slots"), epochs)
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:

@@ -48,21 +48,11 @@ shared AS (
   SELECT src, source, source_size,
     CASE WHEN stops THEN cap::DOUBLE ELSE (SELECT arg_min(level, rank) FROM stopping WHERE NOT stops) * w END AS target
   FROM stopping),
-sources AS (
-  SELECT *, sum(round(target)::BIGINT) OVER (ORDER BY src)::BIGINT AS hi,
-    sum(round(target)::BIGINT) OVER (ORDER BY src)::BIGINT - round(target)::BIGINT AS lo,
-    sum(round(target)::BIGINT) OVER ()::BIGINT AS total,
-    greatest(ceil(sum(round(target)::BIGINT) OVER () / 65536), 1)::BIGINT AS block_words
-  FROM shared),
-slots AS (
-  SELECT slot, floor((slot * 2654435769) % 4294967296 / 4294967296.0::DOUBLE * total)::BIGINT AS pos
-  FROM (SELECT total, unnest(range(ceil(total / block_words)::BIGINT)) AS slot FROM sources WHERE lo = 0 AND hi > 0)),
-counts AS (SELECT src, count(*) AS n FROM slots JOIN sources ON pos >= lo AND pos < hi GROUP BY src),
 lines AS (
-  SELECT d.doc_id, d.size, s.source_size, s.target, coalesce(n, 0) * block_words AS taken_line,
+  SELECT d.doc_id, d.size, s.source_size, s.target, round(s.target)::BIGINT AS taken_line,
     sum(size) OVER (PARTITION BY s.src ORDER BY md5('mix' || coalesce(doc_id::VARCHAR, '')), doc_id, size
       ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN counts USING (src))
+  FROM sized d JOIN shared s ON d.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target,
   (greatest(0, least(size, taken_line - start)) + greatest(0, least(size, taken_line - source_size - start))
     + greatest(0, least(size, taken_line - 2 * source_size - start)))::BIGINT AS taken

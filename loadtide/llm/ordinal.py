@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from loadtide.llm.rows import packed, unpacked
 from loadtide.llm.words import _BASE, _BYTE, _LOWER, _power, as_bytes, mix, pieces
 
 SLOTS = 1 << 18
@@ -245,14 +246,12 @@ def grade_documents(model: OrdinalModel, docs: DataFrame, at_least: int, chance:
     Input columns of these names are replaced. Texts that are null, empty or without a letter or
     digit get expected grade 0 and aren't accepted. Equal texts get equal results.
     """
-    out = docs.withColumn("_score", score(model, F.col(text_col)))
-    levels = len(model.thresholds) + 1
-    expected = sum(tail(model, F.col("_score"), k) for k in range(1, levels))
-    return (
-        out.withColumns({"expected_grade": expected, "tail_probability": tail(model, F.col("_score"), at_least)})
-        .withColumn("accepted", F.col("tail_probability") >= chance)
-        .drop("_score")
-    )
+    names = ("expected_grade", "tail_probability", "accepted")
+    out = docs.select(packed(docs, names), score(model, F.col(text_col)).alias("score"))
+    expected = sum(tail(model, F.col("score"), k) for k in range(1, len(model.thresholds) + 1))
+    out = out.select("row", expected.alias("expected_grade"), tail(model, F.col("score"), at_least).alias("tail_probability"))
+    out = out.withColumn("accepted", F.col("tail_probability") >= chance)
+    return out.select(*unpacked(out, docs, names), *names)
 
 
 def grades_of(labels: DataFrame) -> DataFrame:

@@ -19,11 +19,13 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadtide.llm.rows import packed, unpacked
 from loadtide.session import materialize
 
 ARC_BITS = 16
 HEAVY = 2048  # an arc with more than 1/2048 of all bytes is split, so there are at most as many
 PIECES = 256
+NAMES = ("size", "shard", "slot")
 NODES = 128  # virtual nodes per shard
 SLACK = 0.0005
 
@@ -80,15 +82,17 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
 
     Sizes per shard differ by about ``slack`` and a piece of the ring, or by a document where one is larger. Input
     columns of the result's names are replaced. A null text is an empty place of its own; repeated rows each have a slot. The
-    result depends on the rows only, not on their partitions, but for rows that are equal in id and text. No rows: no rows.
+    result depends on the rows only, not on their partitions, but for rows that are equal in id and text. A null id is a value like
+    others. All other input columns are kept. No rows: no rows.
     """
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     key = F.xxhash64(text)
     finer = F.xxhash64(F.col(id_col).cast("string"), key)
-    base = docs.drop("size", "shard", "slot").withColumns(
-        {"size": size_of(text), "_arc": F.shiftrightunsigned(key, 64 - ARC_BITS).cast("int"), "_order": finer}
-    )
+    base = docs.select(
+        packed(docs, NAMES), F.col(id_col).alias("_id"), size_of(text).alias("size"),
+        F.shiftrightunsigned(key, 64 - ARC_BITS).cast("int").alias("_arc"), finer.alias("_order"),
+    )
     piece = F.shiftrightunsigned("_order", 56).cast("int")
     loads = base.groupBy("_arc", piece.alias("_fine")).agg(F.sum("size").alias("b"), F.count("*").alias("n"))
     loads = materialize(loads, "ring-loads")
@@ -110,6 +114,7 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     known = base.join(F.broadcast(heavy), "_arc", "left")
     known = known.withColumn("_piece", F.when(F.col("_heavy") == 1, piece + 1).otherwise(0)).drop("_heavy")
     known = known.join(F.broadcast(arcs_of), ["_arc", "_piece"])
-    order = Window.partitionBy("_arc", "_piece").orderBy("_order", F.col(id_col))
+    order = Window.partitionBy("_arc", "_piece").orderBy("_order", "_id")
     slot = (F.col("_first") + F.row_number().over(order) - 1).cast("long")
-    return known.withColumn("slot", slot).drop("_arc", "_piece", "_order", "_first")
+    known = known.withColumn("slot", slot)
+    return known.select(*unpacked(known, docs, NAMES), *NAMES)

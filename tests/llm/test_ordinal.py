@@ -134,3 +134,13 @@ def test_repeated_labels_and_documents_count_once(spark):
     once = O.fit(docs, spark.createDataFrame(rows, "doc_id long, grade int"), 3, max_rows=20)
     again = O.fit(docs.union(docs), spark.createDataFrame(rows * 10, "doc_id long, grade int"), 3, max_rows=20)
     assert np.array_equal(once.thresholds, again.thresholds) and np.array_equal(once.weights, again.weights)
+
+
+def test_extra_columns_of_any_name_keep_their_values(spark):
+    names = ["row", "_score", "score", "grade", "slots", "a.b"]
+    rows = [(i, f"some text {i}", *(f"{c}{i}" for c in names)) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string" + "".join(f", `{c}` string" for c in names))
+    model = O.OrdinalModel(np.zeros(O.SLOTS), np.array([-1.0, 1.0]))
+    out = O.grade_documents(model, df, at_least=2)
+    assert out.columns == [*df.columns, "expected_grade", "tail_probability", "accepted"]
+    assert sorted(tuple(r)[:-3] for r in out.collect()) == rows

@@ -83,3 +83,22 @@ def test_defined_cases(spark, tmp_path):
             now = f(spark, now, d)
             assert k == 3 or now.columns == docs.columns
         assert (now.count() > 0) == (part is docs)
+
+
+def test_extra_columns_of_any_name_keep_their_values(spark, tmp_path):
+    """Names that the stages and their operators use themselves, now or in an earlier form."""
+    names = ["row", "_id", "_n", "_copy", "_rows", "_kept", "_source", "_size", "_words", "_mix_at", "_mix_bucket", "_mix_copies", "n", "rows", "kept"]
+    names += ["copies", "at", "of", "below1", "above3", "bucket", "words", "size", "target", "own", "kind", "epoch", "start", "src", "score", "ids", "a.b"]
+    rng = __import__("random").Random(1)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(rng.choice([3, 40, 90]))) for _ in range(60)]
+    rows = [(i, texts[i % 50], "en", f"s{i % 4}", 1, *(f"{c}{i}" for c in names)) for i in range(60)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", `{c}` string" for c in names)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = set(rows)
+    now = docs
+    for _, f in P.STAGES[:3]:
+        now = f(spark, now, str(tmp_path))
+        got = [tuple(r) for r in now.collect()]
+        assert now.columns == docs.columns and got and set(got) <= known
+    assert P.STAGES[3][1](spark, now, str(tmp_path)).columns == ["doc_id", "source", "n_tokens", "ids"]
