@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from loadtide.llm import bpe, hyperminhash, mixture, ordinal
 from loadtide.llm.bloom import maybe_in
 from loadtide.llm.queries import read
+from loadtide.llm.rows import packed, unpacked
 from loadtide.session import materialize
 
 SIMILARITY = 0.8
@@ -45,16 +46,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without words have no near duplicates and stay. Different texts of one doc_id stay if any of them is kept.
     """
-    found = hyperminhash.near_duplicates(docs, threshold=SIMILARITY)
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
-    ids = materialize(ids.where("_rows > 1 or not _kept"), "decided-ids")
+    found = hyperminhash.near_duplicates(docs.select("doc_id", "text"), threshold=SIMILARITY)
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
+    ids = materialize(ids.where("rows > 1 or not kept"), "decided-ids")
     # documents that are alone in their group pass as they are; the others need an exact look
-    doubtful = maybe_in(ids.select("_id"), ids.count(), F.col("doc_id"))
-    rest = docs.where(doubtful)
-    rest = rest.join(ids, _same(F.col("doc_id"), F.col("_id")), "left").where(F.coalesce("_kept", F.lit(True)))
-    first = Window.partitionBy("doc_id", F.xxhash64("text"), F.sha1(F.col("text").cast("binary"))).orderBy("source", "lang")
-    rest = rest.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
-    return docs.where(~doubtful).union(rest)
+    doubtful = maybe_in(ids.select("doc_id"), ids.count(), F.col("doc_id"))
+    rest = docs.where(doubtful).select(packed(docs))
+    rest = rest.join(ids, _same(F.col("row.doc_id"), F.col("doc_id")), "left").where(F.coalesce("kept", F.lit(True)))
+    text = F.col("row.text")
+    first = Window.partitionBy("row.doc_id", F.xxhash64(text), F.sha1(text.cast("binary"))).orderBy("row.source", "row.lang")
+    rest = rest.select("row", F.row_number().over(first).alias("n")).where("n = 1")
+    return docs.where(~doubtful).union(rest.select(*unpacked(rest, docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,28 +65,29 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document appears once for each epoch in which the mix reads any of its words. Rows that agree in doc_id, source and size appear as often as the one read most.
     """
     line, placed = mixture.mix(mixture.sizes(docs))
-    epochs = placed.select("row", "epoch").distinct().groupBy("row").agg(F.count("*").cast("int").alias("_mix_copies"))
-    often = line.where("size > 0").join(epochs, "row", "left").withColumn("_mix_copies", F.coalesce("_mix_copies", F.lit(0)))
-    often = often.groupBy("doc_id", "source", "size").agg(F.max("_mix_copies").alias("_mix_copies"))
-    bucket = mixture.bucket(F.col("doc_id"))
-    often = materialize(often.withColumn("_mix_at", bucket), "mix-copies")
+    epochs = placed.select("row", "epoch").distinct().groupBy("row").agg(F.count("*").cast("int").alias("copies"))
+    often = line.where("size > 0").join(epochs, "row", "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
+    often = often.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    often = materialize(often.withColumn("at", mixture.bucket(F.col("doc_id"))), "mix-copies")
     # Along a source's line copies only fall. All but a few buckets are therefore alike, and one row per source
     # says which: texts of alike buckets need no shuffle, the others meet their own row.
-    ends = [F.min(F.when(F.col("_mix_copies") < k, F.col("_mix_at"))).alias(f"_below{k}") for k in (1, 2, 3)]
-    ends += [F.max(F.when(F.col("_mix_copies") >= k, F.col("_mix_at"))).alias(f"_above{k}") for k in (1, 2, 3)]
-    bounds = materialize(often.groupBy(F.col("source").alias("_source")).agg(*ends), "mix-bounds")
-    sized = docs.withColumn("_mix_bucket", bucket).join(bounds, _same(F.col("source"), F.col("_source")))
-    at = F.col("_mix_bucket")
-    surely = [F.coalesce(at < F.col(f"_below{k}"), F.lit(True)) for k in (1, 2, 3)]
-    never = [F.coalesce(at > F.col(f"_above{k}"), F.lit(True)) for k in (1, 2, 3)]
+    ends = [F.min(F.when(F.col("copies") < k, F.col("at"))).alias(f"below{k}") for k in (1, 2, 3)]
+    ends += [F.max(F.when(F.col("copies") >= k, F.col("at"))).alias(f"above{k}") for k in (1, 2, 3)]
+    bounds = materialize(often.groupBy(F.col("source").alias("of")).agg(*ends), "mix-bounds")
+    sized = docs.select(packed(docs), mixture.bucket(F.col("doc_id")).alias("bucket"))
+    sized = sized.join(bounds, _same(F.col("row.source"), F.col("of")))
+    at = F.col("bucket")
+    surely = [F.coalesce(at < F.col(f"below{k}"), F.lit(True)) for k in (1, 2, 3)]
+    never = [F.coalesce(at > F.col(f"above{k}"), F.lit(True)) for k in (1, 2, 3)]
     clear = (surely[0] | never[0]) & (surely[1] | never[1]) & (surely[2] | never[2])
-    alike = sized.where(clear).withColumn("_mix_copies", sum(s.cast("int") for s in surely))
-    alike = alike.where(mixture.words(F.col("text")) > 0).select(*docs.columns, "_mix_copies")
-    own = often.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_mix_copies")
-    rest = sized.where(~clear).drop("_source").withColumn("_words", mixture.words(F.col("text")))
-    rest = rest.join(own, _same(F.col("doc_id"), F.col("_id")) & _same(F.col("source"), F.col("_source")) & (F.col("_words") == F.col("_size")))
-    both = alike.union(rest.select(*docs.columns, "_mix_copies")).where("_mix_copies > 0")
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+    words = mixture.words(F.col("row.text"))
+    alike = sized.where(clear).select("row", sum(s.cast("int") for s in surely).alias("copies")).where(words > 0)
+    own = often.select("doc_id", "source", "size", "copies")
+    rest = sized.where(~clear).select("row", words.alias("words"))
+    rest = rest.join(own, _same(F.col("row.doc_id"), F.col("doc_id")) & _same(F.col("row.source"), F.col("source")) & (F.col("words") == F.col("size")))
+    both = alike.union(rest.select("row", "copies")).where("copies > 0")
+    both = both.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return both.select(*unpacked(both, docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -105,7 +108,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written as Parquet and read by the next."""
+    """All stages on ``documents``, each written as Parquet and read by the next; extra columns, whatever their names, are passed on."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
