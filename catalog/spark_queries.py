@@ -603,9 +603,14 @@ def _scored(spark, sf, target):
     return both.filter("learns is null").drop("learns"), both.filter("learns is not null").select("learns")
 
 
+def _correlation(a, b):
+    """Null where one side is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a) * F.var_pop(b)))
+
+
 def _learning(model, train, target, spec=SPEC):
     """One row: predictions of the training rows go along with their labels, which a constant never does."""
-    own = trees.predict_trees(model, train, target, spec).agg(F.corr("pred", F.col(spec.labels[target])).alias("c"))
+    own = trees.predict_trees(model, train, target, spec).agg(_correlation(F.col("pred"), F.col(spec.labels[target])).alias("c"))
     return own.select((F.coalesce("c", F.lit(0.0)) > 0.03).alias("learns"))
 
 
@@ -803,7 +808,7 @@ def _forest_checks(out):
     due = n - F.ceil(F.lit(0.99) * (n - 1))
     return isoforest.standardize(out, isoforest.FEATURES).agg(
         ((F.count_if(up) == F.count_if(F.col("if_score") >= level)) & (F.count_if(F.col("if_score") > level) <= due) & (due <= F.count_if(up))).alias("flags_are_top"),
-        (F.coalesce(F.corr("if_score", far), F.lit(0.0)) > 0.5).alias("score_follows_distance"),
+        (F.coalesce(_correlation(F.col("if_score"), far), F.lit(0.0)) > 0.5).alias("score_follows_distance"),
     )
 
 
