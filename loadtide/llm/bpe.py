@@ -24,6 +24,7 @@ from loadtide.llm.words import as_bytes, pieces
 
 END = "</w>"
 MEMORY = 100_000  # chunks remembered per task, then forgotten together
+LONG = 64  # characters; longer chunks are forgotten after their batch
 FLAT = 1 << 18  # symbols merged at a time, but for a longer word
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer doesn't
 
@@ -172,6 +173,9 @@ class Encoder:
             for c, ws in parts.items():
                 self.seen[c] = b"".join([ids[w] for w in ws])
         flat = [b"".join(map(self.seen.__getitem__, chunks)) for chunks in cut]
+        for c in new:
+            if len(c) > LONG:
+                del self.seen[c]
         offsets = np.concatenate(([0], np.cumsum([len(f) // 4 for f in flat])))
         return np.frombuffer(b"".join(flat), np.int32), offsets.astype(np.int32)
 

@@ -25,7 +25,8 @@ from loadtide.llm.words import as_bytes
 
 MARK = "▁"
 UNKNOWN = 10.0  # below the lowest score of the vocabulary
-MEMORY = 200_000
+MEMORY = 200_000  # words remembered per task, then forgotten together
+LONG = 64  # characters; longer words aren't remembered
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -105,7 +106,9 @@ class Counter:
         for w in regex.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", text):
             got = self.seen.get(w)
             if got is None:
-                got = self.seen[w] = self.word(w)
+                got = self.word(w)
+                if len(w) <= LONG:
+                    self.seen[w] = got
             total, pieces, unknown = total + got[0], pieces + got[1], unknown + got[2]
         return total, pieces, unknown
 

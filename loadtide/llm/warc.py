@@ -208,7 +208,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     found = reassemble(scan(spark, path)).where(F.col("record_type").isin("response", "revisit"))
     found = found.withColumn("got", _payload(F.col("block")))
     revisit = F.col("record_type") == "revisit"
-    head = F.substring_index(F.substring(F.col("block"), 1, 4096).cast("string"), LINE + LINE, 1)
+    head = F.when(revisit, F.substring_index(F.col("block").cast("string"), LINE + LINE, 1))
     stated = F.regexp_extract(head, r"(?i)\r\nContent-Length: (\d+)", 1)
     payload = F.when(~revisit, F.col("got.payload"))
     digest = F.when(revisit, F.col("stated_digest")).otherwise(F.sha1(payload))

@@ -84,3 +84,15 @@ def test_query(spark, library):
     for k, t in texts.items():
         ids = library.encode(t or "", add_special_tokens=False).ids
         assert got[k] == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+
+
+def test_long_chunks_are_not_remembered():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = bpe.Encoder(bpe.Tables(path))
+    texts = ["x" * 5000 + str(i) for i in range(30)] + ["short word " + "ab" * 40]
+    lib = Tokenizer.from_file(path)
+    for _ in range(2):
+        flat, offsets = encoder.encode(texts)
+        for t, a, b in zip(texts, offsets[:-1], offsets[1:]):
+            assert flat[a:b].tolist() == lib.encode(t, add_special_tokens=False).ids
+        assert max(map(len, encoder.seen)) <= bpe.LONG

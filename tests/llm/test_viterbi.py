@@ -82,3 +82,10 @@ def test_rows(spark, monkeypatch):
     monkeypatch.setattr(V, "MEMORY", 1)
     counter = V.Counter(V.vocabulary(PATH))
     assert counter.text(V.marked("one two one two three")) == counter.text(V.marked("one two one two three"))
+
+
+def test_long_words_are_not_remembered():
+    counter = V.Counter([("▁a", -1.0), ("a", -2.0), ("ab", -2.5), ("▁", -3.0)])
+    text = V.marked("a " + "ab" * 3000 + " a")
+    assert counter.text(text) == V.Counter([("▁a", -1.0), ("a", -2.0), ("ab", -2.5), ("▁", -3.0)]).text(text)
+    assert max(map(len, counter.seen)) <= V.LONG

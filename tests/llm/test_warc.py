@@ -74,3 +74,12 @@ def test_broken_archives(spark):
     ascii_page = [r.value for r in warc.records(spark.createDataFrame([(1, "u", "a" * 300)], SCHEMA)).collect()]
     assert status(ascii_page) == [True]
     assert status([ascii_page[0].replace("aaaa\r\n0\r\n", "aab\r\n0\r\n")]) == [False]
+
+
+def test_a_revisit_s_header_is_read_to_its_end(spark, tmp_path):
+    """Header lines of other writers come before the length, however many."""
+    more = "".join(f"X-Line-{i}: {'v' * 200}\r\n" for i in range(60))
+    block = f"HTTP/1.1 200 OK\r\n{more}Content-Length: 77\r\n\r\n"
+    head = f"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:a>\r\nWARC-Page-ID: 5\r\nContent-Length: {len(block)}\r\n\r\n"
+    spark.createDataFrame([(head + block,)], "value string").write.option("lineSep", "\r\n\r\n").text(str(tmp_path / "w"))
+    assert [(r.page_id, r.payload_bytes) for r in warc.read(spark, str(tmp_path / "w")).collect()] == [(5, 77)]
