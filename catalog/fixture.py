@@ -34,19 +34,7 @@ SCALING = {
         "bytes_sum": {"5m": 1500, "15m": 700},
     }
 }
-SCENARIOS = {
-    "default": {},
-    "calm": {
-        "hysteresis_by_window": {"5m": {"high": 3, "low": 6, "in_margin": 0.3}, "15m": {"high": 2, "low": 4, "in_margin": 0.3}},
-        "cooldown_minutes": {"base": 45},
-        "ddos_mode": {"enabled": False},
-    },
-    "guarded": {
-        "anomaly": {"mad_k": 2.0},
-        "ddos_mode": {"consecutive_windows": 2, "max_instances_during_ddos": 60},
-        "provisioning_by_window": {"15m": {"warmup_windows": 2, "min_uptime_windows": 3}},
-    },
-}
+SCENARIOS: dict[str, dict] = {"default": {}, "calm": {"max_step_change_by_window": {"15m": 5}}, "guarded": {"max_step_change_by_window": {"15m": 30}}}
 
 _stages: dict[tuple[str, str, str], DataFrame] = {}
 

@@ -1209,14 +1209,12 @@ oracle(
 )
 oracle(
     "i2_policy_parameters",
-    "x:scenario x:metric x:window f:buffer i:win_minutes i:min_instances i:max_instances f:unit_cost i:step_limit i:k_high "
-    "i:k_low i:cooldown_windows i:warmup_windows i:uptime_windows i:rows",
+    "x:scenario x:metric x:window f:buffer i:win_minutes i:min_instances i:max_instances f:unit_cost i:step_limit i:rows",
     chain(
         *CASES,
-        """knobs(scenario, k_high, k_low, cooldown_windows, warmup_windows, uptime_windows) AS (VALUES
-  ('default', 1, 2, 1, 0, 2), ('calm', 2, 4, 3, 0, 2), ('guarded', 1, 2, 1, 2, 3))""",
+        "knobs(scenario, step_limit) AS (VALUES ('default', 15), ('calm', 5), ('guarded', 30))",
         """SELECT k.*, metric, "window", 0.3::DOUBLE AS buffer, 15 AS win_minutes, 2 AS min_instances, 50 AS max_instances,
-      0.05::DOUBLE AS unit_cost, 15 AS step_limit, count(*) AS rows FROM cases, knobs k GROUP BY ALL""",
+      0.05::DOUBLE AS unit_cost, count(*) AS rows FROM cases, knobs k GROUP BY ALL""",
     ),
 )
 
@@ -1500,3 +1498,50 @@ oracle(
       min(o_orderkey) AS first_order FROM spans JOIN outages ON session_start < b AND a < session_end AND a < b GROUP BY ALL""",
     ),
 )
+oracle(
+    "n4_recent_errors",
+    "x:host t:datetime i:n i:recent i:errors i:bytes",
+    chain(
+        *LOG,
+        """frames AS (SELECT host, datetime, count(*) OVER w AS recent, count(*) FILTER (status >= 400) OVER w AS errors, sum(bytes) OVER w AS bytes
+      FROM ev WHERE datetime IS NOT NULL
+      WINDOW w AS (PARTITION BY host ORDER BY datetime RANGE BETWEEN INTERVAL 3600 SECONDS PRECEDING AND CURRENT ROW))""",
+        """SELECT host, datetime, count(*) AS n, max(recent) AS recent, max(errors) AS errors, max(bytes) AS bytes FROM frames GROUP BY ALL""",
+    ),
+)
+
+# mergeable states
+
+_SUMS = """count(*) AS hits, sum(bytes) AS bytes_sum, count(*) FILTER (status BETWEEN 400 AND 499) AS err_4xx,
+  count(*) FILTER (status BETWEEN 500 AND 599) AS err_5xx"""
+_DATED = "dated AS (SELECT *, CAST(datetime AS DATE) AS day, hour(datetime) AS hour FROM ev WHERE datetime IS NOT NULL)"
+oracle(
+    "m1_merged_hosts",
+    "x:service x:day i:hits i:bytes_sum i:err_4xx i:err_5xx i:exact x:hosts_near",
+    chain(*LOG, _DATED, f"SELECT service, day, {_SUMS}, count(DISTINCT host) AS exact, TRUE AS hosts_near FROM dated GROUP BY 1, 2"),
+)
+oracle(
+    "m2_merged_quantiles",
+    "x:service x:day i:n x:p95_near x:p99_near",
+    chain(*LOG, _DATED, "SELECT service, day, count(bytes) AS n, TRUE AS p95_near, TRUE AS p99_near FROM dated WHERE bytes IS NOT NULL GROUP BY 1, 2"),
+)
+oracle(
+    "m3_load_rollup",
+    "i:grouping x:service x:day i:hour i:hits i:bytes_sum i:err_4xx i:err_5xx f:error_rate",
+    chain(
+        *LOG,
+        _DATED,
+        f"""totals AS (SELECT grouping(service, day, hour) AS grouping, service, day, hour, {_SUMS} FROM dated
+      GROUP BY GROUPING SETS ((service, day, hour), (service, day), (service), (), (hour)))""",
+        "SELECT *, (err_4xx + err_5xx) / hits AS error_rate FROM totals",
+    ),
+)
+oracle(
+    "m4_heavy_hitters",
+    "x:service x:value i:n x:found_near",
+    chain(
+        *LOG,
+        "counts AS (SELECT service, url AS value, count(*) AS n FROM ev WHERE datetime IS NOT NULL GROUP BY 1, 2)",
+        "SELECT *, TRUE AS found_near FROM (SELECT *, sum(n) OVER (PARTITION BY service) AS whole FROM counts) WHERE n * 100 >= whole",
+    ),
+)

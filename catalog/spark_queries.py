@@ -14,7 +14,7 @@ from loadtide.functions import logline as L
 from loadtide.functions import numeric as N
 from loadtide.functions import timegrid as G
 from loadtide.operators import anomaly, buckets, capacity, evaluate, explore, features, forecast, gaps
-from loadtide.operators import isoforest, sessions, timejoin, trees
+from loadtide.operators import isoforest, recent, sessions, states, timejoin, trees
 from loadtide.operators.features import FeatureSpec
 from loadtide.plans.eda import eda_tables
 from loadtide.session import materialize, shared_dir
@@ -969,7 +969,7 @@ def d12(spark, sf):
 def i2(spark, sf):
     p = X.policies(spark)
     rows = X.service_case(spark, sf).groupBy("scenario", "metric", "window").agg(F.count(F.lit(1)).alias("rows"))
-    cols = ["buffer", "win_minutes", "min_instances", "max_instances", "unit_cost", "step_limit", "k_high", "k_low", "cooldown_windows", "warmup_windows", "uptime_windows"]
+    cols = ["buffer", "win_minutes", "min_instances", "max_instances", "unit_cost", "step_limit"]
     return rows.join(p.select("scenario", "metric", "window", *cols), ["scenario", "metric", "window"])
 
 
@@ -1185,3 +1185,67 @@ def n3(spark, sf):
     return met.groupBy(F.col("left.host").alias("host"), F.col("left.start").alias("session_start")).agg(
         F.count(F.lit(1)).alias("outages"), F.sum(shared).alias("seconds"), F.min("right.o_orderkey").alias("first_order")
     )
+
+
+@query("n4_recent_errors")
+def n4(spark, sf):
+    totals = {"recent": F.count(F.lit(1)), "errors": F.count_if(F.col("status") >= 400), "bytes": F.sum("size")}
+    e = X.events(spark, sf).filter("datetime is not null").select("host", "datetime", "status", F.col("bytes").alias("size"))
+    out = recent.recent_totals(e, 3600, totals, keys=["host"])
+    # events of one instant and host have equal frames
+    return out.groupBy("host", "datetime").agg(F.count(F.lit(1)).alias("n"), F.max("recent").alias("recent"), F.max("errors").alias("errors"), F.max("bytes").alias("bytes"))
+
+
+# mergeable states
+
+
+def _states(spark, sf):
+    """States of one minute per service, stored."""
+    return X.stage(spark, sf, "states", lambda: states.bucket_states(X.keyed_events(spark, sf), keys=SERVICE))
+
+
+def _daily(spark, sf):
+    return states.merge_states(_states(spark, sf), [*SERVICE, F.to_date("bucket_start").alias("day")])
+
+
+@query("m1_merged_hosts")
+def m1(spark, sf):
+    # hosts are within five standard errors of the exact count, which reads the events
+    got = states.read_states(_daily(spark, sf))
+    e = X.keyed_events(spark, sf).filter("datetime is not null")
+    exact = e.groupBy("service", F.to_date("datetime").alias("day")).agg(F.countDistinct("host").alias("exact"))
+    near = F.abs(F.col("unique_hosts") - F.col("exact")) <= F.greatest(F.lit(1.0), 5 * 1.04 / 2 ** (states.HOST_BITS / 2) * F.col("exact"))
+    return got.join(exact, ["service", "day"]).select("service", "day", "hits", "bytes_sum", "err_4xx", "err_5xx", "exact", near.alias("hosts_near"))
+
+
+@query("m2_merged_quantiles")
+def m2(spark, sf):
+    # the share of events below and up to a quantile leaves it within the bound
+    got = states.read_states(_daily(spark, sf)).select("service", "day", "p95_bytes", "p99_bytes")
+    e = X.keyed_events(spark, sf).filter("datetime is not null and bytes is not null").select("service", F.to_date("datetime").alias("day"), "bytes")
+    met = e.join(got, ["service", "day"])
+    n = F.count(F.lit(1))
+    near = lambda c, p: (F.count_if(F.col("bytes") < F.col(c)) / n <= p + states.RANK_ERROR) & (F.count_if(F.col("bytes") <= F.col(c)) / n >= p - states.RANK_ERROR)
+    return met.groupBy("service", "day").agg(n.alias("n"), near("p95_bytes", 0.95).alias("p95_near"), near("p99_bytes", 0.99).alias("p99_near"))
+
+
+@query("m3_load_rollup")
+def m3(spark, sf):
+    day, hour = F.to_date("bucket_start").alias("day"), F.hour("bucket_start").alias("hour")
+    dims = ["service", "day", "hour"]
+    rows = _states(spark, sf).select("*", day, hour)
+    out = states.rollup_states(rows, [*states.rollup_sets(dims), ["hour"]], dims)
+    return states.read_states(out).select("grouping", *dims, "hits", "bytes_sum", "err_4xx", "err_5xx", "error_rate")
+
+
+@query("m4_heavy_hitters")
+def m4(spark, sf):
+    e = X.keyed_events(spark, sf)
+    stored = X.stage(spark, sf, "value_states", lambda: states.value_states(e, "url", keys=SERVICE))
+    top = states.heavy_hitters(stored, SERVICE, states.TRACKED)
+    exact = e.filter("datetime is not null").groupBy("service", F.col("url").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    # every value above the bound is found, with a count inside it
+    whole = exact.groupBy("service").agg(F.sum("n").alias("whole"))
+    met = exact.join(whole, "service").filter("n * 100 >= whole").join(top, ["service", "value"], "left")
+    near = F.coalesce((F.col("count") <= F.col("n") + F.col("short")) & (F.col("n") <= F.col("count") + F.col("short")), F.lit(False))
+    return met.select("service", "value", "n", near.alias("found_near"))

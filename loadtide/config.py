@@ -54,30 +54,6 @@ DEFAULTS: dict[str, Any] = {
             "bytes_sum": {"1m": 350000, "5m": 1200000, "15m": 3500000},
         },
         "max_step_change_by_window": {"1m": 6, "5m": 10, "15m": 15},
-        "hysteresis_by_window": {
-            "1m": {"high": 2, "low": 6, "in_margin": 0.18},
-            "5m": {"high": 1, "low": 4, "in_margin": 0.15},
-            "15m": {"high": 1, "low": 2, "in_margin": 0.12},
-        },
-        "cooldown_minutes": {"base": 8},
-        "provisioning_by_window": {
-            "1m": {"warmup_windows": 1, "min_uptime_windows": 6},
-            "5m": {"warmup_windows": 1, "min_uptime_windows": 4},
-            "15m": {"warmup_windows": 0, "min_uptime_windows": 2},
-        },
-        "latency": {
-            "base_ms": 80.0,
-            "alpha_ms_per_queue_unit": 0.15,
-            "p95_target_ms": 300.0,
-            "queue_decay": 0.02,
-        },
-        "anomaly": {"enabled": True, "lookback_hours": 2, "mad_k": 6.0, "min_points": 10},
-        "ddos_mode": {
-            "enabled": True,
-            "consecutive_windows": 3,
-            "force_scale_out_step_by_window": {"1m": 6, "5m": 10, "15m": 12},
-            "max_instances_during_ddos": 50,
-        },
     },
 }
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Mapping, Sequence
 from typing import Any
@@ -38,57 +37,27 @@ def capacity_entries(caps: Mapping[Any, Any]) -> dict[tuple[str, str], float]:
 
 POLICY_SCHEMA = (
     "scenario string, metric string, window string, units double, buffer double, win_minutes int, "
-    "min_instances int, max_instances int, unit_cost double, step_limit int, k_high int, k_low int, "
-    "in_margin double, cooldown_windows int, warmup_windows int, uptime_windows int, "
-    "spike_on boolean, lookback_hours double, mad_k double, min_points int, "
-    "ddos_on boolean, consecutive int, force_step int, ddos_max int, "
-    "base_ms double, alpha_ms double, target_ms double, queue_decay double"
+    "min_instances int, max_instances int, unit_cost double, step_limit int"
 )
 
 
 def policy_rows(scaling: Mapping[str, Any], scenario: str = "default") -> list[tuple]:
-    """Every knob of a policy, one row per metric and window."""
-    rows = []
-    anomaly, ddos = scaling.get("anomaly", {}), scaling.get("ddos_mode", {})
-    latency = scaling.get("latency", {})
-    for (metric, window), units in capacity_entries(scaling["capacity_per_instance"]).items():
-        minutes = int(scaling["window_minutes"][window])
-        hold = scaling["hysteresis_by_window"][window]
-        ready = scaling["provisioning_by_window"][window]
-        step = int(scaling.get("max_step_change_by_window", {}).get(window, 10))
-        rows.append(
-            (
-                scenario,
-                metric,
-                window,
-                units,
-                float(scaling.get("safety_buffer_by_metric", {}).get(metric, 0.2)),
-                minutes,
-                int(scaling["min_instances"]),
-                int(scaling["max_instances"]),
-                float(scaling["cost_per_instance_per_hour"]),
-                step,
-                int(hold["high"]),
-                int(hold["low"]),
-                float(hold["in_margin"]),
-                math.ceil(float(scaling["cooldown_minutes"]["base"]) / minutes),
-                int(ready["warmup_windows"]),
-                int(ready["min_uptime_windows"]),
-                bool(anomaly.get("enabled", True)),
-                float(anomaly.get("lookback_hours", 2)),
-                float(anomaly.get("mad_k", 6.0)),
-                int(anomaly.get("min_points", 10)),
-                bool(ddos.get("enabled", True)),
-                int(ddos.get("consecutive_windows", 3)),
-                int(ddos.get("force_scale_out_step_by_window", {}).get(window, step)),
-                int(ddos.get("max_instances_during_ddos", scaling["max_instances"])),
-                float(latency.get("base_ms", 80.0)),
-                float(latency.get("alpha_ms_per_queue_unit", 0.15)),
-                float(latency.get("p95_target_ms", 300.0)),
-                float(latency.get("queue_decay", 0.02)),
-            )
+    """The parameters of a policy, one row per metric and window; ``step_limit`` is what `bounded_step` takes."""
+    return [
+        (
+            scenario,
+            metric,
+            window,
+            units,
+            float(scaling.get("safety_buffer_by_metric", {}).get(metric, 0.2)),
+            int(scaling["window_minutes"][window]),
+            int(scaling["min_instances"]),
+            int(scaling["max_instances"]),
+            float(scaling["cost_per_instance_per_hour"]),
+            int(scaling.get("max_step_change_by_window", {}).get(window, 10)),
         )
-    return rows
+        for (metric, window), units in capacity_entries(scaling["capacity_per_instance"]).items()
+    ]
 
 
 def policy_table(spark: SparkSession, scenarios: Mapping[str, Mapping[str, Any]]) -> DataFrame:

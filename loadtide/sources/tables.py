@@ -79,7 +79,7 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("generated_at", T.TimestampType()),
     ]
 )
-GAP_POLICY = "train excludes is_gap==1; segment-safe; keep NULL in features; drop NULL only in labels"
+GAP_POLICY = "Rows inside an outage are no training rows. Lags and windows end where a segment ends. A feature may be absent, a label may not."
 
 
 def feature_metadata(spark: SparkSession, tags: Sequence[str], spec: FeatureSpec) -> DataFrame:

@@ -46,7 +46,7 @@ def test_settings_are_checked():
         settings({"tags": ["2m"]})
     with pytest.raises(ValueError, match="min <= max"):
         settings({"scaling": {"min_instances": 9, "max_instances": 3}})
-    assert settings({"scaling": {"latency": {"queue_decay": 0.5}}})["scaling"]["latency"]["base_ms"] == 80.0
+    assert settings({"scaling": {"window_minutes": {"5m": 6}}})["scaling"]["window_minutes"]["1m"] == 1
 
 
 def test_required_instances(spark):
