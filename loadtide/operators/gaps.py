@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loadtide.functions.timegrid import TAG_SECONDS, as_column, bucket_floor, step_of_tag
@@ -73,24 +73,46 @@ def missing_run_lengths(
 ) -> DataFrame:
     """Length of the run of flagged rows a row lies in, 0 on other rows.
 
-    A run is named by the number of unflagged rows before it. Runs are counted with an
-    aggregate and joined back, so a very long run needs no window of its own.
+    A block counts its own runs. Only its first and its last one can reach into other blocks: how many flagged rows lie
+    directly before and after a block comes from one row per key and block, so the rows are shuffled once, and a
+    very long run needs no window of its own.
     """
     up = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1
-    numbered = B.running_sum(
-        df, F.when(up, 0).otherwise(1), "_run", order=time_col, keys=keys, size=block_seconds
+    rows, by = B.keyed(B.named_blocks(df, B.epoch(time_col), block_seconds), keys)
+    upto = B.block_window(by, time_col).rowsBetween(Window.unboundedPreceding, 0)
+    # a run is named by the number of unflagged rows up to it
+    named = rows.repartition(*by, B.BLOCK).withColumn("_run", F.sum(F.when(up, 0).otherwise(1)).over(upto))
+    near = named.withColumn("_part", F.sum(up.cast("int")).over(Window.partitionBy(*by, B.BLOCK, "_run")))
+    ends = near.groupBy(*by, B.BLOCK).agg(
+        F.max("_run").alias("_last"),
+        F.coalesce(F.max(F.when(F.col("_run") == 0, F.col("_part"))), F.lit(0)).alias("_head"),
+        F.max(F.struct("_run", "_part"))["_part"].alias("_tail"),
     )
-    lengths = (
-        numbered.filter(up)
-        .groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys], F.col("_run").alias("_l_run"))
-        .agg(F.count(F.lit(1)).alias(out))
-    )
-    same = up & (F.col("_run") == F.col("_l_run"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
-    joined = numbered.join(lengths, same, "left")
-    return joined.withColumn(out, F.coalesce(out, F.lit(0))).drop(
-        "_run", "_l_run", *[f"_l_{k}" for k in keys]
+
+    def others(order: Column) -> WindowSpec:
+        return Window.partitionBy(*(by or [F.lit(0)])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def beyond(total: str, order: Column) -> Column:
+        """Flagged rows of the neighbouring blocks, up to the nearest one that holds an unflagged row."""
+        nearest = F.last(F.when(F.col("_last") > 0, F.col(total)), ignorenulls=True).over(others(order))
+        return F.col(total) - F.coalesce(nearest, F.lit(0))
+
+    forward, back = F.col(B.BLOCK).asc(), F.col(B.BLOCK).desc()
+    for name, piece, order in (("_tails", "_tail", forward), ("_heads", "_head", back)):
+        ends = ends.withColumn(name, F.coalesce(F.sum(piece).over(others(order)), F.lit(0)))
+    ends = ends.select(
+        *[F.col(k).alias(f"_c_{k}") for k in by], F.col(B.BLOCK).alias("_c_block"), "_last",
+        beyond("_tails", forward).alias("_before"), beyond("_heads", back).alias("_after"),
+    )
+    same = F.col(B.BLOCK) == F.col("_c_block")
+    for k in by:
+        same = same & (F.col(k) == F.col(f"_c_{k}"))
+    length = F.col("_part") + F.when(F.col("_run") == 0, F.col("_before")).otherwise(0)
+    length = length + F.when(F.col("_run") == F.col("_last"), F.col("_after")).otherwise(0)
+    return (
+        near.join(ends, same)
+        .withColumn(out, F.when(up, length).otherwise(0).cast("bigint"))
+        .drop("_run", "_part", "_last", "_before", "_after", "_c_block", B.BLOCK, B.KEY, *[f"_c_{k}" for k in by])
     )
 
 

@@ -148,10 +148,34 @@ def test_carries_shuffle_the_rows_once(spark, keys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         summed, numbered = blocks_of(df), gaps.segment_ids(df, keys=keys, block_seconds=3600)
-        assert full_exchanges(summed, "payload") == 1 and full_exchanges(numbered, "payload") == 1
-        for out, col, want in ((summed, "pos", lambda i: i + 1), (numbered, "segment_id", lambda i: 1)):
+        flagged = df.withColumn("is_missing_bucket", (F.col("payload") >= 3).cast("int"))
+        runs = gaps.missing_run_lengths(flagged, keys=keys, block_seconds=3600)
+        assert full_exchanges(summed, "payload") == 1 and full_exchanges(numbered, "payload") == 1 and full_exchanges(runs, "payload") == 1
+        for out, col, want in (
+            (summed, "pos", lambda i: i + 1), (numbered, "segment_id", lambda i: 1), (runs.drop("is_missing_bucket"), "run_length", lambda i: 37 if i >= 3 else 0),
+        ):
             assert set(out.columns) == {*df.columns, col}
             got = out.collect()
             assert len(got) == df.count() and all(r[col] == want(int(r["payload"])) for r in got)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_run_lengths_equal_a_walk(spark):
+    import random
+    from itertools import groupby
+
+    rng = random.Random(8)
+    flags = {k: [int(rng.random() < p) for _ in range(300)] for k, p in (("a", 0.5), ("b", 0.95), (None, 0.05), ("all", 1.0), ("none", 0.0))}
+    df = spark.createDataFrame([(k, at(5 * i), i, f) for k, own in flags.items() for i, f in enumerate(own)], "k string, bucket_start timestamp, i int, is_missing_bucket int")
+    want = {}
+    for k, own in flags.items():
+        i = 0
+        for f, run in groupby(own):
+            n = len(list(run))
+            want |= {(k, i + j): n * f for j in range(n)}
+            i += n
+    for block in (300, 1500, 10**9):
+        got = gaps.missing_run_lengths(df, keys=["k"], block_seconds=block)
+        assert got.columns == [*df.columns, "run_length"]
+        assert {(r.k, r.i): r.run_length for r in got.collect()} == want
