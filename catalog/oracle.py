@@ -1399,12 +1399,12 @@ oracle(
 for _q, _target in (("e4_boosted_trees", "hits"), ("e7_batch_scoring", "bytes_sum")):
     oracle(
         _q,
-        f"t:bucket_start f:{_target} f:true_next x:model x:pred_is_load x:beats_naive x:learns",
+        f"t:bucket_start f:{_target} f:true_next x:model x:pred_is_load x:learns",
         chain(
             *LOG,
             *test("15m"),
             f"ahead AS (SELECT *, lead({_target}) OVER (ORDER BY bucket_start) AS true_next FROM te)",
-            "SELECT *, 'gbt' AS model, TRUE AS pred_is_load, TRUE AS beats_naive, TRUE AS learns FROM ahead WHERE true_next IS NOT NULL",
+            "SELECT *, 'gbt' AS model, TRUE AS pred_is_load, TRUE AS learns FROM ahead WHERE true_next IS NOT NULL",
         ),
     )
 oracle(

@@ -591,7 +591,7 @@ def e3(spark, sf):
 
 
 def _scored(spark, sf, target):
-    """(test predictions, checks) of the boosted trees with the documented number of rounds."""
+    """(test predictions, check) of the boosted trees with the documented number of rounds."""
 
     def build():
         train = _train_features(spark, sf, "15m")
@@ -620,29 +620,17 @@ def _error(target):
     return F.avg(off * off)
 
 
-def _better(scored, naive):
-    """One row: the scored forecasts have a smaller mean absolute or squared error than the naive ones.
-
-    Where most buckets are empty, forecasting nothing has the least absolute error, and the squared error tells them apart.
-    """
-    off = F.col("true_next") - F.col("pred")
-    both = lambda df: df.agg(F.struct(F.avg(F.abs(off)).alias("mae"), F.avg(off * off).alias("mse")).alias("e")).scalar()
-    pair = scored.sparkSession.range(1).select(both(scored).alias("a"), both(naive).alias("b"))
-    return pair.select(((F.col("a.mae") < F.col("b.mae")) | (F.col("a.mse") < F.col("b.mse"))).alias("beats_naive"))
-
-
-def _sound(spark, sf, scored, learns, target):
-    """What SQL can state of model output: the scored rows, their truth, that each prediction is a load, and that the model is better than none."""
-    naive = forecast.seasonal_naive(X.series(spark, sf, "train", "15m"), X.series(spark, sf, "test", "15m"), "15m", target)
-    checks = materialize(_better(scored, naive).select("beats_naive", learns.scalar().alias("learns")), "forecast-checks")
-    flags = [checks.select(c).scalar().alias(c) for c in checks.columns]
+def _sound(scored, target, *checks):
+    """What SQL can state of model output: the scored rows, their truth, that each prediction is a load, and the ``checks`` (tables of one row)."""
     load = F.coalesce((F.col("pred") >= 0) & ~F.isnan("pred") & (F.col("pred") < float("inf")), F.lit(False))
+    flags = [materialize(c, "forecast-check").scalar().alias(c.columns[0]) for c in checks]
     return scored.select("bucket_start", target, "true_next", "model", load.alias("pred_is_load"), *flags)
 
 
 @query("e4_boosted_trees")
 def e4(spark, sf):
-    return _sound(spark, sf, *_scored(spark, sf, "hits"), "hits")
+    scored, learns = _scored(spark, sf, "hits")
+    return _sound(scored, "hits", learns)
 
 
 @query("e4_validation_curves")
@@ -680,7 +668,8 @@ def e6(spark, sf):
 
 @query("e7_batch_scoring")
 def e7(spark, sf):
-    return _sound(spark, sf, *_scored(spark, sf, "bytes_sum"), "bytes_sum")
+    scored, learns = _scored(spark, sf, "bytes_sum")
+    return _sound(scored, "bytes_sum", learns)
 
 
 SWEEP = {"max_iter": 10, "learning_rate": 0.3, "max_depth": 4}
