@@ -6,8 +6,8 @@ time, and every string that shares the shorter prefix becomes a candidate. The a
 the k-th found so far would have been missed by all trees with a chance below ``miss``: easy queries end
 after a few candidates, hard ones go on, to the whole segment if need be.
 
-The index is cut into segments of bounded size at random; each segment is a forest of its own, and blocks of queries meet
-every segment, as a stated query set does.
+The index is cut into segments of bounded size at random. Each segment is a forest of its own, built once; the queries
+stream past every segment, as a stated query set does, and are answered in blocks.
 """
 
 from __future__ import annotations
@@ -101,19 +101,38 @@ class Forest:
                 yield q, b, distance[b]
 
 
-def _search(centre: dict, k: int, miss: float, seed: int, trees: int, bits: int):
-    def run(table: pa.Table) -> pa.Table:
-        side = table.column("query").to_numpy(zero_copy_only=False)
-        x = matrix(table.column("embedding"))
-        ids, row = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
-        one, two = np.flatnonzero(side), np.flatnonzero(~side)
-        found = []
-        if len(one) and len(two):
-            own = Forest(x[two], ids[two], centre[x.shape[1]], seed, trees, bits)
-            found = [(int(one[q]), int(two[b]), d) for q, b, d in own.nearest(x[one], ids[one], k, miss)]
-        q = np.array([f[0] for f in found], np.int64)
-        v = np.array([f[1] for f in found], np.int64)
-        return pa.table({"row": row[q], "query_id": ids[q], "vec_id": ids[v], "score": pa.array([f[2] for f in found], pa.float64())})
+def _search(centre: dict, k: int, miss: float, seed: int, trees: int, bits: int, block: int):
+    """Rows of one partition, ordered by segment with its index rows first: a forest is built once and then meets the queries."""
+
+    def answer(forest: Forest, table: pa.RecordBatch):
+        x, ids, row = matrix(table.column("embedding")), table.column("vec_id").to_numpy(), table.column("row").to_numpy()
+        for lo in range(0, len(ids), block):
+            found = list(forest.nearest(x[lo : lo + block], ids[lo : lo + block], k, miss))
+            q = np.array([f[0] for f in found], np.int64) + lo
+            v = np.array([f[1] for f in found], np.int64)
+            score = pa.array([f[2] for f in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(row[q]), pa.array(ids[q]), pa.array(forest.ids[v]), score], ["row", "query_id", "vec_id", "score"])
+
+    def run(batches):
+        at, parts, forest = None, [], None
+        for batch in batches:
+            dim, segment = batch.column("dim").to_numpy(), batch.column("segment").to_numpy()
+            asked = batch.column("query").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(dim) != 0) | (np.diff(segment) != 0) | (np.diff(asked.astype(np.int8)) != 0)) + 1
+            for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(asked)]):
+                if lo == hi:
+                    continue
+                if at != (dim[lo], segment[lo]):
+                    at, parts, forest = (dim[lo], segment[lo]), [], None
+                run_of = batch.slice(lo, hi - lo)
+                if not asked[lo]:
+                    parts.append((matrix(run_of.column("embedding")), run_of.column("vec_id").to_numpy()))
+                    continue
+                if forest is None and parts:
+                    x, ids = (np.concatenate(p) for p in zip(*parts))
+                    forest, parts = Forest(x, ids, centre[x.shape[1]], seed, trees, bits), []
+                if forest is not None:
+                    yield from answer(forest, run_of)
 
     return run
 
@@ -137,13 +156,12 @@ def search(
     component take no part, as rows with a null vec_id. Repeated rows are candidates and queries of their own. With k candidates
     or fewer, all are returned. Other columns may be used by ``is_query`` and are otherwise ignored.
 
-    The centre is the mean of at most ``sample`` rows; every row is indexed.
+    The centre is the mean of at most ``sample`` rows; every row is indexed. A task holds one segment and ``query_block`` queries at a time.
     """
     ok = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
     base = table.where(ok).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.coalesce(is_query, F.lit(False)).alias("asked"))
     base = materialize(base.withColumn("row", F.monotonically_increasing_id()), "forest-vectors")
-    size = base.agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).first()
-    segments, blocks = -(-size["n"] // segment) or 1, -(-size["q"] // query_block) or 1
+    segments = -(-base.count() // segment) or 1
     drawn = base.orderBy(F.xxhash64("vec_id", "row"), "row").limit(sample).select("embedding").collect()
     by_dim: dict[int, list] = {}
     for r in drawn:
@@ -152,12 +170,12 @@ def search(
 
     dim = F.size("embedding").alias("dim")
     spread = F.xxhash64("row")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = base.select(dim, F.pmod(spread, F.lit(segments)).cast("int").alias("segment"), every(blocks).alias("block"), F.lit(False).alias("query"), "row", "vec_id", "embedding")
-    asked = base.where("asked").select(dim, every(segments).alias("segment"), F.pmod(spread, F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("query"), "row", "vec_id", "embedding")
-    found = index.union(asked).groupBy("dim", "segment", "block").applyInArrow(
-        _search(centre, k, miss, seed, trees, bits), "row long, query_id long, vec_id long, score double"
-    )
+    own = F.pmod(spread, F.lit(segments)).cast("int").alias("segment")
+    index = base.select(dim, own, F.lit(False).alias("query"), "row", "vec_id", "embedding")
+    each = F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("segment")
+    asked = base.where("asked").select(dim, each, F.lit(True).alias("query"), "row", "vec_id", "embedding")
+    ordered = index.union(asked).repartition("dim", "segment").sortWithinPartitions("dim", "segment", "query")
+    found = ordered.mapInArrow(_search(centre, k, miss, seed, trees, bits, query_block), "row long, query_id long, vec_id long, score double")
     order = Window.partitionBy("row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -61,3 +61,30 @@ def test_defined_cases(spark):
     many = spark.createDataFrame([(i, a, 1) for i in range(50)], SCHEMA)
     got = sorted(map(tuple, H.search(many, F.col("vec_id") == 3, k=4, segment=10).collect()))
     assert got == [(3, 1, 0, 0.0), (3, 2, 1, 0.0), (3, 3, 2, 0.0), (3, 4, 4, 0.0)]
+
+
+def test_a_segment_is_built_once_whatever_the_batches(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = [(2, s, asked, s * 100 + i, s * 100 + i, rng.standard_normal(2).tolist()) for s in range(3) for asked, n in ((False, 40), (True, 25)) for i in range(n)]
+    names = ["dim", "segment", "query", "row", "vec_id", "embedding"]
+    whole = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+    built = []
+
+    class Counted(H.Forest):
+        def __init__(self, *a):
+            built.append(len(a[1]))
+            super().__init__(*a)
+
+    monkeypatch.setattr(H, "Forest", Counted)
+
+    def answers(size):
+        run = H._search(H._Centres(), 3, 0.03, 1, 8, 16, 7)
+        return [tuple(r.values()) for b in run(whole.slice(i, size) for i in range(0, len(rows), size)) for r in b.to_pylist()]
+
+    want = answers(len(rows))
+    assert built == [40] * 3 and len(want) == 3 * 25 * 3
+    for size in (1, 9, 64):
+        built.clear()
+        assert answers(size) == want and built == [40] * 3
