@@ -3,10 +3,16 @@
 A WARC record ends in two line ends, so Spark's text writer with that separator writes archives, and its
 text reader with the start of the next record as separator reads them as streams. Bytes pass through
 string columns unchanged; positions inside blocks are byte positions.
+
+Archives of other writers (any order of header lines, versions 1.0 and 1.1, one gzip member per record or per file) are read by
+``any_writer``: text between version lines is put together again until a record has its Content-Length.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +24,8 @@ from loadtide.session import materialize
 
 LINE = "\r\n"
 START = "WARC/1.1\r\nWARC-Type: "  # every record starts with it, and no block holds it
+VERSION = "WARC/1."  # what any writer's record starts with; blocks may hold it too
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CHUNK = 8192
 SEGMENT = 32768
 REVISIT_FROM = 1000
@@ -110,6 +118,9 @@ def write(pages: DataFrame, path: str, **options) -> None:
     records(pages, **options).write.option("lineSep", LINE + LINE).option("compression", "gzip").text(path)
 
 
+CHUNKED = re.compile(rb"\r\ntransfer-encoding:[ \t]*chunked", re.I)
+
+
 @arrow_udf(StructType([StructField("payload", BinaryType()), StructField("framed", BooleanType())]))
 def _payload(column: pa.Array) -> pa.Array:
     """Body of an HTTP message without transfer framing; ``framed`` is false where the framing is broken."""
@@ -117,7 +128,7 @@ def _payload(column: pa.Array) -> pa.Array:
     for block in as_bytes(column):
         head, found, body = block.partition(b"\r\n\r\n")
         ok = bool(found)
-        if b"\r\ntransfer-encoding: chunked" in head.lower():
+        if CHUNKED.search(head):
             parts, at = [], 0
             while ok:
                 end = body.find(b"\r\n", at)
@@ -138,36 +149,92 @@ def _payload(column: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.array(good)], names=["payload", "framed"])
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
+def _hex(digest: Column) -> Column:
+    """A stated SHA-1 in lower-case hex, written in hex or, as many writers do, in base 32 (8 signs for 5 bytes)."""
+    plain = F.translate(F.upper(digest), BASE32, "0123456789ABCDEFGHIJKLMNOPQRSTUV")
+    parts = [F.lpad(F.conv(F.substring(plain, k, 8), 32, 16), 10, "0") for k in (1, 9, 17, 25)]
+    return F.when(F.length(digest) == 32, F.lower(F.concat(*parts))).otherwise(F.lower(digest))
+
+
+def _stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records from the pieces between version lines, in the files' order. A task holds one record and one batch."""
+    place, parts, held, size, start = None, [], 0, None, 0
+    heads: list[bytes] = []
+    bodies: list[bytes] = []
+
+    def close():
+        nonlocal parts, held, size
+        if size is not None:
+            whole = b"".join(parts)
+            heads.append(b"\r\n" + whole[: start - 4])
+            bodies.append(whole[start:])
+        parts, held, size = [], 0, None
+
+    for batch in batches:
+        for value, file, at in zip(as_bytes(batch.column("value")), batch.column("file").to_pylist(), batch.column("at").to_pylist()):
+            if place != (file, at):
+                close()
+                place = (file, at)
+            if parts:
+                parts += [VERSION.encode(), value]
+                held += len(VERSION) + len(value)
+            elif re.match(rb"\d+\r\n", value):
+                parts, held = [value], len(value)
+            else:
+                continue
+            if size is None:
+                found = b"".join(parts)
+                end = found.find(b"\r\n\r\n")
+                if end < 0:
+                    continue
+                stated = re.search(rb"\r\ncontent-length:[ \t]*(\d+)", found[:end], re.I)
+                parts, start, size = [found], end + 4, int(stated[1]) if stated else 0
+            if held - start >= size:
+                close()
+        yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], ["head", "body"])
+        heads.clear()
+        bodies.clear()
+    close()
+    yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], ["head", "body"])
+
+
+def scan(spark: SparkSession, path: str, any_writer: bool = False) -> DataFrame:
     """The records of an archive as they stand, segments not joined: header fields, block, whole.
 
-    Records must start with the version line and WARC-Type. ``whole`` says that the block has its
-    Content-Length; a shorter one is kept as it is.
+    Archives of this module are cut at their records' first line by Spark's reader alone. With ``any_writer`` records may have
+    their header lines in any order and state version 1.0 or 1.1; a block may hold version lines. ``whole`` says that the block
+    has its Content-Length; a shorter one is kept as it is, and a record without a length (or with one that isn't a number) has an empty block that isn't whole. A length
+    that is too long takes in what follows. Lines that belong to no record are left out. Folded header lines aren't joined. Gzipped files are read in one piece; in a
+    plain file that Spark cuts into splits, a block with a version line next to a cut comes back as not whole.
     """
-    raw = spark.read.option("lineSep", START).text(path).where(F.length("value") > 0)
-    end = F.instr("value", LINE + LINE)
-    raw = raw.withColumn("end", end).where("end > 0").withColumn("head", F.expr("substring(value, 1, end - 1)"))
+    if any_writer:
+        raw = spark.read.option("lineSep", VERSION).text(path)
+        raw = raw.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        out = raw.mapInArrow(_stitch, "head binary, body binary").withColumn("head", F.col("head").cast("string"))
+    else:
+        raw = spark.read.option("lineSep", START).text(path).where(F.length("value") > 0)
+        raw = raw.withColumn("end", F.instr("value", LINE + LINE)).where("end > 0")
+        head = F.concat(F.lit(LINE + "WARC-Type: "), F.expr("substring(value, 1, end - 1)"))
+        out = raw.withColumns({"head": head, "body": F.expr("substring(cast(value as binary), end + 4)")})
 
     def field(name: str) -> Column:
         got = F.regexp_extract("head", r"(?i)\r\n" + name + r":[ \t]*([^\r\n]*)", 1)
         return F.when(got != "", got)
 
-    size = field("Content-Length").cast("long")
-    body = F.expr("substring(cast(value as binary), end + 4)")
-    out = raw.withColumns({"size": size, "body": body})
+    out = out.withColumn("size", field("Content-Length").try_cast("long"))
     return out.select(
-        F.regexp_extract("head", r"^[^\r\n]*", 0).alias("record_type"),
+        F.lower(F.trim(field("WARC-Type"))).alias("record_type"),
         field("WARC-Record-ID").alias("record_id"),
         field("WARC-Target-URI").alias("target_uri"),
-        field("WARC-Page-ID").cast("long").alias("page_id"),
-        F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("stated_digest"),
+        field("WARC-Page-ID").try_cast("long").alias("page_id"),
+        _hex(F.regexp_replace(field("WARC-Payload-Digest"), "(?i)^sha1:", "")).alias("stated_digest"),
         field("WARC-Refers-To").alias("refers_to_id"),
-        field("WARC-Refers-To-Page-ID").cast("long").alias("refers_to"),
+        field("WARC-Refers-To-Page-ID").try_cast("long").alias("refers_to"),
         field("WARC-Segment-Origin-ID").alias("origin"),
-        field("WARC-Segment-Number").cast("int").alias("segment"),
-        field("WARC-Segment-Total-Length").cast("long").alias("total"),
-        F.expr("substring(body, 1, cast(size as int))").alias("block"),
-        F.coalesce(F.octet_length("body") >= F.col("size"), F.lit(False)).alias("whole"),
+        field("WARC-Segment-Number").try_cast("int").alias("segment"),
+        field("WARC-Segment-Total-Length").try_cast("long").alias("total"),
+        F.expr("substring(body, 1, cast(least(coalesce(size, 0), 2147483647) as int))").alias("block"),
+        F.coalesce((F.octet_length("body") >= F.col("size")) & (F.col("size") >= 0), F.lit(False)).alias("whole"),
     )
 
 
@@ -198,21 +265,21 @@ def reassemble(scanned: DataFrame) -> DataFrame:
     return single.unionByName(again.select("meta.*", block.alias("block"), whole.alias("whole")))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """One row per response or revisit of the archives below ``path``.
+def read(spark: SparkSession, path: str, any_writer: bool = False) -> DataFrame:
+    """One row per response or revisit of the archives below ``path``; ``any_writer`` as in ``scan``.
 
     page_id, target_uri, record_type, record_id, refers_to (page), refers_to_id, payload (binary, null for a revisit),
     payload_bytes and payload_digest (sha1) of the full payload, and intact: segments, framing and digest agree. A revisit's
     length and digest are those stated in its record.
     """
-    found = reassemble(scan(spark, path)).where(F.col("record_type").isin("response", "revisit"))
+    found = reassemble(scan(spark, path, any_writer)).where(F.col("record_type").isin("response", "revisit"))
     found = found.withColumn("got", _payload(F.col("block")))
     revisit = F.col("record_type") == "revisit"
     head = F.when(revisit, F.substring_index(F.col("block").cast("string"), LINE + LINE, 1))
-    stated = F.regexp_extract(head, r"(?i)\r\nContent-Length: (\d+)", 1)
+    stated = F.regexp_extract(head, r"(?i)\r\nContent-Length:[ \t]*(\d+)", 1)
     payload = F.when(~revisit, F.col("got.payload"))
     digest = F.when(revisit, F.col("stated_digest")).otherwise(F.sha1(payload))
-    size = F.when(revisit, F.when(stated != "", stated).cast("long")).otherwise(F.octet_length(payload).cast("long"))
+    size = F.when(revisit, F.when(stated != "", stated).try_cast("long")).otherwise(F.octet_length(payload).cast("long"))
     intact = F.col("whole") & (revisit | (F.col("got.framed") & (digest == F.coalesce("stated_digest", digest))))
     return found.select(
         "page_id", "target_uri", "record_type", "record_id", "refers_to", "refers_to_id", payload.alias("payload"),
