@@ -1,7 +1,8 @@
 """Labelled training pages for the extractor, drawn from layout rules.
 
 Pages vary in nesting, in semantic tags against plain divs with class words, in the parts they have and in the length of
-everything, so that no single cue settles a node. Every node is labelled: 1 within the article, 0 within a part
+everything, so that no single cue settles a node. On a share of the pages the parts are named by invented words, which
+leaves only tags, links, density and place to go by. Every node is labelled: 1 within the article, 0 within a part
 to leave out, and 1 for containers that lead to the article.
 """
 
@@ -26,8 +27,12 @@ WORDS = {
 
 
 class Writer:
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, invented: float = 0.0):
         self.r = random.Random(seed)
+        self.words = {kind: words.split() for kind, words in WORDS.items()}
+        own = random.Random(~seed)
+        if own.random() < invented:
+            self.words = {kind: ["".join(own.choice(LETTERS) for _ in range(own.randint(4, 10))) for _ in words] for kind, words in self.words.items()}
 
     def some(self, low: int, high: int) -> int:
         """Small numbers more often than large ones."""
@@ -49,7 +54,7 @@ class Writer:
     def attrs(self, kind: str, chance: float = 0.9) -> str:
         if self.r.random() > chance:
             return ""
-        words = WORDS[kind].split()
+        words = self.words[kind]
         mark = self.r.choice(words)
         if self.r.random() < 0.5:
             mark += self.r.choice(["-", "_", " "]) + self.r.choice(["wrap", "box", "area", "list", "inner", "1", "block", "item", self.word(), self.r.choice(words)])
@@ -162,5 +167,6 @@ class Writer:
         return f"<html><body data-y='1'>{''.join(before)}{article}{''.join(after)}</body></html>"
 
 
-def pages(count: int, seed: int = 5) -> list[str]:
-    return [Writer(seed * 100_003 + k).page() for k in range(count)]
+def pages(count: int, seed: int = 5, invented: float = 0.0) -> list[str]:
+    """``count`` pages; on a share ``invented`` of them no class word is one of WORDS."""
+    return [Writer(seed * 100_003 + k, invented).page() for k in range(count)]

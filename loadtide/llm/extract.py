@@ -1,7 +1,8 @@
 """Main text of HTML pages: boosted trees over DOM nodes, then one consistent choice per tree.
 
 Each node has features of its own and of the subtree below it. Boosted trees give the chance that it belongs to the
-article. Decoding picks keep or drop for all nodes at once: a node may be kept only if its parent is, so an
+article. Pages that name their parts by known class words have trees of their own; pages without a single one go by trees that have
+seen invented names only, so that these lean on tags, links, density and place. Decoding picks keep or drop for all nodes at once: a node may be kept only if its parent is, so an
 ancestor that is dropped takes everything below with it, and the sum of log chances is the highest possible.
 """
 
@@ -98,7 +99,10 @@ def node_features(found: list[Page]) -> np.ndarray:
         seen[up[k]] += 1
     p_chars = below(np.where(tag == TAG_OF["p"], total, 0))
     parent_chars = total[up]
+    _, pair, alike = np.unique(up * (len(TAGS) + 1) + tag, return_inverse=True, return_counts=True)
+    alike = np.log1p(alike[pair])  # siblings of the same tag
     lists = [
+        alike, alike[up], parent_chars / page_chars, total[up[up]] / page_chars, linked[up[up]] / np.maximum(total[up[up]], 1),
         depth, tags, np.log1p(total), np.log1p(chars), total / tags, linked / np.maximum(total, 1), total / page_chars,
         (first - first[root]) / page_chars, below(points) / np.maximum(below(words), 1), below(words) / tags,
         np.log1p(kids), np.log1p(kids[up]), order / np.maximum(kids[up], 1), total / np.maximum(parent_chars, 1),
@@ -135,8 +139,8 @@ class Trees:
         return 1 / (1 + np.exp(-2 * np.clip(margin, -15, 15)))
 
 
-def _labelled(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    sources = pages(count, seed)
+def _labelled(count: int, seed: int, invented: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    sources = pages(count, seed, invented)
     found = [Page(s) for s in sources]
     ys = []
     for s, p in zip(sources, found):
@@ -153,9 +157,9 @@ def _labelled(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return node_features(found), np.array(ys, np.float64)
 
 
-def train(spark: SparkSession, count: int = TRAIN_PAGES, trees: int = TREES, seed: int = 5) -> Trees:
+def train(spark: SparkSession, count: int = TRAIN_PAGES, trees: int = TREES, seed: int = 5, invented: float = 0.0) -> Trees:
     """Fit Spark's boosted trees on ``count`` generated pages; the model doesn't depend on the input pages."""
-    x, y = _labelled(count, seed)
+    x, y = _labelled(count, seed, invented)
     lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
     rows = spark.createDataFrame(pa.table({"label": y, "x": lists}))
     data = rows.select("label", array_to_vector("x").alias("features")).repartition(4).cache()
@@ -183,9 +187,18 @@ def train(spark: SparkSession, count: int = TRAIN_PAGES, trees: int = TREES, see
     return Trees([flat(t) for t in model.trees], list(model.treeWeights))
 
 
-@lru_cache(maxsize=2)
-def _model(app: str, count: int, trees: int, seed: int) -> Trees:
-    return train(SparkSession.getActiveSession(), count, trees, seed)
+@lru_cache(maxsize=4)
+def _model(app: str, count: int, trees: int, seed: int, invented: float = 0.0) -> Trees:
+    return train(SparkSession.getActiveSession(), count, trees, seed, invented)
+
+
+def chances(named: Trees, unnamed: Trees, found: list[Page]) -> np.ndarray:
+    """Chance of every node of all pages, by the trees that fit the page."""
+    x = node_features(found)
+    known = np.concatenate([np.full(len(p.tag), any(_mask(m) for m in p.marks)) for p in found])
+    out = np.empty(len(x))
+    out[known], out[~known] = named.chance(x[known]), unnamed.chance(x[~known])
+    return out
 
 
 def decode(page: Page, chance: np.ndarray) -> np.ndarray:
@@ -216,7 +229,8 @@ def extract(table: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     rows; other columns are left out, and a kept column named text or n_chars is replaced.
     """
     spark = table.sparkSession
-    model = spark.sparkContext.broadcast(_model(spark.sparkContext.applicationId, count, trees, seed))
+    app = spark.sparkContext.applicationId
+    model = spark.sparkContext.broadcast([_model(app, count, trees, seed, invented) for invented in (0.0, 1.0)])
     keep = tuple(c for c in keep if c not in ("text", "n_chars"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +239,7 @@ def extract(table: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
             texts = []
             for lo in range(0, len(sources), 100):
                 found = [Page(s) for s in sources[lo : lo + 100]]
-                chance = model.value.chance(node_features(found))
+                chance = chances(*model.value, found)
                 at = 0
                 for p in found:
                     texts.append(blocks(p, decode(p, chance[at : at + len(p.tag)])))

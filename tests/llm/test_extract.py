@@ -88,6 +88,24 @@ def test_held_out_layouts(spark):
     assert same >= 0.9 * 300
 
 
+def test_class_words_of_no_list(spark):
+    """Layouts as before, every class word replaced by one that neither the features nor the training pages know."""
+    named, unnamed = (X._model(spark.sparkContext.applicationId, X.TRAIN_PAGES, X.TREES, 5, part) for part in (0.0, 1.0))
+    sources = pages(300, 78, 1.0)
+    found = [Page(s) for s in sources]
+    _, y = X._labelled(300, 78, 1.0)
+    chance = X.chances(named, unnamed, found)
+    at = same = before = 0
+    for p, own in zip(found, np.split(named.chance(X.node_features(found)), np.cumsum([len(p.tag) for p in found])[:-1])):
+        n = len(p.tag)
+        want = blocks(p, y[at : at + n] > 0)
+        same += blocks(p, X.decode(p, chance[at : at + n])) == want
+        before += blocks(p, X.decode(p, own)) == want
+        at += n
+    print("exact pages without known words:", same, "by the other trees:", before)
+    assert same >= 0.75 * 300 and same > before
+
+
 def test_pages_of_the_table(spark):
     """The given pages mark their article by its tag, which is read here without any model."""
     from loadtide.llm.queries import op3_extract
