@@ -1,4 +1,4 @@
-"""The access log the checks run on: every row of ``events`` rendered as one log line.
+"""The access log the checks run on: every row of ``events`` rendered as one log line (``whole``), or all but the rows two outages have lost.
 
 Times are wall times at -04:00. Some lines are rendered broken, by the second they fall
 on, so that all parse rules have rows to act on.
@@ -52,10 +52,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """One line per event; unless ``whole``, without the events that the two outages have lost."""
     e = table(spark, sf_dir, "events")
+    return _rendered(e if whole else _with_outages(e))
+
+
+def _with_outages(e: DataFrame) -> DataFrame:
     inside = lambda span: (F.col("ts") >= F.lit(span[0]).cast("timestamp_ntz")) & (F.col("ts") < F.lit(span[1]).cast("timestamp_ntz"))
-    e = e.filter(~inside(UNKNOWN_OUTAGE) & ~(inside(KNOWN_OUTAGE) & (F.col("event_id") % 5 != 0)))
+    return e.filter(~inside(UNKNOWN_OUTAGE) & ~(inside(KNOWN_OUTAGE) & (F.col("event_id") % 5 != 0)))
+
+
+def _rendered(e: DataFrame) -> DataFrame:
     sec = F.second("ts")
     when = F.when(sec == 31, "99/Xxx/2024:00:00:00").otherwise(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"))
     method = F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET")
@@ -73,12 +81,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.when(sec == 13, broken).otherwise(line).alias("value"))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(log_lines(spark, sf_dir))
+def events(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return parse_lines(log_lines(spark, sf_dir, whole))
 
 
-def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).withColumn("service", F.regexp_extract("url", "^/([^/]+)", 1))
+def keyed_events(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return events(spark, sf_dir, whole).withColumn("service", F.regexp_extract("url", "^/([^/]+)", 1))
 
 
 def with_split(df: DataFrame) -> DataFrame:
@@ -86,13 +94,13 @@ def with_split(df: DataFrame) -> DataFrame:
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
-def series(spark: SparkSession, sf_dir: str, split: str | None = None, tag: str | None = None) -> DataFrame:
+def series(spark: SparkSession, sf_dir: str, split: str | None = None, tag: str | None = None, whole: bool = False) -> DataFrame:
     """The dense series of both splits on all grids, without keys."""
 
     def build() -> DataFrame:
-        return build_series(with_split(events(spark, sf_dir)), outages=OUTAGES, keys=["split"])
+        return build_series(with_split(events(spark, sf_dir, whole)), outages=OUTAGES, keys=["split"])
 
-    df = stage(spark, sf_dir, "series", build)
+    df = stage(spark, sf_dir, "whole_series" if whole else "series", build)
     if split:
         df = df.filter(F.col("split") == split)
     if tag:

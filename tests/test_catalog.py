@@ -27,3 +27,22 @@ def test_entry(spark):
 
     df = entry(spark)
     assert df.count() > 8000 and "is_gap" in df.columns
+
+
+WHOLE = """a1_log_scan a2_incremental_ingest a8_csv_overwrite b1_line_extract b2_request_split b3_time_parse b4_bytes_parse b5_status_cast
+b8_status_class b9_guarded_ratios b10_feature_ratio b14_tz_normalise c2_bucket_aggregate c2_keyed_service c3_multi_resolution c5_spine_join
+c10_keyed_hosts d1_keyed_hosts d4_rolling_mean d7_label_drop d14_feature_report e5_time_folds""".split()
+
+
+def test_whole_log_has_every_event(spark):
+    from catalog import fixture
+
+    assert fixture.log_lines(spark, SMALL, whole=True).count() == fixture.table(spark, SMALL, "events").count()
+    # lines of garbage are the only ones that no query sees
+    broken = fixture.table(spark, SMALL, "events").filter("second(ts) = 13").count()
+    assert QUERIES["a1_log_scan"](spark, SMALL).count() == fixture.table(spark, SMALL, "events").count() - broken
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_no_event_is_left_out(name):
+    assert "event_id % 5" not in ORACLES[name]
