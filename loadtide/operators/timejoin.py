@@ -1,8 +1,8 @@
-"""Joins by time: the last value before an instant, and overlaps of intervals, both by equality on blocks of time."""
+"""Joins by time: the last value before an instant, overlaps of intervals and their totals, all by equality on blocks of time."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,12 @@ from loadtide.operators import blocks as B
 
 LEVEL_FACTOR = 4
 SALTS = 8
+# microseconds of a leaf, the coarsest first: days, hours, minutes, seconds, milliseconds
+LEAVES = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
+# a tree of at most so many nodes goes to all tasks; it depends on the range of time and the width of a leaf only
+BROADCAST_NODES = 1 << 19
+# how a left interval meets a node
+BEGIN, OVER_START, OVER_END, OVER_BOTH = range(4)
 
 
 def asof_join(
@@ -126,3 +132,93 @@ def interval_join(
         return a.join(b, same).filter(overlap & here).select("left", "right")
 
     return meet(l, "left", r, "right", True).unionByName(meet(r, "right", l, "left", False))
+
+
+def _stretches(lo: Column, hi: Column, levels: int, kind: int) -> list[Column]:
+    """Nodes of the binary tree over [0, 2**levels) that make up ``lo`` to ``hi`` (half-open), at most two per level; null where there is none."""
+    out = []
+    for level in range(levels + 1):
+        first, end = F.shiftright(lo + ((1 << level) - 1), level), F.shiftright(hi, level)
+        some = first < end
+        out.append(F.when(some & (first % 2 == 1), _node(first, level, kind)))
+        out.append(F.when(some & (end % 2 == 1), _node(end - 1, level, kind)))
+    return out
+
+
+def _node(index: Column, level: int, kind: int) -> Column:
+    return index * 128 + (2 * level + kind)
+
+
+def overlap_totals(
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[str],
+    totals: Mapping[str, Column],
+    *,
+    keys: Sequence[str] = (),
+    start: str = "start",
+    end: str = "end",
+    seconds: str = "seconds",
+) -> DataFrame:
+    """What grouping the pairs of ``interval_join`` by ``by`` (columns of the left) and adding up gives, without forming a pair.
+
+    ``totals`` are aggregates of the right's columns whose pieces can be added up (a name that starts with ``max_`` or ``min_`` takes
+    the extreme); ``seconds`` are those shared with the right intervals, whole seconds at both ends. A right interval meets a left one if it lies over the left
+    one's start or begins inside it, never both. Right intervals are kept as totals of the nodes of a binary tree over time: of those that cover a node (two
+    nodes per level and interval), and of those that begin in it. A left interval looks up the nodes over its ends and those it is
+    made of. So rows grow with both inputs and the number of levels, not with the pairs. The leaves are as
+    wide as the right's times allow: days, hours, minutes, seconds or less. Left intervals that meet nothing are left out.
+    """
+    lo, hi = (F.unix_micros(F.col(c).cast("timestamp")) for c in (start, end))
+    theirs = right.withColumns({"_lo": lo, "_hi": hi}).filter("_lo < _hi")
+    whole = [F.every((F.pmod("_lo", F.lit(u)) == 0) & (F.pmod("_hi", F.lit(u)) == 0)).alias(f"_{u}") for u in LEAVES]
+    grid = theirs.agg(F.min("_lo").alias("origin"), F.max("_hi").alias("end"), *whole).first()
+    unit = next((u for u in LEAVES if grid[f"_{u}"]), 1)
+    origin = grid["origin"] or 0
+    span = ((grid["end"] or 0) - origin) // unit
+    levels = max(span - 1, 0).bit_length()
+
+    def leaf(micros: Column) -> Column:
+        from_origin = micros - origin
+        return ((from_origin - F.pmod(from_origin, F.lit(unit))) / unit).cast("bigint")
+
+    a, b = leaf(F.col("_lo")), leaf(F.col("_hi"))
+    nodes = _stretches(a, b, levels, 0) + [_node(F.shiftright(a, n), n, 1) for n in range(levels + 1)]
+    first, last = (F.floor(F.col(c) / 1_000_000).cast("bigint") for c in ("_lo", "_hi"))
+    names = {n: f"_total{i}" for i, n in enumerate(totals)}
+    at = [f"_k{i}" for i in range(len(keys))]
+    tree = (
+        theirs.withColumns({k: F.col(c) for k, c in zip(at, keys)})
+        .withColumn("_node", F.explode(F.array_compact(F.array(*nodes))))
+        .groupBy(*at, "_node")
+        .agg(*[c.alias(names[n]) for n, c in totals.items()], F.count(F.lit(1)).alias("_n"), F.sum(last).alias("_ends"), F.sum(last - first).alias("_length"))
+    )
+    if not keys and 4 << levels <= BROADCAST_NODES:
+        tree = F.broadcast(tree)
+
+    mine = left.select(*[F.col(k).alias(n) for n, k in zip(at, keys)], *by, lo.alias("_lo"), hi.alias("_hi")).filter("_lo < _hi")
+    mine = mine.select(*at, *by, leaf(F.col("_lo")).alias("_a"), leaf(F.col("_hi") - 1).alias("_b"), first.alias("_from"), last.alias("_to"))
+    inside = lambda t: (t >= 0) & (t < span)
+    look = lambda node, role: F.struct(node.alias("_at"), role.alias("_role"))
+    rows = [F.when(n.isNotNull(), look(n, F.lit(BEGIN))) for n in _stretches(F.greatest(F.col("_a") + 1, F.lit(0)), F.least(F.col("_b") + 1, F.lit(span)), levels, 1)]
+    for level in range(levels + 1):
+        over_a, over_b = F.shiftright("_a", level), F.shiftright("_b", level)
+        one = inside(F.col("_a")) & inside(F.col("_b")) & (over_a == over_b)
+        rows.append(F.when(inside(F.col("_a")), look(_node(over_a, level, 0), F.when(one, OVER_BOTH).otherwise(OVER_START))))
+        rows.append(F.when(inside(F.col("_b")) & ~one, look(_node(over_b, level, 0), F.lit(OVER_END))))
+    asked = mine.withColumn("_look", F.explode(F.array_compact(F.array(*rows)))).select("*", "_look.*").drop("_look", "_a", "_b")
+    same = F.col("_at") == F.col("_node")
+    for k in at:
+        same = same & (asked[k] == tree[k])
+    met = asked.join(tree, same)
+    role = F.col("_role")
+    rest = lambda t: F.col("_ends") - F.col("_n") * F.col(t)
+    # up to their ends, less what lies beyond the left one's end
+    shared = F.when(role == BEGIN, F.col("_length")).when(role == OVER_START, rest("_from")).when(role == OVER_END, -rest("_to"))
+    shared = shared.otherwise(F.col("_n") * (F.col("_to") - F.col("_from")))
+
+    def piece(name: str) -> Column:
+        join = F.max if name.startswith("max_") else F.min if name.startswith("min_") else F.sum
+        return join(F.when(role != OVER_END, F.col(names[name]))).alias(name)
+
+    return met.groupBy(*by).agg(*[piece(n) for n in totals], F.sum(shared).alias(seconds))

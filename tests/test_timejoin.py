@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadtide.operators import timejoin as J
 
@@ -74,3 +75,48 @@ def test_intervals_equal_plain(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert J.interval_join(frame(left), frame([]), keys=["k"]).collect() == []
+
+
+@pytest.mark.parametrize("unit", [1, 60, 86400, 0.25])
+def test_overlap_totals_equal_the_joined_pairs(spark, unit):
+    rng = random.Random(int(unit * 4))
+    moment = lambda s: None if s is None else at(0) + dt.timedelta(seconds=s)
+
+    def made(n, grid):
+        out = []
+        for i in range(n):
+            lo = rng.randrange(-50, 400) * grid
+            out.append((rng.choice(["a", "b", None]), moment(lo), moment(lo + rng.choice([0, 1, 2, 7, 300, -5]) * grid), i))
+        return out
+
+    schema = "k string, start timestamp, end timestamp, i int"
+    left = spark.createDataFrame(made(80, unit) + made(80, unit / 2 + 0.375) + [("a", None, at(5), 900), ("a", at(0), at(10**6), 901)], schema)
+    right = spark.createDataFrame(made(90, unit) + [("a", moment(-unit * 900), moment(unit * 900), 800), ("b", at(0), None, 801)], schema)
+    totals = {"n": F.count(F.lit(1)), "min_i": F.min("i"), "max_i": F.max("i"), "all": F.sum("i")}
+    for keys in ([], ["k"]):
+        pairs = J.interval_join(left, right, keys=keys)
+        shared = F.unix_seconds(F.least("left.end", "right.end")) - F.unix_seconds(F.greatest("left.start", "right.start"))
+        i = F.col("right.i")
+        want = pairs.groupBy(F.col("left.i").alias("i")).agg(F.count(F.lit(1)), F.min(i), F.max(i), F.sum(i), F.sum(shared))
+        got = J.overlap_totals(left, right, ["i"], totals, keys=keys)
+        assert got.columns == ["i", "n", "min_i", "max_i", "all", "seconds"]
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 30
+    assert J.overlap_totals(left, right.limit(0), ["i"], totals).collect() == []
+
+
+def test_overlap_totals_form_no_pairs(spark):
+    # a hundred million pairs; the node rows of both sides are some hundred thousand
+    left = spark.range(10000).selectExpr("id as i", "timestamp_seconds(id) as start", "timestamp_seconds(id + 100000) as end")
+    right = spark.range(10000).selectExpr("id as j", "timestamp_seconds(id * 2) as start", "timestamp_seconds(id * 2 + 100000) as end")
+    got = J.overlap_totals(left, right, ["i"], {"n": F.count(F.lit(1)), "min_j": F.min("j")})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert got.agg(F.sum("n"), F.max("min_j")).first()[:] == (10**8, 0)
+
+
+def test_interval_query_groups_no_pairs(spark):
+    from catalog.spark_queries import QUERIES
+    from tests.paths import SMALL
+
+    plan = QUERIES["n3_interval_join"](spark, SMALL)._jdf.queryExecution().analyzed().toString()
+    assert "_node" in plan and "leftsalt" not in plan
