@@ -7,7 +7,7 @@ from loadtide.operators.buckets import bucket_events, densify
 from loadtide.operators.gaps import missing_run_lengths
 from loadtide.streaming import corrections as C
 from loadtide.streaming.outages import stream_unknown_outages, timer_state
-from loadtide.streaming.series import append_to_table
+from loadtide.streaming.series import append_to_table, stream_buckets
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "host string, datetime timestamp, status int, bytes long"
@@ -92,3 +92,19 @@ def test_silence_is_told_before_the_next_event(spark, tmp_path):
                 want.add((h, T0 + dt.timedelta(minutes=x + 15), T0 + dt.timedelta(minutes=y), (y - x) // 15 - 1))
     assert closed == want and found.count() == sum(w[3] for w in want)
     assert len(opened) == len(set(opened)) and {w[:2] for w in want if w[0] == "a"} <= set(opened)
+
+
+def test_a_series_per_host_keeps_no_sketch(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    df = events(spark).filter("datetime is not null").cache()
+    last = spark.createDataFrame([("end", T0 + dt.timedelta(days=n), 200, 1) for n in (20, 30)], SCHEMA)
+    df.unionByName(last).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    made = stream_buckets(stream, "15m", keys=["host"])
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "approx_count_distinct" not in plan(made) and "approx_count_distinct" in plan(stream_buckets(stream, "15m"))
+    append_to_table(made, out, state).awaitTermination()
+    got = spark.read.schema(made.schema).parquet(out).filter("host is null or host <> 'end'")
+    cols = ["host", "bucket_start", "hits", "unique_hosts", "bytes_sum"]
+    key = lambda df: sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+    assert key(got) == key(bucket_events(df, "15m", keys=["host"]))
