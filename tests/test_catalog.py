@@ -52,3 +52,16 @@ def test_no_event_is_left_out(name):
 def test_holes_need_no_sort_of_the_dense_rows(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Sort [" not in plan
+
+
+def test_one_row_group_is_parsed_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from catalog import fixture
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join these few rows again
+    try:
+        assert fixture.table(spark, SMALL, "events").rdd.getNumPartitions() == 1
+        assert fixture.events(spark, SMALL).select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
