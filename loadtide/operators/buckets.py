@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loadtide.functions.numeric import client_error, per_hit, server_error
 from loadtide.functions.timegrid import TAG_SECONDS, as_column, bucket_floor, step_of_tag, step_seconds
 from loadtide.operators import blocks as B
-from loadtide.operators.gaps import label_gaps
+from loadtide.operators.gaps import in_known_outage, label_gaps, min_gap_rows
 from loadtide.session import materialize
 
 TIME = "bucket_start"
@@ -142,6 +142,21 @@ def densify(
     so no spine and no join are needed. ``_absent_run`` is the length of the hole an added
     row lies in and NULL on observed rows.
     """
+    spans = _spans(ts2, step, keys, block_seconds)
+    filled = spans.withColumn("_t", F.explode(F.sequence("_first", "_now", as_column(step).cast("bigint")))).withColumn(
+        "_seen", F.col("_t") == F.col("_now")
+    )
+    values = [c for c in ts2.columns if c not in (*keys, TIME)]
+    return filled.select(
+        *keys,
+        F.timestamp_seconds("_t").alias(TIME),
+        *[F.when(F.col("_seen"), F.col(c)).alias(c) for c in values],
+        F.when(~F.col("_seen"), F.col("_run")).alias("_absent_run"),
+    )
+
+
+def _spans(ts2: DataFrame, step: Column | int, keys: Sequence[str], block_seconds: int) -> DataFrame:
+    """Each observed row with its time ``_now``, the time ``_first`` at which the hole before it starts, and that hole's length ``_run``."""
     rows, by = B.keyed(B.named_blocks(ts2, B.epoch(TIME), block_seconds), keys)
     near = rows.repartition(*by, B.BLOCK).withColumn("_prev", F.lag(TIME).over(B.block_window(by, TIME)))
     carried = B.with_carry(
@@ -154,17 +169,42 @@ def densify(
     step = as_column(step).cast("bigint")
     now = F.unix_seconds(TIME)
     prev = F.unix_seconds(F.coalesce("_prev", "_far"))
-    first = F.coalesce(prev + step, now)
-    filled = carried.withColumn("_t", F.explode(F.sequence(first, now, step))).withColumn(
-        "_seen", F.col("_t") == now
+    return carried.withColumns(
+        {"_now": now, "_first": F.coalesce(prev + step, now), "_run": ((now - prev) / step - 1).cast("bigint")}
     )
-    run = ((now - prev) / step - 1).cast("bigint")
-    values = [c for c in ts2.columns if c not in (*keys, TIME)]
-    return filled.select(
+
+
+def gap_spans(
+    ts2: DataFrame,
+    step: int,
+    *,
+    outages: Sequence[tuple[str, str]] = (),
+    unknown_gap_min_hours: int = 12,
+    keys: Sequence[str] = (),
+    block_seconds: int = B.DEFAULT_BLOCK_SECONDS,
+) -> DataFrame:
+    """(keys, bucket_start, last, rows, is_gap): the labelled dense series as runs of rows with one label, without its rows.
+
+    A span is one observed row and the hole before it. It is cut where a known outage starts or ends and, if its hole is a long one, before the
+    observed row. So there are about as many runs as observed rows, however long the holes are.
+    """
+    first, now, size = F.col("_first"), F.col("_now"), F.lit(step).cast("bigint")
+    long_hole = (F.col("_run") > 0) & (F.col("_run") >= min_gap_rows(step, unknown_gap_min_hours))
+    edges = [F.unix_seconds(bucket_floor(F.lit(x).cast("timestamp"), step)) for outage in outages for x in outage]
+    inside = [F.when((e > first) & (e <= now), e) for e in edges]
+    starts = F.array_sort(F.array_distinct(F.array_compact(F.array(first, F.when(long_hole, now), *inside))))
+    piece = F.explode(
+        F.transform("_starts", lambda a, i: F.struct(a.alias("a"), F.coalesce(F.get("_starts", i + 1) - size, now).alias("b")))
+    )
+    cut = _spans(ts2, step, keys, block_seconds).withColumn("_starts", starts).withColumn("_p", piece)
+    a, b = F.col("_p.a"), F.col("_p.b")
+    gap = in_known_outage(F.timestamp_seconds(a), step, outages) | F.coalesce(long_hole & (a < now), F.lit(False))
+    return cut.select(
         *keys,
-        F.timestamp_seconds("_t").alias(TIME),
-        *[F.when(F.col("_seen"), F.col(c)).alias(c) for c in values],
-        F.when(~F.col("_seen"), run).alias("_absent_run"),
+        F.timestamp_seconds(a).alias(TIME),
+        F.timestamp_seconds(b).alias("last"),
+        ((b - a) / size + 1).cast("bigint").alias("rows"),
+        gap.cast("tinyint").alias("is_gap"),
     )
 
 

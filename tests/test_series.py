@@ -179,3 +179,19 @@ def test_run_lengths_equal_a_walk(spark):
         got = gaps.missing_run_lengths(df, keys=["k"], block_seconds=block)
         assert got.columns == [*df.columns, "run_length"]
         assert {(r.k, r.i): r.run_length for r in got.collect()} == want
+
+
+def test_gap_spans_are_the_dense_series_in_runs(spark):
+    # holes of every length up to two days, of two keys and a null one; outages that overlap, touch rows and lie in long holes
+    times = {k: sorted({(i * i * 37 + i * k) % 4000 for i in range(60 * k, 60 * k + 60)}) for k in (1, 2)}
+    rows = [(str(k) if k == 1 else None, 1704067200 + 900 * t, 1) for k, ts in times.items() for t in ts]
+    ts2 = spark.createDataFrame(rows, "k string, t long, hits long").select("k", F.timestamp_seconds("t").alias("bucket_start"), "hits")
+    outages = [("2024-01-05T00:00:00Z", "2024-01-06T03:07:00Z"), ("2024-01-06T01:00:00Z", "2024-01-06T05:00:00Z"), ("2024-01-20T00:00:00Z", "2024-01-20T00:05:00Z"), ("2024-01-25T00:00:00Z", "2024-01-25T00:15:00Z")]
+    dense = gaps.label_gaps(buckets.densify(ts2, 900, ["k"]), 900, run_length=F.col("_absent_run"), outages=outages, keys=["k"])
+    want = gaps.segment_ids(dense, keys=["k"]).groupBy("k", "segment_id").agg(F.count(F.lit(1)), F.min("bucket_start"), F.max("bucket_start"))
+    for block in (86400, 28 * 86400):
+        spans = buckets.gap_spans(ts2, 900, outages=outages, keys=["k"], block_seconds=block)
+        got = gaps.segment_ids(spans, keys=["k"], block_seconds=block).groupBy("k", "segment_id").agg(F.sum("rows"), F.min("bucket_start"), F.max("last"))
+        assert sorted(map(str, got.collect())) and {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+        assert spans.count() <= 2 * len(rows) + 4 * 2 * len(times) < dense.count() / 4
+    assert want.filter("segment_id > 1").count() > 10
